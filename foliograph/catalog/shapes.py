@@ -78,8 +78,8 @@ def share_of_total(t: Tables):
 
 
 @query("row_shares", f"""
-SELECT o_orderstatus, o_orderpriority, count(*) AS n,
-       {s6("100.0 * count(*) / sum(count(*)) OVER (PARTITION BY o_orderstatus)")} AS pct FROM orders GROUP BY ALL
+WITH c AS (SELECT o_orderstatus, o_orderpriority, count(*) AS n FROM orders GROUP BY ALL)
+SELECT o_orderstatus, o_orderpriority, n, {s6("100.0 * n / (sum(n) OVER (PARTITION BY o_orderstatus))")} AS pct FROM c
 """)
 def row_shares(t: Tables):
     return sh.shares(t.orders, ["o_orderstatus", "o_orderpriority"], ["o_orderstatus"]).withColumn("pct", r6(F.col("pct")))
@@ -182,13 +182,11 @@ def conditional_counts(t: Tables):
 
 
 @query("joined_lists", """
-WITH a AS (SELECT l_orderkey, string_agg(DISTINCT p_type, ';' ORDER BY p_type) AS types, mode_type FROM lineitem
-  JOIN part ON p_partkey = l_partkey JOIN (SELECT l_orderkey, arg_max(p_type, (n, -rk)) AS mode_type FROM (
-    SELECT l_orderkey, p_type, count(*) AS n, row_number() OVER (PARTITION BY l_orderkey ORDER BY p_type) AS rk
-    FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY ALL) GROUP BY 1) USING (l_orderkey) GROUP BY ALL),
-o AS (SELECT l_orderkey, string_agg(p_type, '; ' ORDER BY pos) AS ordered FROM (
-  SELECT l_orderkey, p_type, min(l_linenumber * 1000000 + l_partkey) AS pos FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY ALL) GROUP BY 1)
-SELECT l_orderkey, types, ordered, mode_type FROM a JOIN o USING (l_orderkey)
+WITH x AS (SELECT l_orderkey, p_type, count(*) AS n, min(l_linenumber * 1000000 + l_partkey) AS pos
+           FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY ALL),
+m AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY n DESC, p_type) AS rn FROM x)
+SELECT l_orderkey, string_agg(p_type, ';' ORDER BY p_type) AS types, string_agg(p_type, '; ' ORDER BY pos) AS ordered,
+       max(CASE WHEN rn = 1 THEN p_type END) AS mode_type FROM m GROUP BY l_orderkey
 """)
 def joined_lists(t: Tables):
     """AG-5, AG-6, AG-7, AG-8."""
@@ -226,7 +224,7 @@ SELECT o_custkey, count(*) FILTER (WHERE o_orderstatus = 'F') AS F, count(*) FIL
 """)
 def pivot_with_zeros(t: Tables):
     """AG-12: a stated column exists even without rows."""
-    return sh.pivot_fill(t.orders, ["o_custkey"], "o_orderstatus", ["F", "O", "X"], F.count("*"))
+    return sh.pivot_fill(t.orders, ["o_custkey"], "o_orderstatus", ["F", "O", "X"], F.count(F.lit(1)))
 
 
 @query("melted", """

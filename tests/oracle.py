@@ -24,6 +24,9 @@ def connect(directory: str):
     return con
 
 
+TIMES: list[float] = []
+
+
 def kind(dtype: str) -> str:
     """Coarse type class: a difference in class would change the value hash."""
     d = dtype.lower()
@@ -55,7 +58,10 @@ def compare(spark_df, con, sql: str) -> tuple[list[str], int]:
         problems.append(f"schema: spark {got_types} / sql {want_types}")
     cols = sorted(set(want_types) & set(got_types))
     key = lambda r: tuple((v is None, str(type(v).__name__), v if v is not None else 0) for v in r)
-    got = sorted((tuple(norm(r[c]) for c in cols) for r in spark_df.collect()), key=key)
+    start = time.time()
+    rows = spark_df.collect()
+    TIMES.append(time.time() - start)
+    got = sorted((tuple(norm(r[c]) for c in cols) for r in rows), key=key)
     at = [rel.columns.index(c) for c in cols]
     want = sorted((tuple(norm(r[i]) for i in at) for r in rel.fetchall()), key=key)
     if len(got) != len(want):
@@ -81,6 +87,7 @@ def main(argv: list[str]) -> int:
         start = time.time()
         try:
             df = queries[name](spark, directory)
+            built = time.time() - start
             if name in oracles:
                 problems, n = compare(df, con, oracles[name])
             else:
@@ -89,7 +96,8 @@ def main(argv: list[str]) -> int:
             problems, n = [f"{type(error).__name__}: {str(error)[:1500]}"], -1
         failed += bool(problems)
         state = "FAIL" if problems else ("ok" if name in oracles else "rows")
-        print(f"{state:4} {name} n={n} {time.time() - start:.1f}s", flush=True)
+        spent = f"build {built:.1f}s run {TIMES[-1]:.1f}s" if TIMES and not problems else ""
+        print(f"{state:4} {name} n={n} total {time.time() - start:.1f}s {spent}", flush=True)
         for p in problems:
             print("     ", p[:1800], flush=True)
     print(f"{failed} failed")
