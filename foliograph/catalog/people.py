@@ -32,7 +32,7 @@ FROM d LEFT JOIN (SELECT id, min(reach) AS work FROM r GROUP BY id) c ON c.id =
 """)
 def work_grouping(t: Tables):
     words = F.array_distinct(F.regexp_extract_all(tx.fold(F.col("text")), F.lit("[a-z]+"), F.lit(0)))
-    return wk.group_works(t.documents, "doc_id", F.substring_index("text", "\n", 1), F.lit(0), words)
+    return wk.group_works(t.texts, "doc_id", F.substring_index("text", "\n", 1), F.lit(0), words)
 
 
 @query("work_grouping_by_authors", f"""
@@ -66,7 +66,7 @@ SELECT md5(k) AS work, arg_max(doc_id, (length(text), -doc_id)) AS representativ
 FROM d GROUP BY k
 """)
 def work_summary(t: Tables):
-    records = t.documents.withColumn("work", F.md5(tx.title_key(F.substring_index("text", "\n", 1))))
+    records = t.texts.withColumn("work", F.md5(tx.title_key(F.substring_index("text", "\n", 1))))
     return wk.summarise_works(records, "work", "doc_id", "text", "source", ("lang",))
 
 

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from foliograph.sources.io import spread
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -20,6 +22,11 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.directory}/{name}.parquet")
 
+    @property
+    def texts(self) -> DataFrame:
+        """The documents, ready for per-row text work."""
+        return spread(self.spark.read.parquet(f"{self.directory}/documents.parquet"), "doc_id")
+
 
 def query(name: str, sql: str | None = None):
     """Register a function of :class:`Tables` and the SQL that must give the same rows."""

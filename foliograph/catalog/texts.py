@@ -97,7 +97,7 @@ FROM documents
 """)
 def text_keys(t: Tables):
     x = F.col("text")
-    return t.documents.select(
+    return t.texts.select(
         "doc_id", F.md5(tx.squish(x)).alias("squished"), F.md5(tx.title_key(x)).alias("title_key"),
         F.md5(tx.name_key(x)).alias("name_key"), F.md5(tx.fold(x, "marks")).alias("folded"),
         F.md5(tx.fold(x, "ascii")).alias("ascii_folded"), F.md5(tx.fold(x, "hyphen")).alias("hyphen_folded"),
@@ -106,7 +106,7 @@ def text_keys(t: Tables):
 
 @query("fold_exact", "SELECT doc_id, md5(strip_accents(lower(text))) AS folded FROM documents")
 def fold_exact(t: Tables):
-    return t.documents.select("doc_id", F.md5(tx.fold_exact("text")).alias("folded"))
+    return t.texts.select("doc_id", F.md5(tx.fold_exact("text")).alias("folded"))
 
 
 _TOK = name_tokens_sql("name")
@@ -199,7 +199,7 @@ SELECT doc_id, CASE WHEN len(list_filter({_WORDS}, lambda w: w IN ({', '.join(re
        THEN 'en' ELSE 'pt' END AS language FROM documents
 """)
 def language_guess(t: Tables):
-    return t.documents.select("doc_id", tx.guess_language(F.col("text")).alias("language"))
+    return t.texts.select("doc_id", tx.guess_language(F.col("text")).alias("language"))
 
 
 @query("keyword_lists", f"""
@@ -209,7 +209,7 @@ x AS (SELECT doc_id, {squish_sql('kw')} AS kw, pos FROM k)
 SELECT doc_id, count(*) AS n, md5(string_agg(kw, ';' ORDER BY pos)) AS joined FROM x WHERE kw <> '' GROUP BY doc_id
 """)
 def keyword_lists(t: Tables):
-    listed = t.documents.select("doc_id", tx.split_keywords(F.col("text")).alias("kws")).where(F.size("kws") > 0)
+    listed = t.texts.select("doc_id", tx.split_keywords(F.col("text")).alias("kws")).where(F.size("kws") > 0)
     return listed.select("doc_id", F.size("kws").cast("bigint").alias("n"),
                          F.md5(F.array_join("kws", ";")).alias("joined"))
 
@@ -241,7 +241,7 @@ WITH x AS (SELECT doc_id, {title_key_sql("split_part(text, chr(10), 1)")} AS k F
 SELECT doc_id, k AS title_key, len(regexp_extract_all(k, '\\S+')) >= 4 AND length(k) >= 25 AS eligible FROM x
 """)
 def eligible_titles(t: Tables):
-    keyed = t.documents.select("doc_id", tx.title_key(F.substring_index("text", "\n", 1)).alias("title_key"))
+    keyed = t.texts.select("doc_id", tx.title_key(F.substring_index("text", "\n", 1)).alias("title_key"))
     return keyed.withColumn("eligible", tx.eligible_title(F.col("title_key")))
 
 
@@ -305,7 +305,7 @@ ORDER BY n_chars DESC, doc_id LIMIT 300
 def text_search(t: Tables):
     from foliograph.operators.indicators import search
 
-    return search(t.documents, "text", "Réa", "lang", ["fr", "es"], "n_chars", "doc_id").select("doc_id", "lang", "n_chars")
+    return search(t.texts, "text", "Réa", "lang", ["fr", "es"], "n_chars", "doc_id").select("doc_id", "lang", "n_chars")
 
 
 @query("folded_order", """
@@ -315,7 +315,7 @@ SELECT word, n, row_number() OVER (ORDER BY strip_accents(lower(word)), word) AS
 """)
 def folded_order(t: Tables):
     """SL-3: accent-insensitive order of the vocabulary."""
-    words = t.documents.where(F.col("lang") == "de").select(
+    words = t.texts.where(F.col("lang") == "de").select(
         F.explode(F.regexp_extract_all("text", F.lit("[A-Za-zÀ-ú]+"), F.lit(0))).alias("word"))
     counts = words.groupBy("word").agg(F.count("*").alias("n"))
     return sh.global_numbered(counts.withColumn("_k", tx.fold(F.col("word"))), ["_k", "word"]).drop("_k")

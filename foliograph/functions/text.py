@@ -47,6 +47,11 @@ def _accent_table(form: str) -> tuple[str, str]:
 _NFD, _NFKD = _accent_table("NFD"), _accent_table("NFKD")
 
 
+def bind(value: Column, body) -> Column:
+    """``body`` applied to ``value`` computed once: the value enters as a lambda variable, not as a repeated subtree."""
+    return F.transform(F.array(value), body)[0]
+
+
 def squish(c) -> Column:
     """SC-1: runs of white space to one blank, ends trimmed."""
     return F.trim(F.regexp_replace(c, r"(?U)\s+", " "))
@@ -106,29 +111,32 @@ def name_tokens(c) -> Column:
     return F.transform(words, lambda t: F.coalesce(spelling[t], t))
 
 
+def _initials(words: Column) -> Column:
+    return F.array_join(F.transform(words, lambda t: F.substring(t, 1, 1)), "")
+
+
 def parse_signature(c) -> Column:
     """SC-6: ``SURNAME, I. I. de X`` to struct(surname, initials); particles give no initial, single letters do."""
-    text = squish(c)
-    comma = F.contains(text, F.lit(","))
-    surname = F.when(comma, F.substring_index(text, ",", 1)).otherwise(text)
-    rest = F.when(comma, fold(F.regexp_replace(text, "^[^,]*,", ""), "latin")).otherwise("")
-    words = F.filter(
-        F.split(rest, r"[\s.\-]+"), lambda t: t.rlike("^[A-Z]") & ~F.upper(t).isin(SIGNATURE_PARTICLES)
-    )
-    initials = F.array_join(F.transform(words, lambda t: F.substring(t, 1, 1)), "")
-    return F.struct(name_key(surname).alias("surname"), initials.alias("initials"))
+    def parts(text: Column) -> Column:
+        rest = F.when(F.contains(text, F.lit(",")), F.regexp_replace(text, "^[^,]*,", "")).otherwise("")
+        words = F.filter(
+            F.split(fold(rest, "latin"), r"[\s.\-]+"), lambda t: t.rlike("^[A-Z]") & ~F.upper(t).isin(SIGNATURE_PARTICLES)
+        )
+        return F.struct(name_key(F.substring_index(text, ",", 1)).alias("surname"), _initials(words).alias("initials"))
+
+    return bind(squish(c), parts)
 
 
 def signature_of(c) -> Column:
     """SC-7: the signature a full name would give; a generation suffix joins the surname of three or more words."""
-    words = name_tokens(c)
-    n = F.size(words)
-    compound = (n >= 3) & F.element_at(words, -1).isin(SUFFIXES)
-    k = F.when(compound, 2).otherwise(1)
-    surname = F.when(n > 0, F.array_join(F.slice(words, n - F.least(k, n) + 1, k), " "))
-    initials = F.array_join(F.transform(F.slice(words, F.lit(1), F.greatest(n - k, F.lit(0))),
-                                        lambda t: F.substring(t, 1, 1)), "")
-    return F.struct(surname.alias("surname"), F.when(n > 0, initials).alias("initials"))
+    def parts(words: Column) -> Column:
+        n = F.size(words)
+        k = F.when((n >= 3) & F.element_at(words, -1).isin(SUFFIXES), 2).otherwise(1)
+        surname = F.when(n > 0, F.array_join(F.slice(words, F.greatest(n - k, F.lit(0)) + 1, k), " "))
+        initials = F.when(n > 0, _initials(F.slice(words, F.lit(1), F.greatest(n - k, F.lit(0)))))
+        return F.struct(surname.alias("surname"), initials.alias("initials"))
+
+    return bind(F.coalesce(name_tokens(c), F.array().cast("array<string>")), parts)
 
 
 def initials_compat(a, b) -> Column:

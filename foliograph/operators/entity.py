@@ -17,7 +17,7 @@ from foliograph.functions.text import (
 from foliograph.operators.graph import components
 from foliograph.plans.session import cut_lineage
 from foliograph.plans.shapes import (
-    attach_group, block_pairs, join_sorted, keep_first, modal, skew_join, symmetrise, top_n, union_by_name,
+    attach_group, block_pairs, join_sorted, keep_first, many_to_many, modal, symmetrise, top_n, union_by_name,
 )
 
 # Fixed values -------------------------------------------------------------------------------------------------------
@@ -71,10 +71,10 @@ def merge_variants(records: DataFrame, head: str = HEAD_OFFICE) -> DataFrame:
 
     Compatible names share their first and last token, so both are part of the block key.
     """
-    tokens = name_tokens(F.col("name_norm"))
-    forms = records.select("person", "name_norm", "surname", "initials", "unit_id").distinct().select(
-        "*", tokens.alias("tokens")).where(F.size("tokens") >= 2)
-    forms = forms.select("*", F.element_at("tokens", 1).alias("first"), F.element_at("tokens", -1).alias("last"))
+    records = cut_lineage(records)
+    forms = records.select("person", "surname", "initials", "unit_id", name_tokens(F.col("name_norm")).alias("tokens"))
+    forms = forms.where(F.size("tokens") >= 2).select(
+        "*", F.element_at("tokens", 1).alias("first"), F.element_at("tokens", -1).alias("last")).distinct()
     near = block_pairs(
         forms, ["surname", "initials", "first", "last"], "person", ["tokens", "unit_id"],
         residual=lambda: (F.col("unit_id1") == F.col("unit_id2")) | (F.col("unit_id1") == head)
@@ -131,56 +131,53 @@ def surname_rarity(signatures: DataFrame) -> DataFrame:
 # --- leaders ---------------------------------------------------------------------------------------------------------
 
 
-def _decide_leaders(cand: DataFrame, exact: bool) -> DataFrame:
-    """One decision per document from its candidates ``(doc_uid, person_id, unit_ok, min_tokens, method)``."""
-    first = F.min_by(F.struct("person_id", "min_tokens", "method"), "person_id")
-    grouped = cand.groupBy("doc_uid").agg(
-        F.count("*").alias("n"), F.count_if("unit_ok").alias("n_unit"), first.alias("f"),
-        F.min(F.when(F.col("unit_ok"), F.col("person_id"))).alias("by_unit"),
-        F.array_sort(F.collect_list(F.struct("person_id", F.lit(None).cast("int").alias("score")))).alias("candidates"))
-    short = F.col("f.min_tokens") < 3
-    sure = "A" if exact else "B"
-    level = (
-        F.when((F.col("n") == 1) & (F.lit(exact) | (F.col("n_unit") == 1) | ~short), sure)
-        .when((F.col("n") > 1) & (F.col("n_unit") == 1), sure).otherwise("C"))
-    return grouped.withColumn("level", level).select(
-        "doc_uid",
-        F.when(F.col("level") == "C", None).when(F.col("n") == 1, F.col("f.person_id")).otherwise(F.col("by_unit"))
-        .alias("person_id"),
-        "level", F.col("f.method").alias("method"), F.when(F.col("level") == "C", F.col("candidates")).alias("candidates"))
+def _leader_candidates(raw: DataFrame, names: DataFrame) -> DataFrame:
+    """People for every spelling: those with the same normalised name, else those with a compatible one."""
+    spelled = cut_lineage(raw.where(F.col("raw").isNotNull()).select("raw").distinct().select(
+        "raw", name_key(F.col("raw")).alias("name_norm"), name_tokens(F.col("raw")).alias("ta")))
+    exact = keep_first(
+        spelled.select("raw", "name_norm").join(names, "name_norm"), ["raw", "person_id"],
+        [F.when(F.col("origin") == "nome", 0).otherwise(1)],
+    ).select("raw", "person_id", F.lit(True).alias("exact"), F.lit(99).alias("min_tokens"),
+             F.concat(F.lit("exato_"), "origin").alias("method"))
+    exact = cut_lineage(exact)
+
+    def ends(df: DataFrame, tokens: str) -> DataFrame:
+        return df.where(F.size(tokens) > 0).withColumn("_first", F.element_at(tokens, 1)).withColumn(
+            "_last", F.element_at(tokens, -1))
+
+    rest = ends(spelled.join(exact.select("raw").distinct(), "raw", "left_anti").select("raw", "ta"), "ta")
+    known = ends(names.select("person_id", name_tokens(F.col("name_norm")).alias("tb")).distinct(), "tb")
+    near = many_to_many(rest, known, ["_first", "_last"]).where(names_compatible("ta", "tb"))
+    near = near.groupBy("raw", "person_id").agg(F.min(F.least(F.size("ta"), F.size("tb"))).alias("min_tokens"))
+    return exact.unionByName(near.select(
+        "raw", "person_id", F.lit(False).alias("exact"), "min_tokens", F.lit("tokens").alias("method")))
 
 
 def resolve_leaders(docs: DataFrame, names: DataFrame, person_unit: DataFrame) -> DataFrame:
     """ER-8: the person behind a full name.
 
     ``docs(doc_uid, unit_id, raw)``, ``names(person_id, name_norm, origin)``, ``person_unit(person_id, unit_id)`` with
-    one unit per person. Names are compared once per spelling; documents join the outcome.
+    one unit per person. Candidates depend on the spelling alone, so they are found once per spelling; documents join
+    the outcome and add the evidence of their unit.
     """
-    leads = docs.withColumn("name_norm", name_key(F.col("raw")))
-    names = names.select("person_id", "name_norm", "origin")
     units = person_unit.select("person_id", F.col("unit_id").alias("_unit"))
-    unit_ok = F.coalesce(F.col("_unit") == F.col("unit_id"), F.lit(False)).alias("unit_ok")
-
-    hits = skew_join(leads, names, ["name_norm"])
-    hits = keep_first(hits, ["doc_uid", "person_id"], [F.when(F.col("origin") == "nome", 0).otherwise(1)])
-    exact = hits.join(units, "person_id", "left").select(
-        "doc_uid", "person_id", unit_ok, F.lit(99).alias("min_tokens"),
-        F.concat(F.lit("exato_"), "origin").alias("method"))
-
-    rest = leads.join(exact.select("doc_uid"), "doc_uid", "left_anti")
-
-    def ends(df: DataFrame, out: str) -> DataFrame:
-        with_tokens = df.withColumn(out, name_tokens(F.col("name_norm"))).where(F.size(out) > 0)
-        return with_tokens.withColumn("_first", F.element_at(out, 1)).withColumn("_last", F.element_at(out, -1))
-
-    spellings = ends(rest.select("name_norm").distinct(), "ta")
-    known = ends(names.select("person_id", "name_norm"), "tb").drop("name_norm")
-    near = skew_join(spellings, known, ["_first", "_last"]).where(names_compatible("ta", "tb"))
-    near = near.groupBy("name_norm", "person_id").agg(F.min(F.least(F.size("ta"), F.size("tb"))).alias("min_tokens"))
-    tokens = skew_join(rest, near, ["name_norm"]).join(units, "person_id", "left").select(
-        "doc_uid", "person_id", unit_ok, "min_tokens", F.lit("tokens").alias("method"))
-
-    decided = _decide_leaders(exact, True).unionByName(_decide_leaders(tokens, False))
+    found = _leader_candidates(docs, names.select("person_id", "name_norm", "origin")).join(units, "person_id", "left")
+    cand = docs.select("doc_uid", "unit_id", "raw").join(found, "raw").withColumn(
+        "unit_ok", F.coalesce(F.col("_unit") == F.col("unit_id"), F.lit(False)))
+    grouped = cand.groupBy("doc_uid").agg(
+        F.count("*").alias("n"), F.count_if("unit_ok").alias("n_unit"),
+        F.min_by(F.struct("person_id", "min_tokens", "method", "exact"), "person_id").alias("f"),
+        F.min(F.when(F.col("unit_ok"), F.col("person_id"))).alias("by_unit"),
+        F.array_sort(F.collect_list(F.struct("person_id", F.lit(None).cast("int").alias("score")))).alias("candidates"))
+    sure = F.when(F.col("f.exact"), "A").otherwise("B")
+    alone = (F.col("n") == 1) & (F.col("f.exact") | (F.col("n_unit") == 1) | (F.col("f.min_tokens") >= 3))
+    decided = grouped.select(
+        "*", F.when(alone | ((F.col("n") > 1) & (F.col("n_unit") == 1)), sure).otherwise("C").alias("level")).select(
+        "doc_uid", "level", F.col("f.method").alias("method"),
+        F.when(F.col("level") == "C", None).when(F.col("n") == 1, F.col("f.person_id")).otherwise(F.col("by_unit"))
+        .alias("person_id"),
+        F.when(F.col("level") == "C", F.col("candidates")).alias("candidates"))
     return docs.select("doc_uid", "raw").join(decided, "doc_uid", "left").select(
         "doc_uid", "person_id", F.lit(LEADER).alias("role"), F.lit(1).alias("ord"), "raw",
         F.coalesce("level", F.lit("D")).alias("level"), F.coalesce("method", F.lit(NO_CANDIDATE)).alias("method"),
@@ -213,28 +210,28 @@ def form_candidates(mentions: DataFrame, signatures: DataFrame) -> DataFrame:
     forms = mentions.where(F.col("initials") != "").select("surname", "initials").distinct().select("*", head)
     known = signatures.where(F.col("initials") != "").select(
         "person_id", "surname", F.col("initials").alias("_known"), head)
-    met = skew_join(forms, known, ["surname", "_head"]).withColumn("_c", initials_compat("initials", "_known"))
+    met = many_to_many(forms, known, ["surname", "_head"]).withColumn("_c", initials_compat("initials", "_known"))
     return met.where(F.col("_c").isin(EXACT, COMPATIBLE)).groupBy("surname", "initials", "person_id").agg(
         F.bool_or(F.col("_c") == EXACT).alias("exact"))
 
 
 def candidates(mentions: DataFrame, signatures: DataFrame) -> DataFrame:
     """ER-10: (doc_uid, ord, work, surname, initials, person_id, exact)."""
-    return skew_join(mentions.select("doc_uid", "ord", "work", "surname", "initials"),
-                     form_candidates(mentions, signatures), ["surname", "initials"])
+    return mentions.select("doc_uid", "ord", "work", "surname", "initials").join(
+        form_candidates(mentions, signatures), ["surname", "initials"])
 
 
 def learned_units(resolved: DataFrame, work_units: DataFrame) -> DataFrame:
     """Units in which a person is already resolved in at least two works."""
-    seen = skew_join(resolved.select("work", "person_id").distinct(), work_units, ["work"])
+    seen = resolved.select("work", "person_id").distinct().join(work_units, "work")
     counts = seen.groupBy("person_id", "unit_id").agg(F.count("*").alias("n"))
     return counts.where(F.col("n") >= LEARNED_WORKS).select("person_id", "unit_id")
 
 
 def unit_evidence(cand: DataFrame, units: DataFrame, work_units: DataFrame) -> DataFrame:
     """(work, person_id) pairs in which a unit of the person deposited the work."""
-    at = skew_join(cand.select("work", "person_id").distinct(), work_units, ["work"])
-    return at.join(units.distinct(), ["person_id", "unit_id"], "left_semi").select("work", "person_id").distinct()
+    at = cand.select("work", "person_id").distinct().join(units.distinct(), "person_id")
+    return at.join(work_units, ["work", "unit_id"], "left_semi").select("work", "person_id").distinct()
 
 
 def coauthor_evidence(cand: DataFrame, resolved: DataFrame) -> DataFrame:
@@ -248,8 +245,7 @@ def coauthor_evidence(cand: DataFrame, resolved: DataFrame) -> DataFrame:
     both = symmetrise(pairs, "person_id1", "person_id2")
     others = resolved.select("work", F.col("person_id").alias("person_id2"), F.col("doc_uid").alias("_d"),
                              F.col("ord").alias("_o"))
-    near = skew_join(cand.select("work", "doc_uid", "ord", F.col("person_id").alias("person_id1")), others, ["work"])
-    near = near.where(
+    near = cand.select("work", "doc_uid", "ord", F.col("person_id").alias("person_id1")).join(others, "work").where(
         ((F.col("_d") != F.col("doc_uid")) | (F.col("_o") != F.col("ord")))
         & (F.col("person_id1") != F.col("person_id2")))
     met = near.join(both, ["person_id1", "person_id2"]).where(
@@ -258,11 +254,11 @@ def coauthor_evidence(cand: DataFrame, resolved: DataFrame) -> DataFrame:
         F.countDistinct("person_id2").cast("int").alias("n_coauthors"))
 
 
-def score(cand: DataFrame, unit_ev: DataFrame, coauthor_ev: DataFrame) -> DataFrame:
-    """ER-11: points of every candidate."""
-    joined = cand.join(unit_ev.withColumn("unit", F.lit(True)), ["work", "person_id"], "left").join(
+def score(cand: DataFrame, learned_ev: DataFrame, coauthor_ev: DataFrame) -> DataFrame:
+    """ER-11: points of every candidate; ``cand`` has ``known_unit``, ``learned_ev`` adds the units learned since."""
+    joined = cand.join(learned_ev.withColumn("unit", F.lit(True)), ["work", "person_id"], "left").join(
         coauthor_ev, ["doc_uid", "ord", "person_id"], "left")
-    unit = F.coalesce(F.col("unit"), F.lit(False))
+    unit = F.col("known_unit") | F.coalesce(F.col("unit"), F.lit(False))
     n = F.coalesce(F.col("n_coauthors"), F.lit(0))
     points = (
         F.when(F.col("exact"), POINTS_EXACT).otherwise(POINTS_COMPATIBLE)
@@ -313,23 +309,23 @@ def resolve_mentions(mentions: DataFrame, signatures: DataFrame, known_units: Da
     """ER-12: signatures to people in rounds; each round learns units and co-authors from the one before.
 
     ``mentions`` from :func:`explode_mentions`, ``signatures(person_id, surname, initials)``,
-    ``known_units(person_id, unit_id)``, ``work_units(work, unit_id)``. Candidates are materialised once and the
-    decisions once per round, in the shared checkpoint folder.
+    ``known_units(person_id, unit_id)``, ``work_units(work, unit_id)``. Candidates, with the unit evidence that never
+    changes, are materialised once; every round but the last materialises the mentions it resolved. Both go to the
+    shared checkpoint folder.
     """
-    cand = cut_lineage(candidates(mentions, signatures))
+    mentions = cut_lineage(mentions)
     deposits = work_units.where(F.col("unit_id").isNotNull()).select("work", "unit_id").distinct()
     rarity = surname_rarity(signatures)
-    no_coauthors = cand.select("doc_uid", "ord", "person_id", F.lit(0).alias("n_coauthors")).limit(0)
-    decided = None
-    for _ in range(rounds):
-        if decided is None:
-            units, coauthors = known_units.distinct(), no_coauthors
-        else:
-            resolved = decided.where(F.col("level").isin("A", "B")).select("doc_uid", "ord", "work", "person_id")
-            units = known_units.unionByName(learned_units(resolved, deposits)).distinct()
-            coauthors = coauthor_evidence(cand, resolved)
-        scored = score(cand, unit_evidence(cand, units, deposits), coauthors)
-        decided = cut_lineage(demote_conflicts(decide(scored, rarity)))
+    found = candidates(mentions, signatures)
+    known = unit_evidence(found, known_units, deposits).withColumn("known_unit", F.lit(True))
+    cand = cut_lineage(found.join(known, ["work", "person_id"], "left").na.fill(False, ["known_unit"]))
+    resolved = cand.select("doc_uid", "ord", "work", "person_id").limit(0)
+    for i in range(rounds):
+        learned = unit_evidence(cand.where(~F.col("known_unit")), learned_units(resolved, deposits), deposits)
+        decided = demote_conflicts(decide(score(cand, learned, coauthor_evidence(cand, resolved)), rarity))
+        if i < rounds - 1:
+            kept = decided.where(F.col("level").isin("A", "B"))
+            resolved = cut_lineage(kept.select("doc_uid", "ord", "work", "person_id"))
     outcome = decided.select("doc_uid", "ord", "person_id", "level", "score", "candidates")
     joined = mentions.select("doc_uid", "ord", "raw").join(outcome, ["doc_uid", "ord"], "left")
     level = F.coalesce("level", F.lit("D"))
@@ -413,7 +409,7 @@ def author_units(links: DataFrame, people: DataFrame, records: DataFrame) -> Dat
         "doc_uid", "person_id").distinct().join(records.select("doc_uid", "work"), "doc_uid")
     deposits = records.where(F.col("unit_id").isNotNull()).select("work", "unit_id").distinct()
     known = learned_units(authors, deposits).unionByName(people.select("person_id", "unit_id")).distinct()
-    at = skew_join(authors, deposits, ["work"]).join(known, ["person_id", "unit_id"], "left_semi")
+    at = authors.join(deposits, "work").join(known, ["person_id", "unit_id"], "left_semi")
     then = at.groupBy("doc_uid", "person_id").agg(F.min("unit_id").alias("_then"))
     joined = authors.join(then, ["doc_uid", "person_id"], "left").join(
         people.select("person_id", "unit_ref"), "person_id", "left")

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from foliograph.functions.scalars import year_bin
 from foliograph.plans.session import cut_lineage
 from foliograph.plans.shapes import (
-    as_list, block_pairs, global_numbered, keep_first, pair_stats, pivot_fill, skew_join, symmetrise, top_n,
+    as_list, block_pairs, global_numbered, keep_first, pair_stats, pivot_fill, symmetrise, top_n,
     with_totals,
 )
 
@@ -34,8 +34,7 @@ def project_pairs(df: DataFrame, doc: str, node: str, k_total: DataFrame | None
     """
     members = df.select(doc, node).distinct()
     k = members.groupBy(doc).agg(F.count("*").alias("k")) if k_total is None else k_total.select(doc, "k")
-    left = members.select(doc, F.col(node).alias(A)).join(k, doc, "left")
-    pairs = skew_join(left, members.select(doc, F.col(node).alias(B)), [doc]).where(F.col(A) < F.col(B))
+    pairs = block_pairs(members, [doc], node, names=(A, B)).join(k, doc, "left")
     return pairs.select(doc, A, B, F.lit(1.0).alias("weight"), fraction(F.col("k")).alias("weight_frac"))
 
 
@@ -53,10 +52,8 @@ def citation_layer(links: DataFrame, responsible: DataFrame, work_units: DataFra
     ``links(origin, work)``, ``responsible(origin, u1)``, ``work_units(work, u2)``. The weight of an origin is shared
     equally by its (u1, u2) pairs, before opposite directions fold into one undirected pair.
     """
-    reach = skew_join(
-        links.select("origin", "work").distinct().join(responsible.distinct(), "origin"),
-        work_units.distinct(), ["work"],
-    )
+    reach = links.select("origin", "work").distinct().join(responsible.distinct(), "origin").join(
+        work_units.distinct(), "work")
     pairs = reach.where(F.col("u1") != F.col("u2")).select("origin", "u1", "u2").distinct()
     size = pairs.groupBy("origin").agg(F.count("*").alias("k"))
     return (
@@ -77,7 +74,7 @@ def person_layer(doc_people: DataFrame, authors_total: DataFrame, doc: str = "do
 
 def person_technology(links: DataFrame, doc_people: DataFrame, kind: str = "declarado") -> DataFrame:
     """NW-5: ``links(origin, work)`` and ``doc_people(work, person_id)`` to person and technology."""
-    pairs = skew_join(links.select("origin", "work").distinct(), doc_people.select("work", "person_id"), ["work"])
+    pairs = links.select("origin", "work").distinct().join(doc_people.select("work", "person_id").distinct(), "work")
     return pairs.select("person_id", F.col("origin").alias("technology"), "work").distinct().withColumn(
         "link", F.lit(kind))
 

@@ -4,7 +4,8 @@ Skew rules followed throughout
 ------------------------------
 * group totals come from ``groupBy`` (map-side combine) joined back, never from an unordered window;
 * "first / top n per group" uses ``row_number() <= n``, which Spark cuts to n rows per group before the shuffle;
-* pair joins salt the keys that hold a large share of the rows (:func:`skew_join`);
+* many-to-many joins cut large groups into cells (:func:`many_to_many`); other equi joins are left to AQE, which splits
+  skewed partitions and broadcasts a side only when its measured size is small;
 * totals enter as scalar subqueries, not as cross joins.
 """
 
@@ -19,8 +20,8 @@ from pyspark.sql import functions as F
 
 from foliograph.plans.session import cut_lineage
 
-HOT_SHARE = 1 / 200  # a key is hot above this share of the rows, so there are never more than 200 hot keys
-SALTS = 32
+TILE = 4096  # rows of one side of a join group that one task takes
+MAX_GROUPS = 20_000  # most groups listed as large, and so broadcast
 
 
 def as_list(value) -> list:
@@ -30,32 +31,44 @@ def as_list(value) -> list:
 # --- joins -----------------------------------------------------------------------------------------------------------
 
 
-def heavy_keys(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> DataFrame:
-    """Keys holding more than ``share`` of all rows; by arithmetic at most ``1 / share`` of them."""
-    counts = df.groupBy(*keys).agg(F.count("*").alias("_n"))
-    total = df.agg(F.count("*")).scalar()
-    return counts.where(F.col("_n") > total * F.lit(share)).select(*keys, F.lit(True).alias("_hot"))
+def big_groups(df: DataFrame, keys: Sequence[str], limit: int, most: int = MAX_GROUPS) -> DataFrame:
+    """Groups of more than ``limit`` rows with their size, at most ``most`` of them.
 
+    A group must also hold more than ``1 / most`` of all rows, so the bound is arithmetic and the list may be broadcast.
+    """
+    sizes = df.groupBy(*keys).agg(F.count("*").alias("_n"))
+    total = sizes.agg(F.sum("_n")).scalar()
+    return sizes.where((F.col("_n") > limit) & (F.col("_n") * most > total))
 
-def skew_join(
-    left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner", salts: int = SALTS,
-    share: float = HOT_SHARE,
-) -> DataFrame:
-    """Inner or left equi join in which the hot keys of ``left`` are spread over ``salts`` tasks.
 
-    Rows of hot keys get a salt from their own content on the left, and one copy per salt on the right. The list of
-    hot keys is at most ``1 / share`` rows, which is what makes its broadcast safe.
+def many_to_many(left: DataFrame, right: DataFrame, on: Sequence[str], same: bool = False, tile: int = TILE,
+                 ) -> DataFrame:
+    """Inner join in which large groups are cut into cells of at most about ``tile`` x ``tile`` row pairs.
+
+    A row of a large group picks its tile by the hash of its content and is copied to the tiles of the other side, so
+    every pair meets in exactly one cell and no task takes a whole large group. ``same`` says that both sides have the
+    same rows per group (a self join), which saves the second count.
     """
     on = as_list(on)
-    hot = F.broadcast(heavy_keys(left, on, share))
-    salted = left.join(hot, on, "left").withColumn(
-        "_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(*left.columns), F.lit(salts))).otherwise(F.lit(0)).cast("int")
-    )
-    copies = right.join(hot, on, "left").withColumn(
-        "_salt",
-        F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))),
-    )
-    return salted.drop("_hot").join(copies.drop("_hot"), on + ["_salt"], how).drop("_salt")
+
+    def tiles(df: DataFrame, name: str) -> DataFrame:
+        return big_groups(df, on, tile).select(*on, F.ceil(F.col("_n") / tile).cast("int").alias(name))
+
+    if same:
+        cells = F.broadcast(tiles(left, "_ml").withColumn("_mr", F.col("_ml")))
+    else:
+        cells = F.broadcast(tiles(left, "_ml").join(F.broadcast(tiles(right, "_mr")), on, "full"))
+
+    def copies(df: DataFrame, own: str, other: str, at: str, across: str) -> DataFrame:
+        sized = df.join(cells, on, "left")
+        mine, theirs = F.coalesce(own, F.lit(1)), F.coalesce(other, F.lit(1))
+        return sized.select(
+            *df.columns, F.pmod(F.xxhash64(*df.columns), mine).cast("int").alias(at),
+            F.explode(F.sequence(F.lit(0), theirs - 1)).alias(across))
+
+    spread = copies(left, "_ml", "_mr", "_i", "_j")
+    joined = spread.join(copies(right, "_mr", "_ml", "_j", "_i"), on + ["_i", "_j"])
+    return joined.drop("_i", "_j")
 
 
 def block_pairs(
@@ -65,20 +78,20 @@ def block_pairs(
     """J-5 / J-7: unordered pairs ``key1 < key2`` inside equal blocks, with an optional residual condition.
 
     ``residual`` is a function of nothing returning a Column over ``<carry>1`` / ``<carry>2``. Rows must be unique per
-    (block, key).
+    (block, key). The input is read three times: give it a table, a ``distinct`` or an aggregate, whose shuffle Spark
+    reuses.
     """
     block = as_list(block)
     first, second = names or (key + "1", key + "2")
     left = df.select(*block, F.col(key).alias(first), *[F.col(c).alias(c + "1") for c in carry])
     right = df.select(*block, F.col(key).alias(second), *[F.col(c).alias(c + "2") for c in carry])
-    pairs = skew_join(left, right, block).where(F.col(first) < F.col(second))
+    pairs = many_to_many(left, right, block, same=True).where(F.col(first) < F.col(second))
     return pairs if residual is None else pairs.where(residual())
 
 
 def co_pairs(df: DataFrame, group: str, item: str, other: str) -> DataFrame:
     """J-6: ordered pairs of different items of one group."""
-    base = df.select(group, item).distinct()
-    return skew_join(base, base.select(group, F.col(item).alias(other)), [group]).where(F.col(item) != F.col(other))
+    return symmetrise(block_pairs(df.select(group, item).distinct(), [group], item, names=(item, other)), item, other)
 
 
 def keep_matching(df: DataFrame, other: DataFrame, on: Sequence[str]) -> DataFrame:
@@ -95,8 +108,8 @@ key_difference = drop_matching
 
 
 def expand(df: DataFrame, other: DataFrame, on: Sequence[str]) -> DataFrame:
-    """J-4: many-to-many inner join with hot keys salted."""
-    return skew_join(df, other, as_list(on))
+    """J-4: many-to-many inner join with large groups cut into cells."""
+    return many_to_many(df, other, on)
 
 
 def lookup(

@@ -161,6 +161,13 @@ def read_parquet(spark: SparkSession, path: str, columns: Sequence[str] | None =
     return df if columns is None else df.select(*columns)
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Rows of a small scan over all cores, before per-row text work; a scan with enough tasks stays as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    files = df.inputFiles()
+    return df.repartition(cores, key) if len(files) < cores else df
+
+
 def write_tables(tables: Mapping[str, DataFrame], directory: str, compression: str = "zstd") -> list[str]:
     """IO-11: one Parquet directory per table."""
     paths = []
