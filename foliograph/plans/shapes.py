@@ -14,6 +14,8 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -304,15 +306,10 @@ def unpivot(df: DataFrame, ids: Sequence[str], values: Sequence[str], name: str,
 
 
 def mean_vector(df: DataFrame, keys: Sequence[str], vec: str, out: str | None = None) -> DataFrame:
-    """AG-16: element-wise mean of the vectors of a group, combined on the map side."""
-    keys = as_list(keys)
-    means = (
-        df.select(*keys, F.posexplode(vec).alias("_i", "_x"))
-        .groupBy(*keys, "_i")
-        .agg(F.avg(F.col("_x").cast("double")).alias("_m"))
-    )
-    packed = means.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_i", "_m"))).alias("_p"))
-    return packed.select(*keys, F.transform("_p", lambda p: p["_m"]).alias(out or vec))
+    """AG-16: element-wise mean of the vectors of a group, summed on the map side."""
+    dense = df.select(*as_list(keys), array_to_vector(F.col(vec).cast("array<double>")).alias("_v"))
+    means = dense.groupBy(*as_list(keys)).agg(Summarizer.mean(F.col("_v")).alias("_m"))
+    return means.select(*as_list(keys), vector_to_array("_m").alias(out or vec))
 
 
 def pair_stats(df: DataFrame, window: Column, a: str, b: str, doc: str) -> DataFrame:
