@@ -355,7 +355,7 @@ SELECT doc_uid, CAST(ord AS INTEGER) AS ord, work, person_id, exact FROM cand
 """)
 def mention_candidates(t: Tables):
     mentions, signatures, _, _ = mention_inputs(t)
-    return en.candidates(mentions, signatures).drop("surname", "initials")
+    return en.candidates(mentions, signatures).drop("n_ini", "people")
 
 
 @query("surname_rarity", f"""

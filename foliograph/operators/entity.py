@@ -216,9 +216,14 @@ def form_candidates(mentions: DataFrame, signatures: DataFrame) -> DataFrame:
 
 
 def candidates(mentions: DataFrame, signatures: DataFrame) -> DataFrame:
-    """ER-10: (doc_uid, ord, work, surname, initials, person_id, exact)."""
+    """ER-10: (doc_uid, ord, work, person_id, exact, n_ini, people), ``people`` being those with the surname.
+
+    What depends on the spelling alone is worked out per spelling and joins the mentions as numbers.
+    """
+    forms = form_candidates(mentions, signatures).join(surname_rarity(signatures), "surname").withColumn(
+        "n_ini", F.length("initials"))
     return mentions.select("doc_uid", "ord", "work", "surname", "initials").join(
-        form_candidates(mentions, signatures), ["surname", "initials"])
+        forms, ["surname", "initials"]).drop("surname", "initials")
 
 
 def learned_units(resolved: DataFrame, work_units: DataFrame) -> DataFrame:
@@ -266,16 +271,15 @@ def score(cand: DataFrame, learned_ev: DataFrame, coauthor_ev: DataFrame) -> Dat
     return joined.withColumn("unit", unit).withColumn("n_coauthors", n).withColumn("score", points)
 
 
-def decide(scored: DataFrame, rarity: DataFrame) -> DataFrame:
+def decide(scored: DataFrame) -> DataFrame:
     """ER-13: one decision per mention; the lowest person id wins a tie in points."""
     ranked = F.array_sort(F.collect_list(F.struct(
         (-F.col("score")).alias("down"), "person_id", "exact", "unit", "n_coauthors")))
-    grouped = scored.groupBy("doc_uid", "ord", "work", "surname", "initials").agg(
+    grouped = scored.groupBy("doc_uid", "ord", "work", "n_ini", "people").agg(
         F.count("*").alias("n"), F.count_if("exact").alias("n_exact"), ranked.alias("r"))
     one = grouped.select(
         "*", F.col("r")[0].alias("b"), (-F.col("r")[0]["down"]).alias("s1"),
-        F.coalesce(-F.get("r", F.lit(1))["down"], F.lit(0)).alias("s2"), F.length("initials").alias("n_ini"))
-    one = one.join(rarity, "surname", "left").withColumn("people", F.coalesce("people", F.lit(0)))
+        F.coalesce(-F.get("r", F.lit(1))["down"], F.lit(0)).alias("s2"))
     single, several = F.col("n") == 1, F.col("n") > 1
     margin = F.col("s1") - F.col("s2")
     telling = (
@@ -315,14 +319,13 @@ def resolve_mentions(mentions: DataFrame, signatures: DataFrame, known_units: Da
     """
     mentions = cut_lineage(mentions)
     deposits = work_units.where(F.col("unit_id").isNotNull()).select("work", "unit_id").distinct()
-    rarity = surname_rarity(signatures)
     found = candidates(mentions, signatures)
     known = unit_evidence(found, known_units, deposits).withColumn("known_unit", F.lit(True))
     cand = cut_lineage(found.join(known, ["work", "person_id"], "left").na.fill(False, ["known_unit"]))
     resolved = cand.select("doc_uid", "ord", "work", "person_id").limit(0)
     for i in range(rounds):
         learned = unit_evidence(cand.where(~F.col("known_unit")), learned_units(resolved, deposits), deposits)
-        decided = demote_conflicts(decide(score(cand, learned, coauthor_evidence(cand, resolved)), rarity))
+        decided = demote_conflicts(decide(score(cand, learned, coauthor_evidence(cand, resolved))))
         if i < rounds - 1:
             kept = decided.where(F.col("level").isin("A", "B"))
             resolved = cut_lineage(kept.select("doc_uid", "ord", "work", "person_id"))
