@@ -87,7 +87,7 @@ def document_mart(t: Tables):
 
 
 @query("work_lift", f"""
-WITH {BASE} m AS (SELECT o_orderkey AS doc_uid, o_orderkey // 3 + 10000000 AS work FROM orders WHERE o_orderkey % 4 <> 0),
+WITH {BASE} m AS (SELECT o_orderkey AS doc_uid, o_orderkey // 3 + 10000000 AS work FROM orders WHERE o_orderstatus <> 'P'),
 pl AS (SELECT doc_uid, person_id, role, CASE WHEN role = 'autor' THEN 'B' WHEN role = 'membro' THEN 'C' ELSE 'A' END AS level FROM lk)
 SELECT coalesce(work, doc_uid) AS doc_uid, person_id, role, min(level) AS level FROM pl LEFT JOIN m USING (doc_uid) WHERE level <> 'C' GROUP BY ALL
 """)
@@ -98,12 +98,12 @@ def work_lift(t: Tables):
 
 
 def record_work(t: Tables):
-    return t.orders.where(F.col("o_orderkey") % 4 != 0).select(
+    return t.orders.where(F.col("o_orderstatus") != "P").select(
         F.col("o_orderkey").alias("doc_uid"), (F.floor(F.col("o_orderkey") / 3) + 10000000).alias("work"))
 
 
 @query("unit_and_keyword_lift", f"""
-WITH {BASE} m AS (SELECT o_orderkey AS doc_uid, o_orderkey // 3 + 10000000 AS work FROM orders WHERE o_orderkey % 4 <> 0)
+WITH {BASE} m AS (SELECT o_orderkey AS doc_uid, o_orderkey // 3 + 10000000 AS work FROM orders WHERE o_orderstatus <> 'P')
 SELECT 'unit' AS what, count(*) AS n, count(DISTINCT doc_uid) AS n_docs FROM (SELECT DISTINCT coalesce(work, doc_uid) AS doc_uid, unit_id, role FROM du LEFT JOIN m USING (doc_uid))
 UNION ALL SELECT 'keyword', count(*), count(DISTINCT doc_uid) FROM (SELECT DISTINCT coalesce(work, doc_uid) AS doc_uid, keyword FROM kw LEFT JOIN m USING (doc_uid))
 """)

@@ -287,22 +287,18 @@ def source_priority(t: Tables):
 
 
 @query("word_overlap", f"""
-WITH d AS (SELECT doc_id, source, list_distinct(regexp_extract_all(lower(strip_accents(split_part(text, chr(10), 1))), '[a-z]+')) AS w FROM documents),
-n AS (SELECT *, lead(doc_id) OVER v AS next_id, lead(w) OVER v AS nw FROM d WINDOW v AS (PARTITION BY source ORDER BY doc_id))
-SELECT doc_id, next_id, {s6("CASE WHEN least(len(w), len(nw)) = 0 THEN 1.0 ELSE len(list_intersect(w, nw)) / least(len(w), len(nw))::DOUBLE END")} AS overlap
-FROM n WHERE next_id IS NOT NULL
+WITH d AS (SELECT doc_id, list_distinct(regexp_extract_all(lower(strip_accents(split_part(text, chr(10), 1))), '[a-z]+')) AS a,
+           list_distinct(regexp_extract_all(lower(strip_accents(substr(text, length(split_part(text, chr(10), 1)) + 1))), '[a-z]+')) AS b FROM documents)
+SELECT doc_id, {s6("CASE WHEN least(len(a), len(b)) = 0 THEN 1.0 ELSE len(list_intersect(a, b)) / least(len(a), len(b))::DOUBLE END")} AS overlap FROM d
 """)
 def word_overlap(t: Tables):
-    """SO-4 between consecutive documents of a source."""
-    from pyspark.sql import Window as W
-
-    first = tx.fold(F.substring_index("text", "\n", 1))
-    words = t.documents.select("doc_id", "source", F.array_distinct(
-        F.regexp_extract_all(first, F.lit("[a-z]+"), F.lit(0))).alias("w"))
-    w = W.partitionBy("source").orderBy("doc_id")
-    both = words.withColumn("next_id", F.lead("doc_id").over(w)).withColumn("nw", F.lead("w").over(w))
-    return both.where(F.col("next_id").isNotNull()).select(
-        "doc_id", "next_id", r6(sh.overlap(F.col("w"), F.col("nw"))).alias("overlap"))
+    """SO-4 between the first line of a document and the rest."""
+    def words(c):
+        return F.array_distinct(F.regexp_extract_all(tx.fold(c), F.lit("[a-z]+"), F.lit(0)))
+
+    first = F.substring_index("text", "\n", 1)
+    both = t.texts.select("doc_id", words(first).alias("a"), words(F.substr("text", F.length(first) + 1)).alias("b"))
+    return both.select("doc_id", r6(sh.overlap(F.col("a"), F.col("b"))).alias("overlap"))
 
 
 @query("densified_series", """

@@ -310,12 +310,11 @@ def text_search(t: Tables):
 
 @query("folded_order", """
 SELECT word, n, row_number() OVER (ORDER BY strip_accents(lower(word)), word) AS position FROM (
-  SELECT w AS word, count(*) AS n FROM (SELECT unnest(regexp_extract_all(text, '[A-Za-zÀ-ú]+')) AS w FROM documents
-  WHERE lang = 'de') GROUP BY 1)
+  SELECT w AS word, count(*) AS n FROM (SELECT unnest(regexp_extract_all(text, '[A-Za-zÀ-ú]+')) AS w FROM documents) GROUP BY 1)
 """)
 def folded_order(t: Tables):
     """SL-3: accent-insensitive order of the vocabulary."""
-    words = t.texts.where(F.col("lang") == "de").select(
+    words = t.texts.select(
         F.explode(F.regexp_extract_all("text", F.lit("[A-Za-zÀ-ú]+"), F.lit(0))).alias("word"))
     counts = words.groupBy("word").agg(F.count("*").alias("n"))
     return sh.global_numbered(counts.withColumn("_k", tx.fold(F.col("word"))), ["_k", "word"]).drop("_k")

@@ -171,7 +171,7 @@ cg AS (SELECT i, avg(v) AS m FROM ci GROUP BY i), c2 AS (SELECT theme, i, v - m
 c3 AS (SELECT theme, sqrt(sum(v * v)) AS n FROM c2 GROUP BY theme),
 ref AS (SELECT theme, list(v / n ORDER BY i) AS vec FROM c2 JOIN c3 USING (theme) GROUP BY theme),
 p AS (SELECT id, kind, theme, round(list_dot_product(cal.vec, ref.vec), 9) AS s FROM cal, ref
-      WHERE CASE WHEN kind = 'projeto' THEN id % 7 >= 2 ELSE id % 5 >= 1 END),
+      WHERE CASE WHEN kind = 'projeto' THEN label >= 3 ELSE label >= 2 END),
 r AS (SELECT id, kind, theme AS reference, CAST(row_number() OVER (PARTITION BY id ORDER BY s DESC, theme) AS INTEGER) AS rank, round(s, 4) AS sim FROM p),
 lim AS (SELECT kind, quantile_cont(sim, 1.0 / 3) AS lo, quantile_cont(sim, 2.0 / 3) AS hi FROM r WHERE rank = 1 GROUP BY kind)
 SELECT id, kind, reference, rank, sim, CASE WHEN sim >= hi THEN 'alta' WHEN sim >= lo THEN 'media' ELSE 'baixa' END AS confidence
@@ -180,7 +180,7 @@ FROM r JOIN lim USING (kind) WHERE rank <= 3
 def top3_reference_confidence(t: Tables):
     vecs = cut_lineage(calibrated(t))
     refs = cut_lineage(centroids(vecs)).withColumnRenamed("theme", "id")
-    scope = F.when(F.col("kind") == "projeto", F.col("id") % 7 >= 2).otherwise(F.col("id") % 5 >= 1)
+    scope = F.when(F.col("kind") == "projeto", F.col("label") >= 3).otherwise(F.col("label") >= 2)
     return vc.top_reference(vecs, refs, "kind", scope=scope)
 
 
@@ -198,8 +198,7 @@ def similar_lookup(t: Tables):
 
 
 @query("retrieval_eval", f"""
-WITH {CAL_SQL} gold AS (SELECT id AS source, lead(id) OVER (PARTITION BY label ORDER BY id) AS target FROM cal),
-gd AS (SELECT g.source, g.target FROM gold g JOIN cal c ON c.id = g.source WHERE target IS NOT NULL AND c.kind = 'tecnologia'),
+WITH {CAL_SQL} gd AS (SELECT a.id AS source, b.id AS target FROM cal a JOIN cal b ON b.id = a.id + 1 WHERE a.kind = 'tecnologia'),
 cited AS (SELECT DISTINCT target AS id FROM gd),
 pool AS (SELECT * FROM cal WHERE id IN (SELECT id FROM cited) UNION ALL
          (SELECT * FROM cal WHERE id NOT IN (SELECT id FROM cited) ORDER BY md5(id || '|42'), id LIMIT 200)),
@@ -210,12 +209,9 @@ SELECT count(*) AS n, {s6("avg(CASE WHEN rank <= 10 THEN 1.0::DOUBLE ELSE 0 END)
        {s6("avg(1.0 / rank)")} AS mrr, {s6("quantile_cont(rank, 0.5)")} AS median_rank FROM rk
 """)
 def retrieval_eval(t: Tables):
-    from pyspark.sql import Window as W
-
     vecs = cut_lineage(calibrated(t))
-    after = F.lead("id").over(W.partitionBy("label").orderBy("id"))
-    gold = vecs.select("kind", F.col("id").alias("source"), after.alias("target")).where(
-        F.col("target").isNotNull() & (F.col("kind") == "tecnologia"))
+    cited = vecs.select(F.col("id").alias("target"), (F.col("id") - 1).alias("source"))
+    gold = vecs.where(F.col("kind") == "tecnologia").select(F.col("id").alias("source")).join(cited, "source")
     ranks = vc.gold_ranks(vecs, vc.retrieval_pool(vecs, gold, 200), gold)
     out = vc.evaluate(ranks)
     return out.select("n", *[r6(F.col(c)).alias(c) for c in out.columns if c != "n"])
@@ -232,22 +228,24 @@ def cluster_refit(t: Tables):
 
 CACHE_SQL = """
 tx AS (SELECT doc_id AS doc_uid, sha1('m|512|query: ' || text) AS hash FROM documents),
-old AS (SELECT sha1('m|512|query: ' || CASE WHEN doc_id % 7 = 0 THEN upper(text) ELSE text END) AS hash, min(n_chars) AS v
-        FROM documents WHERE doc_id % 5 <> 0 GROUP BY 1),
-imp AS (SELECT hash, -1 AS v FROM (SELECT DISTINCT hash FROM tx WHERE doc_uid % 11 = 0)),
+old AS (SELECT sha1('m|512|query: ' || CASE WHEN lang = 'de' THEN upper(text) ELSE text END) AS hash, min(n_chars) AS v
+        FROM documents WHERE lang <> 'es' GROUP BY 1),
+imp AS (SELECT hash, -1 AS v FROM (SELECT DISTINCT hash FROM tx JOIN labels ON labels.doc_id = doc_uid WHERE quality = 1)),
 merged AS (SELECT hash, v FROM imp UNION ALL SELECT hash, v FROM old WHERE hash NOT IN (SELECT hash FROM imp)),
 kept AS (SELECT * FROM merged WHERE hash IN (SELECT hash FROM tx)),
 """
 
 
 def cache_inputs(t: Tables):
-    base = t.texts.select(F.col("doc_id").alias("doc_uid"), "text", "n_chars")
+    """The cache of an earlier load: one language not seen yet, one written differently; labelled texts come as a batch."""
+    base = t.texts.select(F.col("doc_id").alias("doc_uid"), "text", "n_chars", "lang")
     texts = base.select("doc_uid", sc.text_hash("m", 512, F.concat(F.lit("query: "), "text")).alias("hash"))
-    before = F.when(F.col("doc_uid") % 7 == 0, F.upper("text")).otherwise(F.col("text"))
-    old = base.where(F.col("doc_uid") % 5 != 0).select(
+    before = F.when(F.col("lang") == "de", F.upper("text")).otherwise(F.col("text"))
+    old = base.where(F.col("lang") != "es").select(
         sc.text_hash("m", 512, F.concat(F.lit("query: "), before)).alias("hash"), "n_chars").groupBy("hash").agg(
         F.array(F.min("n_chars").cast("double")).alias("vec"))
-    imported = texts.where(F.col("doc_uid") % 11 == 0).select("hash", F.array(F.lit(-1.0)).alias("vec")).distinct()
+    batch = t.labels.where(F.col("quality") == 1).select(F.col("doc_id").alias("doc_uid"))
+    imported = texts.join(batch, "doc_uid", "left_semi").select("hash", F.array(F.lit(-1.0)).alias("vec")).distinct()
     return texts, old, imported
 
 
