@@ -8,6 +8,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from foliograph.functions.text import (
@@ -300,12 +301,14 @@ def decide(scored: DataFrame) -> DataFrame:
 
 
 def demote_conflicts(decided: DataFrame) -> DataFrame:
-    """ER-14: one person resolved twice in a record makes all those mentions ambiguous."""
-    twice = decided.where(F.col("level").isin("A", "B")).groupBy("doc_uid", "person_id").agg(
-        F.count("*").alias("_n")).where(F.col("_n") > 1)
-    joined = decided.join(twice, ["doc_uid", "person_id"], "left")
-    demoted = F.when(F.col("_n").isNotNull() & F.col("level").isin("A", "B"), "C").otherwise(F.col("level"))
-    return joined.withColumn("level", demoted).select(*decided.columns)
+    """ER-14: one person resolved twice in a record makes all those mentions ambiguous.
+
+    A window over (record, person), whose groups are a few mentions: joining a count back would work out the whole round
+    twice.
+    """
+    sure = F.col("level").isin("A", "B")
+    n = F.count_if(sure).over(W.partitionBy("doc_uid", "person_id"))
+    return decided.withColumn("level", F.when(sure & (n > 1), "C").otherwise(F.col("level")))
 
 
 def resolve_mentions(mentions: DataFrame, signatures: DataFrame, known_units: DataFrame, work_units: DataFrame,
