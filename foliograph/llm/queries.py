@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliograph.llm import bpe, exact_dedup, packing
+from foliograph.llm import bpe, exact_dedup, licenses, packing, topk, url_filter
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -48,7 +48,45 @@ def op5_exact_dedup(spark: SparkSession, directory: str) -> DataFrame:
     return out.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+# The listed rules as (host, path, verdict).
+RULES = (("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
+         ("net", "/es/", "block"), ("net", "/fr/", "block"))
+
+
+@query("op7_url_filter", """
+    WITH r(h, p, v) AS (VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+                        ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+         u AS (SELECT row_number() OVER () AS n, page_id,
+                      translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), ''),
+                                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                      coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path FROM pages),
+         f AS (SELECT u.*, h || p AS rule, v, row_number() OVER (PARTITION BY n ORDER BY length(h || p) DESC, length(h) DESC) AS k
+               FROM u LEFT JOIN r ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p))
+    SELECT page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM f WHERE k = 1""")
+def op7_url_filter(spark: SparkSession, directory: str) -> DataFrame:
+    rules = spark.createDataFrame(RULES, "host string, path string, verdict string")
+    return url_filter.judge(table(spark, directory, "pages"), rules)
+
+
 @query("op8_packing")
 def op8_packing(spark: SparkSession, directory: str) -> DataFrame:
     pieces = packing.pack(table(spark, directory, "documents"), public_tokenizers.path(BYTE_BPE))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query("op9_topk", """
+    WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS DOUBLE)) AS e
+               FROM embeddings
+               WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+                 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+         s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+               FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 20 = 0),
+         r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+    SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20""")
+def op9_topk(spark: SparkSession, directory: str) -> DataFrame:
+    return topk.top_k(table(spark, directory, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query("op10_licenses")
+def op10_licenses(spark: SparkSession, directory: str) -> DataFrame:
+    return licenses.summary(licenses.scan(table(spark, directory, "documents")))
