@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliograph.llm import bpe, exact_dedup, licenses, packing, topk, url_filter
+from foliograph.llm import bpe, exact_dedup, licenses, packing, quality, topk, url_filter
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -38,6 +38,11 @@ def op1_bpe(spark: SparkSession, directory: str) -> DataFrame:
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+@query("op2_quality")
+def op2_quality(spark: SparkSession, directory: str) -> DataFrame:
+    return quality.classify(table(spark, directory, "documents"), table(spark, directory, "labels"))
+
+
 @query("op5_exact_dedup", f"""
     WITH d AS (SELECT doc_id, {LOWERED} AS t FROM documents)
     SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept,
