@@ -6,12 +6,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliograph.llm import bpe, exact_dedup, licenses, packing, quality, topk, url_filter
+from foliograph.llm import bpe, exact_dedup, licenses, packing, pii, quality, topk, url_filter
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
 
 WORD_BPE, BYTE_BPE = "word_bpe_49k.json", "byte_bpe_50k.json"
+# The key of the registered queries; a real corpus takes a secret one.
+PII_KEY = "foliograph-demonstration-key"
 LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
@@ -43,6 +45,12 @@ def op2_quality(spark: SparkSession, directory: str) -> DataFrame:
     return quality.classify(table(spark, directory, "documents"), table(spark, directory, "labels"))
 
 
+@query("op3_pii")
+def op3_pii(spark: SparkSession, directory: str) -> DataFrame:
+    out = pii.pseudonymise(table(spark, directory, "documents"), PII_KEY, found_col="n_replaced")
+    return out.select("doc_id", "n_replaced", "text")
+
+
 @query("op5_exact_dedup", f"""
     WITH d AS (SELECT doc_id, {LOWERED} AS t FROM documents)
     SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept,
