@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliograph.llm import bpe, exact_dedup, licenses, packing, pii, quality, topk, url_filter
+from foliograph.llm import bpe, exact_dedup, licenses, packing, pii, quality, substrings, topk, url_filter
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -51,6 +51,12 @@ def op3_pii(spark: SparkSession, directory: str) -> DataFrame:
     return out.select("doc_id", "n_replaced", "text")
 
 
+@query("op4_substrings")
+def op4_substrings(spark: SparkSession, directory: str) -> DataFrame:
+    out = substrings.remove_repeats(table(spark, directory, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 @query("op5_exact_dedup", f"""
     WITH d AS (SELECT doc_id, {LOWERED} AS t FROM documents)
     SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept,
