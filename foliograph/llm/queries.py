@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliograph.llm import bpe, exact_dedup, licenses, packing, pii, quality, substrings, topk, url_filter
+from foliograph.llm import bpe, exact_dedup, licenses, near_dedup, packing, pii, quality, substrings, topk, url_filter
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -67,6 +67,11 @@ def op5_exact_dedup(spark: SparkSession, directory: str) -> DataFrame:
     return out.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+@query("op6_near_dedup")
+def op6_near_dedup(spark: SparkSession, directory: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, directory, "documents"))
+
+
 # The listed rules as (host, path, verdict).
 RULES = (("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
          ("net", "/es/", "block"), ("net", "/fr/", "block"))
