@@ -20,8 +20,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from foliograph.llm.bpe import byte_alphabet
 from foliograph.llm.common import worker_state
 
+# Fixed value: how byte-level tokenizers cut text before merging.
+PRE_TOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
@@ -82,10 +86,11 @@ class ChunkEncoder:
 
     A space between two visible characters starts a new pre-token, so the chunks between such spaces are encoded once and
     their ids kept, ``remember`` of them. Texts with other white space beside spaces, or with special tokens, go to the
-    tokenizer whole.
+    tokenizer whole. If ids rise with the merges, as usual, they are ranks too, and a rank encoder does the Latin chunks.
     """
 
-    def __init__(self, path: str, remember: int = 1_000_000):
+    def __init__(self, path: str, remember: int = 1_500_000):
+        import json
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -94,32 +99,56 @@ class ChunkEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.remember, self.known = remember, {}
-
-    def learn(self, chunks: list[str]) -> None:
+        with open(path, encoding="utf-8") as f:
+            self.ranks = self.rank_encoder(json.load(f))
+
+    def rank_encoder(self, spec: dict):
+        """An encoder by token ranks that gives the same ids, or None if the file does not allow one."""
+        import tiktoken
+
+        model, pre = spec["model"], spec["pre_tokenizer"]
+        vocab = {k: v for k, v in model["vocab"].items() if k not in self.special}
+        made = [vocab["".join(m if isinstance(m, list) else m.split(" "))] for m in model["merges"]]
+        if made != sorted(made) or len(vocab) != 256 + len(set(made)) or spec["normalizer"] or pre["type"] != "ByteLevel" or not pre["use_regex"] or pre["add_prefix_space"]:
+            return None
+        alphabet = byte_alphabet()
+        ranks = {bytes(alphabet[c] for c in k): v for k, v in vocab.items()}
+        return tiktoken.Encoding("ranks", pat_str=PRE_TOKENS, mergeable_ranks=ranks, special_tokens={})
+
+    def learn(self, chunks: set[str]) -> None:
         """Encodes chunks, each but a text's first with the space before it; those with white space at an end stay unknown."""
-        import numpy as np
-
-        bare = [c.removeprefix(" ") for c in chunks]
-        chunks = [c for c, b in zip(chunks, bare, strict=True) if b and b.strip() == b and not any(s in b for s in self.special)]
-        for c, e in zip(chunks, self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False), strict=True):
-            self.known[c] = np.array(e.ids, "<u4").tobytes()
+        from array import array
+
+        known, rest = self.known, []
+        ranked = self.ranks.encode_ordinary if self.ranks else None
+        for c in chunks:
+            b = c[1:] if c[:1] == " " else c
+            if b and b.strip() == b:
+                if ranked and (c.isascii() or max(c) < "\u0100"):
+                    known[c] = array("I", ranked(c)).tobytes()
+                else:
+                    rest.append(c)
+        for c, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
+            known[c] = array("I", e.ids).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        import numpy as np
+        from array import array
 
         out = []
-        for at in range(0, len(texts), 256):
+        for at in range(0, len(texts), 512):
             if len(self.known) > self.remember:
                 self.known = {}
-            parts = [t.replace(" ", "\0 ").split("\0") if "\0" not in t else [t] for t in texts[at : at + 256]]
-            self.learn(list(set().union(*parts).difference(self.known)))
+            part = texts[at : at + 512]
+            whole = [any(s in t for s in self.special) or "\0" in t for t in part]
+            chunks = [[] if w else t.replace(" ", "\0 ").split("\0") for t, w in zip(part, whole, strict=True)]
+            self.learn(set().union(*chunks).difference(self.known))
             get = self.known.__getitem__
-            for t, p in zip(texts[at : at + 256], parts, strict=True):
+            for t, w, p in zip(part, whole, chunks, strict=True):
                 try:
-                    out.append(b"".join(map(get, p)))
+                    out.append(b"".join(map(get, [t] if w else p)))
                 except KeyError:  # white space that the split does not cover
-                    out.append(np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes())
+                    out.append(array("I", self.tokenizer.encode(t, add_special_tokens=False).ids).tobytes())
         return out
 
 
