@@ -88,3 +88,12 @@ def deduplicate(docs: DataFrame, index: DigestIndex, batches: int = 2, id_col: s
     groups = stored(index.groups(), "digest-groups")
     kept = F.col("doc_id").eqNullSafe(F.col("keep_id"))
     return digests.join(groups, "digest").select("doc_id", "digest", "keep_id", "group_size", kept.alias("kept"))
+
+
+def without_copies(docs: DataFrame, index: DigestIndex, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
+    """The rows of ``docs`` that stay, with their columns; of rows that repeat both id and text one stays."""
+    found = deduplicate(docs, index, id_col=id_col, text_col=text_col, **settings).where("NOT kept")
+    gone = found.select(F.col("doc_id").alias("gone_id"), F.col("digest").alias("gone_digest")).distinct()
+    mine = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("id"), text_digest(F.col(text_col)).alias("digest"))
+    left = mine.join(gone, F.col("id").eqNullSafe(F.col("gone_id")) & (F.col("digest") == F.col("gone_digest")), "left_anti")
+    return left.dropDuplicates(["id", "digest"]).select("row.*")

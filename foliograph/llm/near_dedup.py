@@ -355,3 +355,10 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     own = F.coalesce("root", "rep", "doc_id")
     out = members.join(component.select(F.col("id").alias("rep"), "root"), "rep", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"), F.coalesce(F.col("doc_id") == own, F.lit(True)).alias("kept"))
+
+
+def without_near_copies(docs: DataFrame, id_col: str = "doc_id", **settings) -> DataFrame:
+    """One row of each component of ``docs``, that of the smallest id, with its columns; rows with a null id stay."""
+    gone = near_duplicates(docs, id_col=id_col, **settings).where("NOT kept").select(F.col("doc_id").alias("gone_id"))
+    mine = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("id"))
+    return mine.join(gone, F.col("id") == F.col("gone_id"), "left_anti").select("row.*")

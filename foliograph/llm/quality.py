@@ -129,33 +129,34 @@ class RuleEnsemble:
         return 1 / (1 + F.exp(-total))
 
 
-def fit(measured: DataFrame, labels: DataFrame, rows: int = 50_000, trees: int = 24, depth: int = 3, lasso: float = 0.001,
-        id_col: str = "doc_id", label_col: str = "quality") -> RuleEnsemble:
-    """Learns from the labelled rows that are not held out, at most about ``rows`` of them."""
+def fit(docs: DataFrame, labels: DataFrame, rows: int = 50_000, trees: int = 24, depth: int = 3, lasso: float = 0.001,
+        id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> RuleEnsemble:
+    """Learns from the labelled rows that are not held out, at most about ``rows`` of them; their ids are broadcast."""
     import math
 
     from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
     from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.functions import array_to_vector
 
     known = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("double").alias("label"))
     known = known.where("label IS NOT NULL").groupBy("doc_id").agg(F.min("label").alias("label")).where(~held_out(F.col("doc_id")))
     parts = 1 << 20
-    count = known.count()
-    sample = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(parts)) < math.ceil(parts * min(1.0, rows / max(1, count))))
+    share = min(1.0, rows / max(1, known.count()))
+    sample = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(parts)) < math.ceil(parts * share))
     names = [f"s_{s}" for s in STATISTICS]
-    train = stored(measured.join(sample, "doc_id").select("label", *names).coalesce(8), "labelled")
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    train = stored(measure(texts.join(F.broadcast(sample), "doc_id"), keep=("label",)), "labelled")
+    train = train.select(F.col("kept_0").alias("label"), *names).coalesce(8)
     total, ones = train.agg(F.count("*"), F.sum("label")).first()
     if not total or ones in (0, total):
-        share = min(max((ones or 0) / total, 1e-6), 1 - 1e-6) if total else 0.5
-        return RuleEnsemble(math.log(share / (1 - share)), [])
+        level = min(max((ones or 0) / total, 1e-6), 1 - 1e-6) if total else 0.5
+        return RuleEnsemble(math.log(level / (1 - level)), [])
     vectors = VectorAssembler(inputCols=names, outputCol="features").transform(train)
     forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=7, featureSubsetStrategy="onethird").fit(vectors)
     rules = sorted({simplified(p) for p in tree_paths(forest.toDebugString)})
     if not rules:
         return RuleEnsemble(math.log(ones / (total - ones)), [])
     flags = train.select("label", F.array(*[compiled(r).cast("double") for r in rules]).alias("flags"))
-    from pyspark.ml.functions import array_to_vector
-
     held = flags.select("label", array_to_vector("flags").alias("features"))
     model = LogisticRegression(elasticNetParam=1.0, regParam=lasso, maxIter=80, standardization=False).fit(held)
     weights = model.coefficients.toArray()
@@ -164,9 +165,17 @@ def fit(measured: DataFrame, labels: DataFrame, rows: int = 50_000, trees: int =
 
 def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (),
              **learning) -> DataFrame:
-    """(doc_id, held_out, score, predicted) of every row, after the columns to ``keep``, with the model of ``labels``."""
-    measured = stored(measure(docs, id_col, text_col, keep), "statistics")
-    model = fit(measured, labels, **learning)
-    scored = measured.withColumn("score", model.score())
-    return scored.select(*[F.col(f"kept_{i}").alias(c) for i, c in enumerate(keep)], "doc_id", held_out(F.col("doc_id")).alias("held_out"),
+    """(doc_id, held_out, score, predicted) of every row, with the model of ``labels``, after the columns to ``keep``.
+
+    The kept columns are named kept_0, kept_1 and so on.
+    """
+    model = fit(docs, labels, id_col=id_col, text_col=text_col, **learning)
+    scored = measure(docs, id_col, text_col, keep).withColumn("score", model.score())
+    return scored.select(*[f"kept_{i}" for i in range(len(keep))], "doc_id", held_out(F.col("doc_id")).alias("held_out"),
                          "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def accepted(docs: DataFrame, labels: DataFrame, **settings) -> DataFrame:
+    """The rows of ``docs`` that are predicted to be of good quality, with their columns."""
+    scored = classify(docs, labels, keep=tuple(docs.columns), **settings).where("predicted = 1")
+    return scored.select(*[F.col(f"kept_{i}").alias(c) for i, c in enumerate(docs.columns)])
