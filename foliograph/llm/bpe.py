@@ -33,7 +33,7 @@ def byte_alphabet() -> dict[str, int]:
 class ForcedBoundaryEncoder:
     """Encodes texts as the tokenizer file at ``path`` does, fragment by fragment.
 
-    ``remember`` bounds the number of chunks and of fragments whose ids are kept; when it is reached they are forgotten.
+    ``remember`` bounds the number of chunks whose ids are kept, and that of fragments; when it is reached they are forgotten.
     """
 
     def __init__(self, path: str, remember: int = 600_000):
@@ -43,22 +43,33 @@ class ForcedBoundaryEncoder:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
-        from tokenizers.models import BPE
 
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        model = spec["model"]
-        self.suffix = model.get("end_of_word_suffix") or ""
-        merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
+        self.suffix = spec["model"].get("end_of_word_suffix") or ""
         # within a word no symbol carries the suffix, at its end the last one does
-        self.inner = Tokenizer(BPE(vocab=model["vocab"], merges=merges))
-        self.last = Tokenizer(BPE(vocab=model["vocab"], merges=merges, end_of_word_suffix=self.suffix)) if self.suffix else self.inner
+        self.last = self.merger(spec["model"], self.suffix)
+        self.inner = self.merger(spec["model"], "") if self.suffix else self.last
         whole = Tokenizer.from_file(path)
         self.normalizer, self.pre = whole.normalizer, whole.pre_tokenizer
         self.special = {t["content"]: int(t["id"]).to_bytes(4, "little") for t in spec["added_tokens"]}
         self.at_special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
-        self.joined = self.pairs_within(model["vocab"])
-        self.remember, self.chunks, self.fragments = remember, {"": b""}, {}
+        # separators to Python that are visible characters to the tokenizer
+        self.odd = re.compile("[\x1c-\x1f]")
+        self.space = re.compile("[ \\t\\n\\v\\f\\r]+")
+        self.joined = self.pairs_within(spec["model"]["vocab"])
+        self.remember, self.chunks, self.ends, self.inners = remember, {"": b""}, {}, {}
+
+    def merger(self, model: dict, suffix: str):
+        """A tokenizer that merges fragments, given with spaces between them."""
+        from tokenizers import Tokenizer
+        from tokenizers.models import BPE
+        from tokenizers.pre_tokenizers import WhitespaceSplit
+
+        merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
+        out = Tokenizer(BPE(vocab=model["vocab"], merges=merges, **({"end_of_word_suffix": suffix} if suffix else {})))
+        out.pre_tokenizer = WhitespaceSplit()
+        return out
 
     def pairs_within(self, vocab: dict[str, int]) -> set[str]:
         """Pairs of neighbouring symbols inside some token; every other pair is a certain cut."""
@@ -69,43 +80,66 @@ class ForcedBoundaryEncoder:
                 pairs.update(map("".join, zip(token, token[1:], strict=False)))
         return pairs
 
-    def split(self, word: str) -> list[tuple[str, bool]]:
-        """A word of byte symbols, cut at forced boundaries; the flag tells the fragment that ends the word."""
-        joined, start, out = self.joined, 0, []
+    def split(self, word: str) -> list[str]:
+        """A word of byte symbols, cut at forced boundaries."""
+        from operator import concat
+
+        if self.joined.issuperset(map(concat, word, word[1:])):
+            return [word]
+        start, out = 0, []
         for i in range(1, len(word)):
-            if word[i - 1 : i + 1] not in joined:
-                out.append((word[start:i], False))
+            if word[i - 1 : i + 1] not in self.joined:
+                out.append(word[start:i])
                 start = i
-        out.append((word[start:], True))
-        return out
-
-    def words(self, chunk: str) -> list[str]:
-        chunk = self.normalizer.normalize_str(chunk) if self.normalizer else chunk
-        return [w for w, _ in self.pre.pre_tokenize_str(chunk)]
+        return [*out, word[start:]]
+
+    def words(self, chunks: list[str]) -> list[list[str]]:
+        """The pre-tokens of each chunk; all are cut together with spaces between them, if they hold no other space."""
+        text = " ".join(chunks)
+        text = self.normalizer.normalize_str(text) if self.normalizer else text
+        if text.count(" ") != len(chunks) - 1:
+            return [self.words([c])[0] for c in chunks] if len(chunks) > 1 else [[w for w, _ in self.pre.pre_tokenize_str(text)]]
+        found: list[list[str]] = []
+        end = -1
+        starts = [len(c) + 1 for c in text.split(" ")]
+        for word, (at, _) in self.pre.pre_tokenize_str(text):
+            while at > end:
+                end += starts[len(found)]
+                found.append([])
+            found[-1].append(word)
+        return found + [[] for _ in range(len(chunks) - len(found))]
+
+    def merge(self, model, fragments: list[str], known: dict[str, bytes]) -> None:
+        if not fragments:
+            return
+        e = model.encode(" ".join(fragments), add_special_tokens=False)
+        ids, of = e.ids, e.word_ids
+        start, n = 0, len(ids)
+        for i, f in enumerate(fragments):
+            stop = start
+            while stop < n and of[stop] == i:
+                stop += 1
+            known[f] = b"".join([x.to_bytes(4, "little") for x in ids[start:stop]])
+            start = stop
 
     def learn(self, chunks: list[str]) -> None:
         """Encodes chunks that were not met before."""
-        if len(self.chunks) > self.remember:
-            self.chunks = {"": b""}
-        if len(self.fragments) > self.remember:
-            self.fragments = {}
-        cut = [[f for w in self.words(c) for f in self.split(w)] for c in chunks]
-        new = list(dict.fromkeys(f for fs in cut for f in fs if f not in self.fragments))
-        for ends, model in ((False, self.inner), (True, self.last)):
-            part = [f for f in new if f[1] is ends]
-            for f, e in zip(part, model.encode_batch_fast([f[0] for f in part], add_special_tokens=False), strict=True):
-                self.fragments[f] = b"".join(i.to_bytes(4, "little") for i in e.ids)
-        known = self.fragments
-        for c, fs in zip(chunks, cut, strict=True):
-            self.chunks[c] = b"".join([known[f] for f in fs])
+        cut = [[self.split(w) for w in ws] for ws in self.words(chunks)]
+        if len(self.ends) + len(self.inners) > self.remember:
+            self.ends, self.inners = {}, {}
+        ends, inners = self.ends, self.inners if self.suffix else self.ends
+        self.merge(self.last, list({w[-1] for ws in cut for w in ws}.difference(ends)), ends)
+        self.merge(self.inner, list({f for ws in cut for w in ws if len(w) > 1 for f in w[:-1]}.difference(inners)), inners)
+        for c, ws in zip(chunks, cut, strict=True):
+            self.chunks[c] = b"".join([x for w in ws for x in (*(inners[f] for f in w[:-1]), ends[w[-1]])])
 
     def plain(self, texts: list[str]) -> list[bytes]:
-        """Texts without special tokens. Tokens never reach over a space, so the chunks between spaces come first."""
+        """Texts without special tokens. Tokens never reach over white space, so the chunks between come first."""
         out = []
         for first in range(0, len(texts), 256):
-            parts = [t.split(" ") for t in texts[first : first + 256]]
+            parts = [self.space.split(t) if self.odd.search(t) else t.split() for t in texts[first : first + 256]]
             if len(self.chunks) > self.remember:
-                self.learn([])
+                self.chunks = {"": b""}
             missing = set().union(*parts).difference(self.chunks)
             if missing:
                 self.learn(list(missing))
