@@ -294,6 +294,9 @@ def connected_components(t: Tables):
     return g.components(links, t.orders.select(F.col("o_orderkey").alias("id")))
 
 
+SETTLED = 9  # more rounds than the labels of any given table need
+
+
 def _propagation(rounds: int) -> str:
     """The label rounds as chained subqueries."""
     steps = ["l0 AS (SELECT node, node AS label FROM own)"]
@@ -309,10 +312,10 @@ l{i} AS (SELECT node, label FROM (SELECT *, row_number() OVER (PARTITION BY node
 
 @query("label_communities", f"""
 WITH {AGG} w AS (SELECT node, other, round(weight, 6) AS weight FROM sym),
-own AS (SELECT node, max(weight) AS weight FROM w GROUP BY node), {_propagation(5)},
+own AS (SELECT node, max(weight) AS weight FROM w GROUP BY node), {_propagation(SETTLED)},
 z AS (SELECT label, count(*) AS size, row_number() OVER (ORDER BY count(*) DESC, label) - 1 AS community
-      FROM l5 GROUP BY label)
-SELECT node, community, size FROM l5 JOIN z USING (label)
+      FROM l{SETTLED} GROUP BY label)
+SELECT node, community, size FROM l{SETTLED} JOIN z USING (label)
 """)
 def label_communities(t: Tables):
     return g.communities(g.aggregate_edges(edges(t)))

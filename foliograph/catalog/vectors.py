@@ -66,24 +66,29 @@ HASH_SQL = "CAST(('0x' || substr(md5({0}), 1, 8)) AS BIGINT)"
 
 
 @query("similarity_percentile", f"""
-WITH {CAL_SQL} a AS (SELECT * FROM cal WHERE kind = 'projeto'), b AS (SELECT * FROM cal WHERE kind = 'publicacao'),
-n AS (SELECT (SELECT greatest(count(*), 1) FROM a) AS na, (SELECT greatest(count(*), 1) FROM b) AS nb),
-l AS (SELECT a.id, a.vec, r.r, {HASH_SQL.format("a.id || '|' || r.r || '|42'")} % nb AS bk FROM n, a,
-      LATERAL (SELECT unnest(range(1, CAST(ceil(20000.0 / na) AS BIGINT) + 1)) AS r) r),
-q AS (SELECT b.vec, {HASH_SQL.format("b.id || '|b|42'")} % nb AS bk FROM b, n),
-nul AS (SELECT round(list_dot_product(l.vec, q.vec), 9) AS score FROM l JOIN q USING (bk)),
-hist AS (SELECT score, count(*) AS c FROM nul GROUP BY score),
-p AS (SELECT a.id AS source, b.id AS target, round(list_dot_product(a.vec, b.vec), 9) AS score FROM a, b),
-r AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY score DESC, target) AS rk FROM p)
-SELECT source, target, CAST(rk AS INTEGER) AS rank, round(100.0 * coalesce((SELECT sum(c) FROM hist WHERE hist.score < r.score), 0)
-       / (SELECT count(*) FROM nul), 2) AS percentile
-FROM r WHERE rk <= 10
+WITH {CAL_SQL} c AS (SELECT kind, count(*) AS n FROM cal GROUP BY kind),
+kp AS (SELECT x.kind AS ka, y.kind AS kb, x.n AS na, y.n AS nb, 20000.0::DOUBLE / x.n AS share FROM c x, c y),
+dr AS (SELECT ka, kb, nb, a.id, a.vec, CAST(floor(share) AS BIGINT)
+       + CAST({HASH_SQL.format("a.id || '|draw|42'")} < (share - floor(share)) * 4294967296 AS BIGINT) AS draws
+       FROM kp JOIN cal a ON a.kind = ka),
+l AS (SELECT ka, kb, vec, {HASH_SQL.format("id || '|' || r || '|42'")} % nb AS bk
+      FROM (SELECT ka, kb, nb, id, vec, unnest(range(1, draws + 1)) AS r FROM dr)),
+q AS (SELECT ka, kb, b.vec, {HASH_SQL.format("b.id || '|b|42'")} % nb AS bk FROM kp JOIN cal b ON b.kind = kb),
+nul AS (SELECT ka, kb, round(list_dot_product(l.vec, q.vec), 9) AS score FROM l JOIN q USING (ka, kb, bk)),
+hist AS (SELECT ka, kb, score, count(*) AS c FROM nul GROUP BY ALL),
+p AS (SELECT a.kind AS ka, b.kind AS kb, a.id AS source, b.id AS target, round(list_dot_product(a.vec, b.vec), 9) AS score
+      FROM cal a JOIN cal b ON a.id <> b.id),
+r AS (SELECT *, row_number() OVER (PARTITION BY source, kb ORDER BY score DESC, target) AS rk FROM p),
+t AS (SELECT * FROM r WHERE rk <= 10),
+tot AS (SELECT ka, kb, sum(c) AS total FROM hist GROUP BY ALL),
+run AS (SELECT ka, kb, score, sum(c) OVER (PARTITION BY ka, kb ORDER BY score) AS upto FROM hist)
+SELECT source, target, t.ka AS source_kind, t.kb AS target_kind, round(t.score, 4) AS cos, CAST(rk AS INTEGER) AS rank,
+       round(100.0 * CAST(coalesce(upto, 0) AS DOUBLE) / CAST(total AS DOUBLE), 2) AS percentile
+FROM t ASOF LEFT JOIN run ON run.ka = t.ka AND run.kb = t.kb AND run.score < t.score
+JOIN tot ON tot.ka = t.ka AND tot.kb = t.kb
 """)
 def similarity_percentile(t: Tables):
-    vecs = cut_lineage(calibrated(t))
-    a, b = vecs.where(F.col("kind") == "projeto"), vecs.where(F.col("kind") == "publicacao")
-    pairs = vc.top_k(a, b, 10)
-    return vc.null_percentile(pairs, vc.null_pairs(a, b, 20_000)).select("source", "target", "rank", "percentile")
+    return vc.similarity_table(cut_lineage(calibrated(t)), "kind", KINDS, n=20_000).drop("score")
 
 
 PROX_SQL = CAL_SQL + """

@@ -169,20 +169,27 @@ def components(edges: DataFrame, vertices: DataFrame, a: str = "a", b: str = "b"
     return vertices.select(vertex).distinct().join(roots, vertex, "left").withColumn(out, F.coalesce(out, vertex))
 
 
-def communities(agg: DataFrame, rounds: int = 5, digits: int = 6) -> DataFrame:
+def communities(agg: DataFrame, max_rounds: int = 100, digits: int = 6) -> DataFrame:
     """NW-11: communities by weighted label propagation, numbered from 0 by size.
 
     Every round a node takes the label with most weight among its neighbours and itself (its own label weighs as much
-    as its strongest edge, which stops two-node swaps); the smallest label wins a tie.
+    as its strongest edge, which stops two-node swaps); the smallest label wins a tie. Rounds go on until no label
+    changes; labels that still change after ``max_rounds`` raise.
     """
     both = cut_lineage(symmetrise(agg.select(A, B, F.round("weight", digits).alias("weight")), A, B))
     own = both.groupBy(F.col(A).alias("node")).agg(F.max("weight").alias("weight"))
     labels = own.select("node", F.col("node").alias("label"))
-    for _ in range(rounds):
+    for _ in range(max_rounds):
+        before = labels.select("node", F.col("label").alias("_before"))
         votes = both.join(labels.withColumnsRenamed({"node": B}), B).select(F.col(A).alias("node"), "label", "weight")
         votes = votes.unionByName(own.join(labels, "node").select("node", "label", "weight"))
         sums = votes.groupBy("node", "label").agg(F.round(F.sum("weight"), digits).alias("weight"))
-        labels = cut_lineage(top_n(sums, ["node"], [F.col("weight").desc(), "label"], 1).select("node", "label"))
+        ranked = top_n(sums, ["node"], [F.col("weight").desc(), "label"], 1).select("node", "label")
+        labels = cut_lineage(ranked.join(before, "node"))
+        if labels.where("label <> _before").isEmpty():
+            break
+    else:
+        raise RuntimeError(f"labels did not settle in {max_rounds} rounds")
     sizes = labels.groupBy("label").agg(F.count("*").alias("size"))
     ids = global_numbered(sizes, [F.col("size").desc(), F.col("label").asc()], "_pos")
     return labels.join(ids, "label").select("node", (F.col("_pos") - 1).alias("community"), "size")

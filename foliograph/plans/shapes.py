@@ -23,7 +23,6 @@ from pyspark.sql import functions as F
 from foliograph.plans.session import cut_lineage
 
 TILE = 4096  # rows of one side of a join group that one task takes
-MAX_GROUPS = 20_000  # most groups listed as large, and so broadcast
 
 
 def as_list(value) -> list:
@@ -33,14 +32,9 @@ def as_list(value) -> list:
 # --- joins -----------------------------------------------------------------------------------------------------------
 
 
-def big_groups(df: DataFrame, keys: Sequence[str], limit: int, most: int = MAX_GROUPS) -> DataFrame:
-    """Groups of more than ``limit`` rows with their size, at most ``most`` of them.
-
-    A group must also hold more than ``1 / most`` of all rows, so the bound is arithmetic and the list may be broadcast.
-    """
-    sizes = df.groupBy(*keys).agg(F.count("*").alias("_n"))
-    total = sizes.agg(F.sum("_n")).scalar()
-    return sizes.where((F.col("_n") > limit) & (F.col("_n") * most > total))
+def big_groups(df: DataFrame, keys: Sequence[str], limit: int) -> DataFrame:
+    """Groups of more than ``limit`` rows with their size."""
+    return df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > limit)
 
 
 def many_to_many(left: DataFrame, right: DataFrame, on: Sequence[str], same: bool = False, tile: int = TILE,
@@ -49,7 +43,8 @@ def many_to_many(left: DataFrame, right: DataFrame, on: Sequence[str], same: boo
 
     A row of a large group picks its tile by the hash of its content and is copied to the tiles of the other side, so
     every pair meets in exactly one cell and no task takes a whole large group. ``same`` says that both sides have the
-    same rows per group (a self join), which saves the second count.
+    same rows per group (a self join), which saves the second count. The sizes of large groups are joined on the group
+    key like any table: they are at most one row per ``tile`` rows, and AQE splits the partition of a hot group.
     """
     on = as_list(on)
 
@@ -57,9 +52,9 @@ def many_to_many(left: DataFrame, right: DataFrame, on: Sequence[str], same: boo
         return big_groups(df, on, tile).select(*on, F.ceil(F.col("_n") / tile).cast("int").alias(name))
 
     if same:
-        cells = F.broadcast(tiles(left, "_ml").withColumn("_mr", F.col("_ml")))
+        cells = tiles(left, "_ml").withColumn("_mr", F.col("_ml"))
     else:
-        cells = F.broadcast(tiles(left, "_ml").join(F.broadcast(tiles(right, "_mr")), on, "full"))
+        cells = tiles(left, "_ml").join(tiles(right, "_mr"), on, "full")
 
     def copies(df: DataFrame, own: str, other: str, at: str, across: str) -> DataFrame:
         sized = df.join(cells, on, "left")

@@ -8,13 +8,16 @@ from __future__ import annotations
 
 import re
 import unicodedata
+import uuid
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from foliograph.plans.session import ensure_checkpoint_dir
 from foliograph.plans.shapes import keep_first
 
 NULL_TOKENS = ("", "NA")
@@ -47,12 +50,13 @@ def null_tokens(df: DataFrame, tokens: Sequence[str] = NULL_TOKENS) -> DataFrame
                        for c in df.columns])
 
 
-def file_state(spark: SparkSession, path: str) -> DataFrame:
+def file_state(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """IO-2: one row per file with ``truncated`` (open quote, or no quote near the end)."""
     lines = spark.read.text(path, wholetext=True)
     quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
     closed = F.right(F.col("value"), F.lit(TAIL)).rlike(r'"\s*\z')
     return lines.select(
+        F.input_file_name().alias("path"),
         F.element_at(F.split(F.input_file_name(), "/"), -1).alias("file"),
         (~(closed & (quotes % 2 == 0))).alias("truncated"),
     )
@@ -66,24 +70,40 @@ def check_integrity(spark: SparkSession, path: str, allow_truncated: bool = Fals
     return bad
 
 
+def complete_records(text: Column) -> Column:
+    """The text of an export up to the last line break that stands outside quotes."""
+    @F.pandas_udf(T.StringType())
+    def cut(texts: pd.Series) -> pd.Series:
+        def one(whole: str) -> str:
+            parts = whole.split('"')  # every second part, from the first one, stands outside quotes
+            for i in range((len(parts) - 1) // 2 * 2, -1, -2):
+                at = parts[i].rfind("\n")
+                if at >= 0:
+                    return '"'.join([*parts[:i], parts[i][: at + 1]])
+            return ""
+
+        return texts.map(one)
+
+    return cut(text)
+
+
 def read_export(spark: SparkSession, path: str, allow_truncated: bool = False) -> DataFrame:
-    """IO-1, IO-2: all-string read with clean names; an allowed truncated file loses its last, incomplete record."""
-    bad = check_integrity(spark, path, allow_truncated)
+    """IO-1, IO-2: all-string read with clean names; an allowed truncated file loses its last, incomplete record.
+
+    Intact files are read where they lie. Each truncated one is cut after its last complete record and written to the
+    shared folder, so that both are parsed alike.
+    """
     options = dict(header=True, multiLine=True, quote='"', escape='"', inferSchema=False)
-    if not bad:
-        return null_tokens(clean_names(spark.read.csv(path, **options)))
-    # A cut file has no usable last record: keep the text up to the last line break that follows a closing quote, and
-    # parse those records as separate CSV lines.
-    whole = spark.read.text(path, wholetext=True)
-    cut = whole.select(F.regexp_replace("value", r'(?s)(.*)\n".*\z', "$1").alias("text"))
-    head = spark.read.csv(path, **{**options, "multiLine": True}).schema
-    records = cut.select(F.explode(F.split("text", r'(?<=")\r?\n(?=")')).alias("line"))
-    header = ",".join(f'"{c}"' for c in head.names)
-    parsed = records.where(F.col("line") != header).select(
-        F.from_csv("line", ", ".join(f"`{c}` string" for c in head.names),
-                   {"quote": '"', "escape": '"', "multiLine": "true"}).alias("r")
-    )
-    return null_tokens(clean_names(parsed.select("r.*")))
+    state = file_state(spark, path).select("path", "file", "truncated").orderBy("file").collect()
+    bad = [r for r in state if r["truncated"]]
+    if bad and not allow_truncated:
+        raise TruncatedFile(f"truncated export: {', '.join(r['file'] for r in bad)}")
+    paths = [r["path"] for r in state if not r["truncated"]]
+    for r in bad:
+        copy = f"{ensure_checkpoint_dir(spark)}/export-{uuid.uuid4().hex}"
+        spark.read.text(r["path"], wholetext=True).select(complete_records(F.col("value"))).coalesce(1).write.text(copy)
+        paths.append(copy)
+    return null_tokens(clean_names(spark.read.csv(paths or path, **options)))
 
 
 def require_columns(df: DataFrame, cols: Iterable[str], name: str = "table") -> DataFrame:

@@ -35,6 +35,14 @@ def test_truncated_export(spark, tmp_path):
     assert rows == [("1", "A", "linha 1\nlinha 2")]
 
 
+def test_intact_files_beside_a_cut_one(spark, tmp_path):
+    put(tmp_path / "a.csv", '"Id","T"\n"1","x"\n"2","""y""\n""z"""\n"3","last"\n')
+    put(tmp_path / "b.csv", '"Id","T"\n"4","in ""q"" and\nmore"\n"5","cut off in the mid')
+    put(tmp_path / "c.csv", 'Id,T\n6,plain\n7,"end"\n8,no qu')
+    rows = [tuple(r) for r in io.read_export(spark, str(tmp_path), allow_truncated=True).orderBy("id").collect()]
+    assert rows == [("1", "x"), ("2", '"y"\n"z"'), ("3", "last"), ("4", 'in "q" and\nmore'), ("6", "plain"), ("7", "end")]
+
+
 def test_no_closing_quote(spark, tmp_path):
     path = put(tmp_path / "open.csv", '"a"\n"1"\n"2" tail that is not quoted at all')
     with pytest.raises(io.TruncatedFile):

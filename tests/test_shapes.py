@@ -28,6 +28,24 @@ def test_large_groups_are_spread(spark):
     assert [(r["k"], r["_n"]) for r in cells] == [("hot", 1000)]
 
 
+def test_a_hot_group_is_cut_whatever_its_share(spark):
+    rows = spark.range(30_000).select(F.when(F.col("id") < 9, "hot").otherwise(F.col("id").cast("string")).alias("k"), "id")
+    assert [(r["k"], r["_n"]) for r in sh.big_groups(rows, ["k"], 4).collect()] == [("hot", 9)]
+    pairs = sh.block_pairs(rows, ["k"], "id")
+    assert pairs.count() == 36
+    plan = pairs._jdf.queryExecution().optimizedPlan().toString()
+    assert "broadcast" not in plan.lower()
+
+
+def test_labels_run_until_they_settle(spark):
+    from foliograph.operators import graph as g
+
+    # a chain whose label needs one round a step
+    agg = spark.createDataFrame([(i, i + 1, float(100 - i), 1) for i in range(12)], "node1 long, node2 long, weight double, n_docs long")
+    got = {r["node"]: r["community"] for r in g.communities(agg).collect()}
+    assert len(got) == 13 and len(set(got.values())) == 1
+
+
 def test_global_position(spark):
     df = spark.range(1000).select(F.col("id"), (F.col("id") * 37 % 101).alias("v"))
     got = {r["id"]: r["position"] for r in sh.global_numbered(df, ["v", "id"]).collect()}
