@@ -112,7 +112,8 @@ _PLAIN = {c: tg.fold_plain(n) for c, n in STATES.items()}
 _CODES = "|".join(STATES)
 _SNAMES = "|".join(sorted(_PLAIN.values(), key=lambda n: (-len(n), n)))
 _BYNAME = "CASE {0} " + " ".join(f"WHEN '{n}' THEN '{c}'" for c, n in _PLAIN.items()) + " END"
-_DISCARD = "|".join(tg.NOT_A_PLACE_BEFORE)
+_DISCARD = ("rios?|river|bacias?|fazenda|empresa|cultivar(?:es)?|cv\\.?|variedades?|racas?|breed|sitio|ilha|igarape|riacho|"
+            "represa|reservatorio|acude|comunidade|pinheiro")
 _FUNC = ", ".join(f"'{w}'" for w in tg.FUNCTION_WORDS)
 GRADED_SQL = MENTION_SQL + spans_sql("sta", list(_PLAIN.values())) + GAZ_SQL + COMMON_SQL + f"""
 cit AS (SELECT doc_uid, code FROM folded, (VALUES {', '.join(f"('{c}', '{n}')" for c, n in _PLAIN.items())}) s(code, nm)
@@ -132,7 +133,7 @@ cd AS (SELECT g.doc_uid, g.pos, count(*) AS n, min(z.place_id) AS p1, min(CASE W
 kept AS (SELECT gv2.*, cd.n, p1, pg, nc, pc, com.name IS NOT NULL AS common FROM gv2 JOIN cd ON cd.doc_uid = gv2.doc_uid AND cd.pos = gv2.pos
        LEFT JOIN com ON com.name = gv2.name
        WHERE NOT (regexp_matches(aft, '(?i)^\\s+do\\s+(sul|norte)\\b') OR (NOT is_state AND inside)
-       OR regexp_matches(bef, '(?i)\\b(?:{_DISCARD})\\.?\\s+(?:d[oae]s?\\s+)?$') OR (given IS NOT NULL AND pg IS NULL))),
+       OR regexp_matches(bef, '(?i)\\b(?:{_DISCARD})\\s+(?:d[oae]s?\\s+)?$') OR (given IS NOT NULL AND pg IS NULL))),
 vd AS (SELECT *, CASE WHEN given IS NOT NULL THEN 1 WHEN is_state THEN 2 WHEN NOT contains(name, ' ') AND nw IS NOT NULL AND nw NOT IN ({_FUNC}) THEN 3
        WHEN regexp_matches(bef, '(?i)\\b(?:munic[ií]pios?|cidade|city|municipality|municipio)\\s+(?:de|of)\\s+$') AND (n = 1 OR nc = 1) THEN 4
        WHEN common THEN 5 WHEN nc = 1 THEN 6 ELSE 7 END AS rule FROM kept),

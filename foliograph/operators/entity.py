@@ -148,9 +148,11 @@ def _leader_candidates(raw: DataFrame, names: DataFrame) -> DataFrame:
             "_last", F.element_at(tokens, -1))
 
     rest = ends(spelled.join(exact.select("raw").distinct(), "raw", "left_anti").select("raw", "ta"), "ta")
-    known = ends(names.select("person_id", name_tokens(F.col("name_norm")).alias("tb")).distinct(), "tb")
+    # of the names of a person the first compatible one counts, the current name before previous ones
+    place = F.struct((F.col("origin") != "nome").alias("later"), "name_norm")
+    known = ends(names.groupBy("person_id", name_tokens(F.col("name_norm")).alias("tb")).agg(F.min(place).alias("place")), "tb")
     near = many_to_many(rest, known, ["_first", "_last"]).where(names_compatible("ta", "tb"))
-    near = near.groupBy("raw", "person_id").agg(F.min(F.least(F.size("ta"), F.size("tb"))).alias("min_tokens"))
+    near = near.groupBy("raw", "person_id").agg(F.min_by(F.least(F.size("ta"), F.size("tb")), "place").alias("min_tokens"))
     return exact.unionByName(near.select(
         "raw", "person_id", F.lit(False).alias("exact"), "min_tokens", F.lit("tokens").alias("method")))
 
