@@ -364,7 +364,28 @@ def class_term_lists(t: Tables):
     return tg.class_labels(tg.class_terms(t.texts, "text", "source", STOP), "source").select("source", "terms")
 
 
-@query("class_labels")
+def label_sql(n: int) -> str:
+    """The composition of a label from the list ``ts``: a fold that keeps the chosen terms and the words seen."""
+    missing = "len(list_filter({0}, lambda w: NOT list_contains({1}, w))) = 0"
+    return f"""
+list_reduce(list_transform(ts, lambda t: {{'c': [t], 's': string_split(t, ' ')}}), lambda a, x: CASE
+  WHEN len(a.c) >= {n} OR len(list_distinct(x.s)) < len(x.s) OR {missing.format('x.s', 'a.s')} THEN a
+  ELSE {{'c': list_concat(list_filter(a.c, lambda e: NOT ({missing.format("string_split(e, ' ')", 'x.s')}
+             AND NOT {missing.format('x.s', "string_split(e, ' ')")})), x.c), 's': list_distinct(list_concat(a.s, x.s))}} END,
+  {{'c': CAST([] AS VARCHAR[]), 's': CAST([] AS VARCHAR[])}}).c"""
+
+
+@query("class_labels", f"""
+WITH {TERMS_SQL} li AS (SELECT source, list(term ORDER BY rank) AS ts FROM rkd WHERE rank <= 10 GROUP BY 1),
+co AS (SELECT source, array_to_string({label_sql(4)}, ', ') AS l4, array_to_string({label_sql(1)}, ', ') AS l1 FROM li),
+lb AS (SELECT source, upper(l4[1]) || lower(l4[2:]) AS label, upper(l1[1]) || lower(l1[2:]) AS head FROM co),
+siz AS (SELECT source, count(*) AS n FROM documents GROUP BY 1),
+ch AS (SELECT lb.*, CAST(source[4:] AS INTEGER) % 4 AS parent,
+              row_number() OVER (PARTITION BY CAST(source[4:] AS INTEGER) % 4 ORDER BY n DESC, source) AS rk FROM lb JOIN siz USING (source)),
+hd AS (SELECT parent, head, min(rk) AS rk FROM ch WHERE rk <= 3 GROUP BY ALL)
+SELECT source AS id, label FROM lb UNION ALL
+SELECT 'M' || parent, string_agg(head, ' · ' ORDER BY rk) FROM hd GROUP BY parent
+""")
 def class_labels(t: Tables):
     """TX-15, TX-16: composed labels of the sources and of the groups of sources above them."""
     labels = tg.class_labels(tg.class_terms(t.texts, "text", "source", STOP), "source")
