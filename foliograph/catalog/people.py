@@ -59,6 +59,30 @@ def work_grouping_by_authors(t: Tables):
     return components(wk.same_work_edges(records), records, out="work")
 
 
+@query("work_grouping_by_signatures", """
+WITH RECURSIVE a AS (SELECT l_orderkey AS id, list_distinct(list(upper(translate(CAST(l_suppkey AS VARCHAR), '0123456789', 'ABCDEFGHIJ')) || ' M')) AS w
+      FROM lineitem WHERE l_returnflag <> 'A' GROUP BY 1),
+d AS (SELECT o_orderkey AS id, o_custkey // 4 AS k, o_orderpriority AS y,
+             CASE WHEN o_orderkey % 7 = 0 OR o_orderkey % 11 = 0 THEN [] ELSE coalesce(w, []) END AS w FROM orders LEFT JOIN a ON a.id = o_orderkey),
+p AS (SELECT a.id AS a, b.id AS b FROM d a JOIN d b ON a.k = b.k AND a.y = b.y AND a.id < b.id
+      WHERE least(len(a.w), len(b.w)) = 0 OR len(list_intersect(a.w, b.w)) >= 0.5 * least(len(a.w), len(b.w))),
+s AS (SELECT a, b FROM p UNION SELECT b, a FROM p),
+r AS (SELECT a AS id, a AS reach FROM s UNION SELECT r.id, s.b FROM r JOIN s ON s.a = r.reach)
+SELECT d.id, coalesce(c.work, d.id) AS work FROM d LEFT JOIN (SELECT id, min(reach) AS work FROM r GROUP BY id) c ON c.id = d.id
+""")
+def work_grouping_by_signatures(t: Tables):
+    """ER-2 on lists of signatures: null, blank, and with signatures that other records share."""
+    surname = F.translate(F.col("l_suppkey").cast("string"), "0123456789", "ABCDEFGHIJ")
+    signed = t.lineitem.where(F.col("l_returnflag") != "A").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
+        F.array_join(F.collect_list(F.concat(F.initcap(surname), F.lit(", M. N."))), "; ").alias("signatures"))
+    letters = F.translate(F.floor(F.col("o_custkey") / 4).cast("string"), "0123456789", "abcdefghij")
+    records = t.orders.join(signed, "o_orderkey", "left").select(
+        F.col("o_orderkey").alias("id"), F.concat(F.lit("Levantamento comum de obras da linha "), letters).alias("title"),
+        F.col("o_orderpriority").alias("year"),
+        F.when(F.col("o_orderkey") % 7 == 0, None).when(F.col("o_orderkey") % 11 == 0, " ; ").otherwise(F.col("signatures")).alias("authors"))
+    return wk.group_works(records, "id", F.col("title"), F.col("year"), wk.author_keys(F.col("authors")))
+
+
 @query("work_summary", f"""
 WITH d AS (SELECT doc_id, source, text, lang, {title_key_sql(FIRST_LINE_SQL)} AS k FROM documents)
 SELECT md5(k) AS work, arg_max(doc_id, (length(text), -doc_id)) AS representative, arg_max(lang, (length(text), -doc_id)) AS lang,
@@ -185,25 +209,41 @@ LEADERS_SQL = f"""
 cust AS (SELECT c_custkey, c_nationkey, {pick_sql(GIVEN, 'c_custkey')} AS g, {pick_sql(MIDDLE, 'c_custkey // 11')} AS m,
          {pick_sql(LAST, 'c_custkey // 7')} AS l FROM customer),
 ppl AS (SELECT 'PE' || c_custkey AS person_id, c_nationkey AS unit_id, g || ' ' || m || ' ' || l AS name FROM cust),
+forms AS (SELECT person_id, unit_id, name, 0 AS later FROM ppl UNION ALL
+          SELECT 'PE' || c_custkey, c_nationkey, g || ' Xavier ' || l, 1 FROM cust WHERE c_custkey % 3 = 0 UNION ALL
+          SELECT 'PE' || c_custkey, c_nationkey, g || ' ' || l, 1 FROM cust WHERE c_custkey % 5 = 0),
 docs AS (SELECT o_orderkey AS doc_uid, CASE WHEN o_orderkey % 2 = 0 THEN c_nationkey ELSE (c_nationkey + 1) % 25 END AS unit_id,
          CASE o_orderkey % 5 WHEN 0 THEN g || ' ' || m || ' ' || l WHEN 1 THEN upper(g) || ' ' || upper(m[1]) || '. ' || l
               WHEN 2 THEN g || ' ' || l WHEN 3 THEN g || ' ' || m || ' Xavier ' || l ELSE 'Zoé ' || m || ' ' || l END AS name
          FROM orders JOIN cust ON c_custkey = o_custkey),
-pn AS (SELECT *, {name_key_sql('name')} AS nn, {TOK} AS toks FROM ppl), dn AS (SELECT *, {name_key_sql('name')} AS nn, {TOK} AS toks FROM docs),
-ex AS (SELECT doc_uid, person_id, pn.unit_id = dn.unit_id AS ok, 99 AS mt, 'exato_nome' AS method FROM dn JOIN pn USING (nn)),
+pn AS (SELECT *, {name_key_sql('name')} AS nn, {TOK} AS toks FROM forms), dn AS (SELECT *, {name_key_sql('name')} AS nn, {TOK} AS toks FROM docs),
+ex AS (SELECT doc_uid, person_id, bool_or(pn.unit_id = dn.unit_id) AS ok, 99 AS mt,
+       CASE min(later) WHEN 0 THEN 'exato_nome' ELSE 'exato_nome_anterior' END AS method FROM dn JOIN pn USING (nn) GROUP BY doc_uid, person_id),
 sp AS (SELECT DISTINCT nn, toks FROM dn WHERE doc_uid NOT IN (SELECT doc_uid FROM ex)),
-near AS (SELECT sp.nn, pn.person_id, pn.unit_id, least(len(sp.toks), len(pn.toks)) AS mt FROM sp JOIN pn
-         ON sp.toks[1] = pn.toks[1] AND sp.toks[-1] = pn.toks[-1] WHERE {compat_sql('sp.toks', 'pn.toks')}),
+near AS (SELECT sp.nn, pn.person_id, pn.unit_id, arg_min(least(len(sp.toks), len(pn.toks)), (later, pn.nn)) AS mt FROM sp JOIN pn
+         ON sp.toks[1] = pn.toks[1] AND sp.toks[-1] = pn.toks[-1] WHERE {compat_sql('sp.toks', 'pn.toks')} GROUP BY ALL),
 tk AS (SELECT doc_uid, person_id, near.unit_id = dn.unit_id AS ok, mt, 'tokens' AS method FROM dn JOIN near USING (nn)
        WHERE doc_uid NOT IN (SELECT doc_uid FROM ex)),
 cand AS (SELECT *, 'A' AS sure FROM ex UNION ALL SELECT *, 'B' FROM tk),
 dec AS (SELECT doc_uid, count(*) AS n, count(*) FILTER (WHERE ok) AS nu, min(person_id) AS p, min(CASE WHEN ok THEN person_id END) AS pu,
-        arg_min(mt, person_id) AS mt, any_value(method) AS method, any_value(sure) AS sure,
+        arg_min(mt, person_id) AS mt, arg_min(method, person_id) AS method, any_value(sure) AS sure,
         string_agg(person_id, ';' ORDER BY person_id) AS candidates FROM cand GROUP BY doc_uid),
 lv AS (SELECT *, CASE WHEN n = 1 AND (sure = 'A' OR nu = 1 OR mt >= 3) THEN sure WHEN n > 1 AND nu = 1 THEN sure ELSE 'C' END AS level FROM dec),
 """
 
 
+def leader_names(t: Tables):
+    """The current name of every person, and a longer or a shorter previous one of some."""
+    k = F.col("c_custkey")
+    given, middle, last = pick(GIVEN, k), pick(MIDDLE, F.floor(k / 11)), pick(LAST, F.floor(k / 7))
+    forms = F.array_compact(F.array(
+        F.struct(F.concat_ws(" ", given, middle, last).alias("name"), F.lit("nome").alias("origin")),
+        F.when(k % 3 == 0, F.struct(F.concat_ws(" ", given, F.lit("Xavier"), last).alias("name"), F.lit("nome_anterior").alias("origin"))),
+        F.when(k % 5 == 0, F.struct(F.concat_ws(" ", given, last).alias("name"), F.lit("nome_anterior").alias("origin")))))
+    named = t.customer.select(F.concat(F.lit("PE"), k.cast("string")).alias("person_id"), F.explode(forms).alias("f"))
+    return named.select("person_id", tx.name_key(F.col("f.name")).alias("name_norm"), F.col("f.origin").alias("origin"))
+
+
 def leader_inputs(t: Tables):
     k = F.col("c_custkey")
     given, middle, last = pick(GIVEN, k), pick(MIDDLE, F.floor(k / 11)), pick(LAST, F.floor(k / 7))
@@ -231,7 +271,7 @@ FROM docs LEFT JOIN lv USING (doc_uid)
 """)
 def leader_resolution(t: Tables):
     docs, people = leader_inputs(t)
-    links = en.resolve_leaders(docs, people, people.select("person_id", "unit_id"))
+    links = en.resolve_leaders(docs, leader_names(t), people.select("person_id", "unit_id"))
     return links.select(
         "doc_uid", "person_id", "role", "raw", "level", "method",
         F.array_join(F.transform("candidates", lambda c: c["person_id"]), ";").alias("candidates"))
@@ -245,7 +285,7 @@ UNION SELECT CASE WHEN n = 1 THEN p ELSE pu END, docs.unit_id FROM lv JOIN docs
 def person_units(t: Tables):
     """ER-17."""
     docs, people = leader_inputs(t)
-    links = en.resolve_leaders(docs, people, people.select("person_id", "unit_id"))
+    links = en.resolve_leaders(docs, leader_names(t), people.select("person_id", "unit_id"))
     flagged = people.select("person_id", "unit_id", (F.col("unit_id") % 2 == 0).alias("in_centre"))
     return en.person_units(flagged, links, docs)
 

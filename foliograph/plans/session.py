@@ -17,6 +17,15 @@ RUNTIME = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
+# Set before the session starts: checkpoint files go when nothing refers to them any more.
+STATIC = {"spark.cleaner.referenceTracking.cleanCheckpoints": "true"}
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """Gives a session of a cluster the runtime settings the operators are written for."""
+    for key, value in RUNTIME.items():
+        spark.conf.set(key, value)
+    return spark
 
 
 def local_session(app: str = "foliograph", cpus: int | str = 8, memory: str = "12g") -> SparkSession:
@@ -29,7 +38,7 @@ def local_session(app: str = "foliograph", cpus: int | str = 8, memory: str = "1
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
     )
-    for key, value in RUNTIME.items():
+    for key, value in (RUNTIME | STATIC).items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

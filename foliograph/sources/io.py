@@ -182,10 +182,12 @@ def read_parquet(spark: SparkSession, path: str, columns: Sequence[str] | None =
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Rows of a small scan over all cores, before per-row text work; a scan with enough tasks stays as it is."""
+    """A scan that Spark cuts into fewer tasks than there are cores, dealt over the cores before per-row text work.
+
+    Only a table of a few row groups is dealt anew; large files are cut by ``spark.sql.files.maxPartitionBytes``.
+    """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    files = df.inputFiles()
-    return df.repartition(cores, key) if len(files) < cores else df
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
 
 
 def write_tables(tables: Mapping[str, DataFrame], directory: str, compression: str = "zstd") -> list[str]:

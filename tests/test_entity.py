@@ -2,6 +2,9 @@
 
 import pytest
 
+from pyspark.sql import functions as F
+
+from foliograph.functions.text import name_key
 from foliograph.operators import entity as en
 
 SCORED = "doc_uid string, ord int, work string, n_ini int, people long, person_id string, exact boolean, unit boolean, n_coauthors int, score int"
@@ -91,3 +94,13 @@ def test_leaders(spark):
     assert got == {"d1": ("PE1", "A", "exato_nome"), "d2": (None, "C", "exato_nome"), "d3": ("PE3", "B", "tokens"),
                    "d4": ("PE4", "A", "exato_nome_anterior"), "d5": (None, "D", "sem_candidato"),
                    "d6": (None, "D", "sem_candidato"), "d7": (None, "C", "tokens")}
+
+
+def test_the_current_name_counts_before_a_previous_one(spark):
+    docs = spark.createDataFrame([("d", "u", "Rui A. Prado")], "doc_uid string, unit_id string, raw string")
+    names = spark.createDataFrame([("p", "RUI PRADO", "nome_anterior"), ("p", "RUI DE ALMEIDA PRADO", "nome")],
+                                  "person_id string, name_norm string, origin string")
+    units = spark.createDataFrame([("p", "elsewhere")], "person_id string, unit_id string")
+    names = names.withColumn("name_norm", name_key(F.col("name_norm")))
+    (r,) = en.resolve_leaders(docs, names, units).collect()
+    assert (r["person_id"], r["level"]) == ("p", "B")
