@@ -6,11 +6,9 @@ from pyspark.sql import functions as F
 
 from foliograph.catalog.registry import Tables, query
 from foliograph.operators import entity as en
+from foliograph.sources import io
 from foliograph.sources import project as pj
 
-LETTER_SQL = "chr(CAST(65 + {0} AS INTEGER))"
-
-
 def _units(t: Tables):
     letter = F.char(65 + F.col("n_nationkey").cast("bigint"))
     named = t.nation.select(F.col("n_nationkey").alias("unit_id"), F.concat(F.lit("Unidade "), letter).alias("name"),
@@ -90,3 +88,81 @@ def project_source_people(t: Tables):
         _unit_name(key).alias("afiliacao"), F.when(key % 5 == 0, "S").when(key % 5 == 1, "N").alias("ativado"))
     out = pj.project_source(raw, pj.PEOPLE, _units(t).select("key", "unit_id"))
     return out.select("record_id", "name", "previous_name", "active", "unit_id")
+
+
+# --- the value rules of exports and dictionaries ---
+
+QUOTED_SQL = """q AS (SELECT doc_id, chr(34) || replace(replace(substr(text, 1, 40 + CAST(doc_id % 300 AS INTEGER)), ', ', '", "'), '. ', chr(34) || chr(10) || chr(34))
+      || CASE WHEN doc_id % 3 = 0 THEN '' ELSE chr(34) || chr(10) END AS t FROM documents)"""
+
+
+def _quoted(t: Tables):
+    """Texts as quoted records, some of them cut."""
+    text = F.substring("text", F.lit(1), (40 + F.col("doc_id") % 300).cast("int"))
+    cells = F.replace(F.replace(text, F.lit(", "), F.lit('", "')), F.lit(". "), F.lit('"\n"'))
+    return t.documents.select("doc_id", F.concat(F.lit('"'), cells, F.when(F.col("doc_id") % 3 == 0, "").otherwise('"\n')).alias("t"))
+
+
+@query("export_integrity", f"""
+WITH {QUOTED_SQL}
+SELECT doc_id, NOT ((length(t) - length(replace(t, chr(34), ''))) % 2 = 0 AND regexp_matches(right(t, 20), '"\\s*\\z')) AS truncated FROM q
+""")
+def export_integrity(t: Tables):
+    return _quoted(t).select("doc_id", io.ends_inside(F.col("t")).alias("truncated"))
+
+
+@query("export_complete_records", f"""
+WITH {QUOTED_SQL} SELECT doc_id, md5(regexp_extract(t, '\\A(?:(?:[^"\\n]|"[^"]*")*\\n)*', 0)) AS kept FROM q
+""")
+def export_complete_records(t: Tables):
+    return _quoted(t).select("doc_id", F.md5(io.complete_records(F.col("t"))).alias("kept"))
+
+
+@query("export_null_tokens", """
+SELECT doc_id, CASE WHEN lang IN ('', 'NA', 'fr') THEN NULL ELSE lang END AS lang, CASE WHEN source = 'fr' THEN NULL ELSE source END AS source
+FROM documents
+""")
+def export_null_tokens(t: Tables):
+    texts = t.documents.select(F.col("doc_id").cast("string").alias("doc_id"), "lang", "source")
+    return io.null_tokens(texts, [*io.NULL_TOKENS, "fr"]).withColumn("doc_id", F.col("doc_id").cast("long"))
+
+
+@query("wordlist_entries", """
+SELECT DISTINCT w AS word FROM (SELECT trim(unnest(string_split(replace(text, ' ', chr(10) || CASE WHEN doc_id % 4 = 0 THEN '#' ELSE ' ' END), chr(10)))) AS w
+                                FROM documents) WHERE w <> '' AND NOT starts_with(w, '#')
+""")
+def wordlist_entries(t: Tables):
+    mark = F.when(F.col("doc_id") % 4 == 0, "\n#").otherwise("\n ")
+    lines = t.documents.select(F.explode(F.split(F.replace(F.col("text"), F.lit(" "), mark), "\n")).alias("line"))
+    return io.word_entries(lines, F.col("line"))
+
+
+@query("gazetteer_places", """
+SELECT CAST(c_custkey AS VARCHAR) AS place_id, c_name AS place, CASE c_custkey % 3 WHEN 0 THEN 'TO' WHEN 1 THEN 'GO' END AS state FROM customer
+""")
+def gazetteer_places(t: Tables):
+    """IO-8: the state under the old path, under the new one, or nowhere."""
+    name = F.concat(F.lit('{"id": "'), F.col("c_custkey").cast("string"), F.lit('", "nome": "'), "c_name", F.lit('"'))
+    path = (F.when(F.col("c_custkey") % 3 == 0, ', "microrregiao": {"mesorregiao": {"UF": {"sigla": "TO"}}}}')
+            .when(F.col("c_custkey") % 3 == 1, ', "regiao-imediata": {"regiao-intermediaria": {"UF": {"sigla": "GO"}}}}').otherwise("}"))
+    return io.gazetteer_rows(t.customer.select(F.from_json(F.concat(name, path), io.GAZETTEER_SCHEMA).alias("j")).select("j.*"))
+
+
+@query("ring_centroids", f"""
+WITH r AS (SELECT vec_id // 20 AS place_id, vec_id % 20 AS extra, embedding AS e FROM embeddings),
+b AS (SELECT place_id, arg_max(e, extra) AS e, max(extra) + 3 AS n FROM r GROUP BY place_id)
+SELECT place_id, round(list_sum(list_transform(e[2:n + 1], lambda x: CAST(x AS DOUBLE))) / n + 1e-9, 6) AS lat,
+       round(list_sum(list_transform(e[1:n], lambda x: CAST(x AS DOUBLE))) / n + 1e-9, 6) AS lon FROM b
+""")
+def ring_centroids(t: Tables):
+    n = (3 + F.col("vec_id") % 20).cast("int")
+    points = F.transform(F.sequence(F.lit(1), n), lambda i: F.array(
+        F.element_at("embedding", i).cast("double"), F.element_at("embedding", i + 1).cast("double")))
+    rings = t.embeddings.select(F.floor(F.col("vec_id") / 20).alias("place_id"), points.alias("ring"))
+    out = io.ring_centroid(rings)
+    return out.select("place_id", *[F.round(F.col(c) + 1e-9, 6).alias(c) for c in ("lat", "lon")])
+
+
+@query("registration_rows", "SELECT o_orderkey AS registro, o_custkey AS obra_id FROM orders")
+def registration_rows(t: Tables):
+    return io.registration_map(t.orders, "o_orderkey", "o_custkey").withColumnRenamed("o_custkey", "obra_id")

@@ -50,15 +50,19 @@ def null_tokens(df: DataFrame, tokens: Sequence[str] = NULL_TOKENS) -> DataFrame
                        for c in df.columns])
 
 
+def ends_inside(text: Column) -> Column:
+    """IO-2: whether the text of an export was cut: a quote is open, or none stands near the end."""
+    quotes = F.length(text) - F.length(F.replace(text, F.lit('"'), F.lit("")))
+    closed = F.right(text, F.lit(TAIL)).rlike(r'"\s*\z')
+    return ~(closed & (quotes % 2 == 0))
+
+
 def file_state(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """IO-2: one row per file with ``truncated`` (open quote, or no quote near the end)."""
-    lines = spark.read.text(path, wholetext=True)
-    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
-    closed = F.right(F.col("value"), F.lit(TAIL)).rlike(r'"\s*\z')
-    return lines.select(
+    """IO-2: one row per file with ``truncated``."""
+    return spark.read.text(path, wholetext=True).select(
         F.input_file_name().alias("path"),
         F.element_at(F.split(F.input_file_name(), "/"), -1).alias("file"),
-        (~(closed & (quotes % 2 == 0))).alias("truncated"),
+        ends_inside(F.col("value")).alias("truncated"),
     )
 
 
@@ -126,8 +130,13 @@ def read_ref(spark: SparkSession, path: str, schema: str | T.StructType) -> Data
 
 def read_wordlist(spark: SparkSession, path: str) -> DataFrame:
     """IO-7: one entry per line, ``#`` starts a comment line."""
-    lines = spark.read.text(path).select(F.trim("value").alias("word"))
-    return lines.where((F.col("word") != "") & ~F.startswith("word", F.lit("#"))).distinct()
+    return word_entries(spark.read.text(path), F.col("value"))
+
+
+def word_entries(lines: DataFrame, line: Column) -> DataFrame:
+    """IO-7 on lines that are there already."""
+    words = lines.select(F.trim(line).alias("word"))
+    return words.where((F.col("word") != "") & ~F.startswith("word", F.lit("#"))).distinct()
 
 
 GAZETTEER_SCHEMA = """
@@ -139,7 +148,11 @@ GAZETTEER_SCHEMA = """
 
 def read_gazetteer(spark: SparkSession, path: str) -> DataFrame:
     """IO-8: nested JSON list of places; the state comes from whichever of two paths is filled."""
-    places = spark.read.schema(GAZETTEER_SCHEMA).json(path, multiLine=True)
+    return gazetteer_rows(spark.read.schema(GAZETTEER_SCHEMA).json(path, multiLine=True))
+
+
+def gazetteer_rows(places: DataFrame) -> DataFrame:
+    """IO-8 on parsed places, columns of ``GAZETTEER_SCHEMA``."""
     return places.select(
         F.col("id").alias("place_id"),
         F.col("nome").alias("place"),
