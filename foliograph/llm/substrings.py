@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from foliograph.llm.common import stored
 
-LENGTH, GRAM, HOT = 50, 8, 200
+LENGTH, GRAM, HOT, HEAVY = 50, 8, 200, 20_000
 BASE = 0x9E3779B97F4A7C15 | 1
 
 
@@ -186,7 +186,7 @@ def as_ranges(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in columns], names=["doc_id", "sig", "first", "last"])
 
 
-def repeated_ranges(base: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
+def repeated_ranges(base: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT, heavy: int = HEAVY) -> DataFrame:
     """(doc_id, sig, first, last): word ranges covered by windows that also start in a document with a smaller id.
 
     ``base`` has doc_id, sig and text.
@@ -250,35 +250,79 @@ def repeated_ranges(base: DataFrame, length: int = LENGTH, gram: int = GRAM, hot
         packed.where("NOT hot").select("minimiser", "doc_id", "sig", "start", "packed")
         .repartition("minimiser").sortWithinPartitions("minimiser").mapInArrow(sort, RANGES)
     )
-    return usual.unionByName(hot_ranges(packed.where("hot"), length))
+    return usual.unionByName(hot_ranges(packed.where("hot"), length, heavy))
 
 
-def hot_ranges(packed: DataFrame, length: int) -> DataFrame:
-    """The same for minimisers with many super-k-mers: equal super-k-mers and equal windows are combined before shuffles."""
+def hot_ranges(packed: DataFrame, length: int, heavy: int = HEAVY) -> DataFrame:
+    """The same for minimisers with many super-k-mers: equal super-k-mers and equal windows are combined before shuffles.
+
+    Windows that make up more than 1 / ``heavy`` of all occurrences are fewer than ``heavy``; their smallest documents are
+    broadcast. The other windows that occur more than once are joined.
+    """
     places = packed.select("doc_id", "sig", "start", "digest")
     each = stored(packed.groupBy("digest").agg(F.min("doc_id").alias("low"), F.first("digests").alias("digests")), "hot-super-kmers")
-    windows = each.select("digest", "low", F.posexplode("digests").alias("at", "window"))
-    lowest = stored(windows.groupBy("window").agg(F.min("low").alias("lowest")), "hot-windows")
-    lows = stored(
-        windows.join(lowest, "window").groupBy("digest").agg(F.array_sort(F.collect_list(F.struct("at", "lowest"))).alias("lows")),
-        "hot-lowest")
+
+    def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found: dict[bytes, list[int]] = {}
+            for low, digests in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                for w in digests:
+                    held = found.get(w)
+                    if held is None:
+                        found[w] = [low, 1]
+                    else:
+                        held[0] = min(held[0], low)
+                        held[1] += 1
+            columns = [list(found), [x for x, _ in found.values()], [x for _, x in found.values()]]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.binary(), pa.int64(), pa.int64()), strict=True)],
+                                             names=["window", "low", "n"])
+
+    windows = each.select("low", "digests").mapInArrow(combine, "window binary, low long, n long")
+    lowest = stored(windows.groupBy("window").agg(F.min("low").alias("lowest"), F.sum("n").alias("n")).where("n > 1"), "hot-windows")
+    total = lowest.agg(F.sum("n")).first()[0] or 0
+    most = {bytes(r["window"]): r["lowest"] for r in lowest.where(F.col("n") * heavy > total).collect()}
+    shared = packed.sparkSession.sparkContext.broadcast(most)
+
+    def light(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = [(d, i, w) for d, ws in zip(*(c.to_pylist() for c in b.columns), strict=True) for i, w in enumerate(ws) if w not in shared.value]
+            columns = zip(*rows, strict=True) if rows else ((), (), ())
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, (pa.binary(), pa.int64(), pa.binary()), strict=True)],
+                                             names=["digest", "at", "window"])
+
+    rest = each.select("digest", "digests").mapInArrow(light, "digest binary, at long, window binary")
+    known = rest.join(lowest.where(F.col("n") * heavy <= total), "window").groupBy("digest").agg(
+        F.collect_list(F.struct("at", "lowest")).alias("known"))
+
+    def settled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            lows = []
+            for low, digests, known in zip(*(c.to_pylist() for c in b.columns[1:]), strict=True):
+                own = [shared.value.get(w, low) for w in digests]
+                for x in known or ():
+                    own[x["at"]] = x["lowest"]
+                lows.append(own)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(lows, pa.list_(pa.int64()))], names=["digest", "lows"])
+
+    lows = stored(each.join(known, "digest", "left").select("digest", "low", "digests", "known").mapInArrow(
+        settled, "digest binary, lows array<long>"), "hot-lowest")
 
     def flag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = []
             for doc, sig, start, low in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                out += [(doc, sig, start + a, start + e) for a, e in ranges_of([x["lowest"] < doc for x in low], length)]
+                out += [(doc, sig, start + a, start + e) for a, e in ranges_of([x < doc for x in low], length)]
             yield as_ranges(out)
 
     return places.join(lows, "digest").select("doc_id", "sig", "start", "lows").mapInArrow(flag, RANGES)
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT, id_col: str = "doc_id",
+def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT, heavy: int = HEAVY, id_col: str = "doc_id",
                    text_col: str = "text") -> DataFrame:
     """(doc_id, n_words, n_removed, kept): every row's text without repeated windows, its words joined by one space."""
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.coalesce(text_col, F.lit(""))).alias("sig"),
                        F.col(text_col).alias("text"))
-    ranges = repeated_ranges(base, length, gram, hot)
+    ranges = repeated_ranges(base, length, gram, hot, heavy)
     removed = ranges.groupBy("doc_id", "sig").agg(F.collect_set(F.struct("first", "last")).alias("removed"))
 
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

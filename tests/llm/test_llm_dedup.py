@@ -103,11 +103,11 @@ def test_roots(spark):
     assert near_dedup.roots(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
-@pytest.mark.parametrize("hot", [200, 1])
-def test_substrings(spark, hot):
+@pytest.mark.parametrize(("hot", "heavy"), [(200, 20_000), (1, 20_000), (1, 400), (1, 1)])
+def test_substrings(spark, hot, heavy):
     texts = hard_texts() + copies_and_passages() + ["z " * 300, "z " * 60, "z " * 49]
     rows = list(enumerate(texts))
-    got = substrings.remove_repeats(documents(spark, texts), hot=hot).collect()
+    got = substrings.remove_repeats(documents(spark, texts), hot=hot, heavy=heavy).collect()
     assert {r.doc_id: (r.n_words, r.n_removed, r.kept) for r in got} == without_repeats(rows)
     assert len(got) == len(rows)
 
