@@ -569,11 +569,21 @@ SELECT 'rows documents' AS metric, CAST(count(*) AS DOUBLE) AS value FROM docs U
 UNION ALL SELECT 'links ' || role || ' ' || level, n FROM c
 UNION ALL SELECT 'pct ' || role || ' ' || level, {s6("100.0 * n / (sum(n) OVER (PARTITION BY role))")} FROM c
 UNION ALL SELECT 'share open', {s6("avg(CASE WHEN year_end IS NULL THEN 1.0::DOUBLE ELSE 0 END)")} FROM docs
+UNION ALL SELECT 'first ' || kind, min(year) FROM docs GROUP BY kind UNION ALL SELECT 'last ' || kind, max(year) FROM docs GROUP BY kind
+UNION ALL SELECT 'count open', count(*) FROM docs WHERE year_end IS NULL
+UNION ALL SELECT 'count several roles', count(*) FROM (SELECT doc_uid FROM lk GROUP BY 1 HAVING count(DISTINCT role) > 1)
+UNION ALL SELECT 'count links in base', count(*) FROM lk WHERE doc_uid IN (SELECT doc_uid FROM docs)
 """)
 def quality_metrics(t: Tables):
     b = Base(t)
     links = b.links.withColumn("level", F.when(F.col("person_id") < "PE5", "A").otherwise("B"))
-    out = ind.quality_metrics({"documents": b.docs, "links": links}, links, {"open": (b.docs, F.col("year_end").isNull())})
+    still_open = F.col("year_end").isNull()
+    known = links.join(b.docs.select("doc_uid"), "doc_uid", "left_semi")
+    out = ind.quality_metrics(
+        {"documents": b.docs, "links": links}, links, {"open": (b.docs, still_open)},
+        {k: (b.docs.where(F.col("kind") == k), "year") for k in ind.KINDS},
+        {"open": (b.docs, still_open), "several roles": (ind.several(links, "doc_uid", "role"), F.lit(True)),
+         "links in base": (known, F.lit(True))})
     return out.withColumn("value", F.when(F.floor("value") == F.col("value"), F.col("value")).otherwise(r6(F.col("value"))))
 
 
@@ -588,6 +598,21 @@ def theme_table(t: Tables):
     return ind.theme_table(b.themes.withColumnRenamed("axis", "theme"), b.docs, labels)
 
 
+@query("theme_sheet", f"""
+WITH {BASE} low AS (SELECT axis AS theme, 2 AS level, 'M ' || split_part(axis, ' ', 1) AS parent, lower(axis) AS label, count(*) AS n_documents FROM theme JOIN docs USING (doc_uid) GROUP BY axis),
+top AS (SELECT parent AS theme, 1 AS level, CAST(NULL AS VARCHAR) AS parent, 'grupo ' || parent AS label, sum(n_documents) AS n_documents FROM low GROUP BY parent)
+SELECT l.theme, l.level, t.label AS parent_label, l.label AS automatic_label, CAST(l.n_documents AS BIGINT) AS n_documents, '' AS label
+FROM (SELECT * FROM low UNION ALL SELECT * FROM top) l LEFT JOIN top t ON t.theme = l.parent
+""")
+def theme_sheet(t: Tables):
+    b = Base(t)
+    counts = b.themes.join(b.docs.select("doc_uid"), "doc_uid").groupBy(F.col("axis").alias("theme")).agg(F.count("*").alias("n_documents"))
+    low = counts.select("theme", F.lit(2).alias("level"), F.concat(F.lit("M "), F.split("theme", " ")[0]).alias("parent"), F.lower("theme").alias("label"), "n_documents")
+    top = low.groupBy(F.col("parent").alias("theme")).agg(F.sum("n_documents").alias("n_documents")).select(
+        "theme", F.lit(1).alias("level"), F.lit(None).cast("string").alias("parent"), F.concat(F.lit("grupo "), "theme").alias("label"), "n_documents")
+    return ind.theme_sheet(low.unionByName(top))
+
+
 @query("curation_sheet", """
 WITH r AS (SELECT source, doc_id, substr(split_part(text, chr(10), 1), 1, 90) AS title, row_number() OVER (PARTITION BY source ORDER BY n_chars DESC, doc_id) AS rk FROM documents)
 SELECT source AS theme, string_agg(title, ' || ' ORDER BY rk) AS examples, '' AS decision FROM r WHERE rk <= 3 GROUP BY 1

@@ -464,20 +464,35 @@ def referenced_docs(lists: DataFrame, col: str, docs: DataFrame, sep: str = ";")
     return docs.join(named, F.col("doc_uid").cast("string") == F.col("_d"), "left_semi")
 
 
+def several(df: DataFrame, group: str, item: str) -> DataFrame:
+    """Groups with two or more different items, as works with several depositing units."""
+    return df.groupBy(group).agg(F.countDistinct(item).alias("n")).where(F.col("n") > 1)
+
+
 def quality_metrics(tables: Mapping[str, DataFrame], links: DataFrame, shares: Mapping[str, tuple[DataFrame, Column]],
-                    ) -> DataFrame:
-    """IN-24: (metric, value): rows per table, links per role and level with their percentage, shares of rows."""
+                    spans: Mapping[str, tuple[DataFrame, str]] | None = None,
+                    counts: Mapping[str, tuple[DataFrame, Column]] | None = None) -> DataFrame:
+    """IN-24: (metric, value): rows per table, links per role and level with their percentage, shares of rows, first and
+    last year per kind, and counts of rows that meet a condition (works of several units, links into the base, types without
+    a group)."""
     rows = [df.agg(F.count("*").cast("double").alias("value")).select(F.lit("rows " + n).alias("metric"), "value")
             for n, df in tables.items()]
-    counts = links.groupBy("role", "level").agg(F.count("*").alias("n"))
-    sizes = counts.groupBy("role").agg(F.sum("n").alias("_t"))
-    levels = counts.join(sizes, "role").select(
+    graded = links.groupBy("role", "level").agg(F.count("*").alias("n"))
+    sizes = graded.groupBy("role").agg(F.sum("n").alias("_t"))
+    levels = graded.join(sizes, "role").select(
         F.explode(F.array(
             F.struct(F.concat_ws(" ", F.lit("links"), "role", "level").alias("metric"), F.col("n").cast("double").alias("value")),
             F.struct(F.concat_ws(" ", F.lit("pct"), "role", "level").alias("metric"), (100.0 * F.col("n") / F.col("_t")).alias("value")),
         )).alias("m")).select("m.*")
     parts = [df.agg(F.avg(F.coalesce(c, F.lit(False)).cast("double")).alias("value")).select(
         F.lit("share " + n).alias("metric"), "value") for n, (df, c) in shares.items()]
+    for n, (df, year) in (spans or {}).items():
+        ends = df.agg(F.min(year).cast("double").alias("first"), F.max(year).cast("double").alias("last"))
+        parts.append(ends.select(F.explode(F.array(
+            F.struct(F.lit("first " + n).alias("metric"), F.col("first").alias("value")),
+            F.struct(F.lit("last " + n).alias("metric"), F.col("last").alias("value")))).alias("m")).select("m.*"))
+    parts += [df.agg(F.count_if(c).cast("double").alias("value")).select(F.lit("count " + n).alias("metric"), "value")
+              for n, (df, c) in (counts or {}).items()]
     return union_by_name(*rows, levels, *parts)
 
 
@@ -487,6 +502,17 @@ def theme_table(doc_theme: DataFrame, docs: DataFrame, labels: DataFrame, kinds:
     return pivot_fill(rows, ["theme"], "kind", kinds, F.count(F.lit(1))).join(labels, "theme", "left")
 
 
+def theme_sheet(themes: DataFrame) -> DataFrame:
+    """IN-25: themes with the label of their parent, their own as the automatic one, and an empty label to fill in.
+
+    ``themes(theme, level, parent, label, ...)``; terms and counts per kind pass through.
+    """
+    above = themes.select(F.col("theme").alias("parent"), F.col("label").alias("parent_label"))
+    rest = [c for c in themes.columns if c not in ("theme", "level", "parent", "label")]
+    return themes.join(above, "parent", "left").select(
+        "theme", "level", "parent_label", F.col("label").alias("automatic_label"), *rest, F.lit("").alias("label"))
+
+
 def curation_sheet(themes: DataFrame, doc_theme: DataFrame, titles: DataFrame, n: int = 3, width: int = 90) -> DataFrame:
     """IN-25: themes with their most typical titles, cut, and an empty column for the decision.
 
