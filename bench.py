@@ -21,7 +21,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 HEADLINE = [
     "edge_strength_by_year", "node_ranking", "item_neighbours", "connected_components", "label_communities",
     "work_grouping", "person_consolidation", "leader_resolution", "mention_resolution", "vector_calibrate",
-    "topk_similarity", "unit_proximity", "top3_reference_confidence", "hash_cache_refresh", "semantic_text", "dictionary_tags", "place_grades",
+    "topk_similarity", "unit_proximity", "top3_reference_confidence", "hash_cache_refresh", "semantic_text", "dictionary_tags", "dictionary_tags_104", "place_grades",
     "location_cascade", "class_terms", "pair_keywords", "specialisation", "growth_keywords", "gap_index",
     "territorial_rollup", "programme_matrix", "who_works_on_it", "product_theme_network", "enrichment_row",
 ]

@@ -302,12 +302,28 @@ tags AS ({' UNION ALL '.join(rule_sql(r) for r in RULES)}),
 """
 
 
-def tag_rows(t: Tables):
+# as many rules as a curated dictionary has, from a rule over syllables
+HEADS, TAILS = "th er on an in re ed nd ha ou".split(), "ing ble tion and her est ion ere ist out".split()
+MANY_RULES = [tg.Rule(f"g{i:03d}", (f"{h}{e}*", f"{e} {h}")) for i, (h, e) in enumerate((h, e) for h in HEADS for e in TAILS)][:94]
+
+
+def plain_rule_sql(rule: tg.Rule) -> str:
+    """A rule without context and exclusion, over columns whose separators are doubled already."""
+    p = doubled_pattern(rule.terms)
+    return f"""SELECT doc_uid, '{rule.rule_id}' AS rule_id, len(regexp_extract_all(dw, '{p}')) AS n_mentions,
+      CASE WHEN regexp_matches(dt, '{p}') THEN 'titulo' WHEN regexp_matches(dk, '{p}') THEN 'palavras' ELSE 'resumo' END AS field
+      FROM g WHERE regexp_matches(dw, '{p}')"""
+
+
+MANY_SQL = ", ".join(f"regexp_replace({c}, '([^\\p{{L}}\\p{{N}}_-])', '\\1\\1', 'g') AS {d}" for c, d in (("w", "dw"), ("ti", "dt"), ("kw", "dk")))
+
+
+def tag_rows(t: Tables, rules=RULES):
     listed = keyword_rows(t).groupBy("doc_uid").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "raw"))), lambda x: x["raw"]), " ; ").alias("kw"))
     docs = parts(t).join(listed, "doc_uid", "left")
     fields = {"title": F.col("title"), "keywords": F.col("kw"), "abstract": F.col("abstract")}
-    return tg.tag_terms(docs, "doc_uid", fields, RULES, ORG_NAMES, OLD_STYLE)
+    return tg.tag_terms(docs, "doc_uid", fields, rules, ORG_NAMES, OLD_STYLE)
 
 
 @query("dictionary_tags", f"""
@@ -318,6 +334,16 @@ def dictionary_tags(t: Tables):
     return tag_rows(t)
 
 
+@query("dictionary_tags_104", f"""
+WITH {TAGS_SQL} g AS MATERIALIZED (SELECT doc_uid, {MANY_SQL} FROM f),
+every AS (SELECT * FROM tags UNION ALL {' UNION ALL '.join(plain_rule_sql(r) for r in MANY_RULES)})
+SELECT doc_uid, rule_id, CAST(n_mentions AS INTEGER) AS n_mentions, field, CASE WHEN field = 'resumo' THEN 'citado' ELSE 'principal' END AS strength FROM every
+""")
+def dictionary_tags_104(t: Tables):
+    """TX-8 with a dictionary of the usual length."""
+    return tag_rows(t, [*RULES, *MANY_RULES])
+
+
 @query("tag_coverage", f"""
 WITH {TAGS_SQL} z AS (SELECT 1)
 SELECT lang, count(*) AS n_docs, count(g.doc_uid) AS n_tagged, round(100.0 * count(g.doc_uid) / count(*) + 1e-9, 1) AS pct
