@@ -5,16 +5,19 @@ a register holds, of its bucket's least hash, the number of leading zeros and th
 
 1. Documents with equal sets are one class, for which its smallest id stands.
 2. Bands of four registers become keys; empty registers borrow from others in a fixed order. Sets of at most ``SMALL``
-   shingles have too few full registers, so their keys are the least hashes that any set of that similarity must share;
-   between 0.8 * SMALL and SMALL shingles a set has both, so that no pair falls between.
+   shingles have too few full registers, so their keys are the first shingles in an order of all shingles, as many as it
+   takes that similar sets share one; shingles that a count over all documents finds common come last in it. Between 0.8 * SMALL and SMALL shingles a set has both, so that no pair falls between.
 3. Each class that shares a key meets the smallest and the largest class of the key, and the pair stays if the similarity that
-   the registers estimate, less the equal registers that chance explains, may be high enough.
-4. The pairs form candidate groups. Full sets are compared inside groups only: groups of at most ``TILE`` classes in one task.
+   the registers estimate, less the equal registers that chance explains, may be high enough. The pairs form candidate groups.
+   A key whose classes are in several groups is worked through once more: its classes of similar size, tile by tile of ``CELL``
+   classes, are estimated against those of other groups, and what may match joins the groups.
+4. Full sets are compared inside groups only: groups of at most ``TILE`` classes in one task.
    In larger ones the pairs of step 3 are confirmed first, and then the classes outside the group's largest confirmed component
    meet all classes of the group, tile by tile, which finds every link that could still connect something.
 5. Confirmed links are contracted to components.
 
-No pairs are emitted inside a group but those that connect, and no group is gathered beyond ``TILE`` classes.
+No pairs are emitted inside a key or a group but those that connect, and no task gathers more than some ``CELL`` registers or
+``TILE`` sets at once.
 
 Defined results: a null or empty text, or one without words, has no shingles and is linked with nothing; with fewer words than
 a shingle the whole sequence is one; texts of any length are read whole; rows with a null id have a null component, are kept
@@ -35,7 +38,7 @@ from foliograph.llm.substrings import batched, gram_hashes, mixed, word_hashes
 
 SHINGLE, PERCENT = 4, 80
 REGISTERS, MANTISSA, BAND, ARRANGEMENTS = 128, 10, 4, 2
-SMALL, TILE = 200, 256
+SMALL, TILE, CELL = 200, 256, 1024
 EMPTY = 0xFFFF
 
 
@@ -126,18 +129,42 @@ def estimates(a, b, sizes_a, sizes_b):
     return np.maximum(0.0, (equal - expected) / (1 - expected)), compared
 
 
+def common_shingles(docs: DataFrame, shingle: int = SHINGLE, cells: int = 1 << 14, times: int = 4):
+    """Flags of hash cells whose shingles occur in more than ``times`` as many documents as those of the mean cell.
+
+    Counted over all rows of (doc_id, text); only ``cells`` sums reach the driver.
+    """
+    import numpy as np
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(cells, np.int64)
+        for b in batches:
+            for _, texts in batched(b, 1):
+                for h in shingle_sets(texts, shingle):
+                    counts += np.bincount((h & np.uint64(cells - 1)).astype(np.int64), minlength=cells)
+        at = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], names=["cell", "n"])
+
+    counts = np.zeros(cells, np.int64)
+    for r in docs.mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect():
+        counts[r["cell"]] = r["n"]
+    return counts > times * max(1.0, counts.mean())
+
+
 SIGNED = "doc_id long, n long, digest binary, registers binary, keys array<long>"
 
 
 def signatures(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n, digest, registers, keys): set size, set digest, registers and candidate keys of each row of (doc_id, text)."""
+    common = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, shingle))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from hashlib import blake2b
 
         import numpy as np
 
-        banding = Banding()
+        banding, late = Banding(), common.value
+        mask = np.uint64(len(late) - 1)
         for b in batches:
             for at, texts in batched(b, 1):
                 sizes, digests, registers, keys = [], [], [], []
@@ -145,7 +172,8 @@ def signatures(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT)
                     n, own = len(h), []
                     r = registers_of(h)
                     if 0 < n <= SMALL:
-                        own.append(mixed(h[: n - -(-n * percent // 100) + 1] ^ np.uint64(0x5BD1E995)))
+                        ordered = h[np.argsort(late[(h & mask).astype(np.int64)], kind="stable")]
+                        own.append(mixed(ordered[: n - -(-n * percent // 100) + 1] ^ np.uint64(0x5BD1E995)))
                     if n * 100 > SMALL * percent:
                         own.append(banding.keys(r))
                     sizes.append(n)
@@ -212,6 +240,90 @@ def roots(edges: DataFrame) -> DataFrame:
     return stored(out, "roots")
 
 
+def joined(ids, a, b) -> list[tuple[int, int]]:
+    """(id, smallest connected id) for the ids that pairs of places (a, b) connect with a smaller one."""
+    import numpy as np
+
+    label = ids.copy()
+    while True:
+        least = label.copy()
+        np.minimum.at(least, a, label[b])
+        np.minimum.at(least, b, least[a])
+        if (least == label).all():
+            break
+        label = least
+    moved = label != ids
+    return list(zip(ids[moved].tolist(), label[moved].tolist(), strict=True))
+
+
+def across_groups(keyed: DataFrame, grouped: DataFrame, registers: DataFrame, percent: int, cell: int) -> DataFrame:
+    """(a, b): pairs that may match and connect different groups, of classes that share a key.
+
+    ``keyed`` has doc_id and key, ``grouped`` id and grp; classes without a group are their own.
+    """
+    placed = keyed.join(grouped.select(F.col("id").alias("doc_id"), "grp"), "doc_id", "left").select(
+        "key", "doc_id", F.coalesce("grp", "doc_id").alias("grp"))
+    placed = stored(placed, "placed-keys")
+    apart = lambda df, *keys: df.groupBy(*keys).agg(
+        F.min("grp").alias("low"), F.max("grp").alias("high"), F.count("*").alias("size")).where("low < high")
+    mixed_keys = stored(apart(placed, "key").select("key"), "mixed-keys")
+    side = registers.select("doc_id", "n", "registers")
+    members = stored(placed.join(mixed_keys, "key"), "mixed-members")
+    # sizes that may match are in the same or in neighbouring classes; each class of sizes also takes the next one
+    step = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent))).cast("int")
+    classed = members.join(registers.select("doc_id", "n"), "doc_id").select(
+        "key", "doc_id", "grp", F.explode(F.array(step, step + 1)).alias("sizes"))
+    classed = stored(classed, "size-classes")
+    wanted = stored(apart(classed, "key", "sizes").select("key", "sizes", F.ceil(F.col("size") / cell).cast("int").alias("tiles")), "mixed-classes")
+    x, y = F.pmod(F.xxhash64("doc_id"), F.col("tiles").cast("long")).cast("int"), F.col("other")
+    dealt = classed.join(wanted, ["key", "sizes"]).select("*", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other")).select(
+        "key", "sizes", F.least(x, y).alias("x"), F.greatest(x, y).alias("y"), "doc_id", "grp")
+    rows = stored(dealt, "cells").join(side, "doc_id")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import numpy as np
+
+        level = percent / 100
+
+        def links(held: list[tuple]) -> list[tuple[int, int]]:
+            ids, groups, sizes = (np.array(c, np.int64) for c in zip(*(r[:3] for r in held), strict=True))
+            r = np.frombuffer(b"".join(h[3] for h in held), np.uint16).reshape(-1, REGISTERS)
+            found_a, found_b = [], []
+            for first in range(0, len(ids), 64):
+                part = slice(first, first + 64)
+                near = np.minimum(sizes[part, None], sizes[None, :]) * 100 >= np.maximum(sizes[part, None], sizes[None, :]) * percent
+                a, b = np.nonzero(near & (groups[part, None] < groups[None, :]))
+                a += first
+                for at in range(0, len(a), 1 << 14):
+                    i, j = a[at : at + (1 << 14)], b[at : at + (1 << 14)]
+                    guess, compared = estimates(r[i], r[j], sizes[i], sizes[j])
+                    stay = guess >= level - 5 * np.sqrt(level * (1 - level) / compared) - 1e-9
+                    found_a.append(i[stay])
+                    found_b.append(j[stay])
+            a, b = (np.concatenate(f) if f else np.zeros(0, np.int64) for f in (found_a, found_b))
+            return joined(ids, a, b) if len(a) else []
+
+        def batch(out: list[tuple[int, int]]) -> pa.RecordBatch:
+            a, b = zip(*out, strict=True) if out else ((), ())
+            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+        of, held, out = None, [], []
+        for b in batches:
+            for *key, doc, grp, n, registers in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if key != of:
+                    out += links(held) if held else []
+                    of, held = key, []
+                    if len(out) > 10_000:
+                        yield batch(out)
+                        out = []
+                held.append((doc, grp, n, registers))
+        yield batch(out + (links(held) if held else []))
+
+    keys = ["key", "sizes", "x", "y"]
+    spread = rows.select(*keys, "doc_id", "grp", "n", "registers").repartition(*keys).sortWithinPartitions(*keys)
+    return spread.mapInArrow(run, "a long, b long").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def links_within(sets: list, percent: int, width: int = 8192):
     """Which sets match, as a square of flags: counts of common members, by products of membership columns."""
     import numpy as np
@@ -324,7 +436,7 @@ def links_of_large(groups: DataFrame, pairs: DataFrame, shingle: int, percent: i
     return sure.union(links_in_groups(rows, ["grp", "x", "y"], shingle, percent))
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, tile: int = TILE, id_col: str = "doc_id",
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, tile: int = TILE, cell: int = CELL, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row."""
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
@@ -342,6 +454,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
                                                            F.struct(F.col("doc_id").alias("a"), F.col("high").alias("b")))).alias("p"))
     pairs = stored(met.select("p.a", "p.b").where("a < b").distinct(), "candidates")
     pairs = stored(may_match(pairs, stand, percent), "pairs")
+    more = across_groups(keyed.join(common.select("key"), "key"), roots(pairs).select("id", F.col("root").alias("grp")), stand, percent, cell)
+    pairs = stored(pairs.union(more), "all-pairs")
 
     grouped = roots(pairs).select("id", F.col("root").alias("grp"))
     sizes = stored(grouped.groupBy("grp").agg(F.count("*").alias("size")), "group-sizes")

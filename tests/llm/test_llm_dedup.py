@@ -1,6 +1,7 @@
 """Exact, near and substring dedup against brute force."""
 
 import hashlib
+import random
 
 import pytest
 from llm_cases import UP, copies_and_passages, documents, hard_texts, near_components, without_repeats
@@ -56,6 +57,19 @@ def test_near(spark, tile):
     assert len(got) == len(rows)
 
 
+@pytest.mark.parametrize("cell", [1024, 8])
+def test_near_links_inside_a_common_passage(spark, cell):
+    """The first and the last document of every key are unlike the others, which are alike in pairs of similar size."""
+    rng = random.Random(6)
+    own = lambda n: [f"u{rng.randrange(10**9)}" for _ in range(n)]
+    passage = [f"p{i}" for i in range(64)]
+    texts = [" ".join(passage + own(200))] + [" ".join(passage + own(rng.choice([3, 5, 30]))) for _ in range(40)]
+    texts += [" ".join(own(2) + passage + own(3)) for _ in range(10)] + [" ".join(own(150) + passage)]
+    got = near_dedup.near_duplicates(documents(spark, texts), cell=cell, tile=16).collect()
+    want = near_components(list(enumerate(texts)))
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want
+
+
 def test_near_nulls_and_repeats(spark):
     t = "one two three four five six seven"
     got = near_dedup.near_duplicates(documents(spark, [t, t, t, "", None, "zz"], [5, 5, None, 6, 7, 8])).collect()
