@@ -96,25 +96,49 @@ QUOTED_SQL = """q AS (SELECT doc_id, chr(34) || replace(replace(substr(text, 1,
       || CASE WHEN doc_id % 3 = 0 THEN '' ELSE chr(34) || chr(10) END AS t FROM documents)"""
 
 
-def _quoted(t: Tables):
-    """Texts as quoted records, some of them cut."""
-    text = F.substring("text", F.lit(1), (40 + F.col("doc_id") % 300).cast("int"))
+WHOLE_QUOTED_SQL = """q AS (SELECT doc_id, chr(34) || replace(replace(text, ', ', '", "'), '. ', chr(34) || chr(10) || chr(34))
+      || CASE WHEN doc_id % 3 = 0 THEN '' ELSE chr(34) || chr(10) END AS t FROM documents)"""
+
+
+def _quoted(t: Tables, text=None):
+    """Texts, or the given part of them, as quoted records, some of them without the last quote."""
+    text = F.col("text") if text is None else text
     cells = F.replace(F.replace(text, F.lit(", "), F.lit('", "')), F.lit(". "), F.lit('"\n"'))
     return t.documents.select("doc_id", F.concat(F.lit('"'), cells, F.when(F.col("doc_id") % 3 == 0, "").otherwise('"\n')).alias("t"))
 
 
+def _start():
+    """The first 40 to 339 characters of a text, as the SQL of the two queries of short exports has them."""
+    return F.substring("text", F.lit(1), (40 + F.col("doc_id") % 300).cast("int"))
+
+
 @query("export_integrity", f"""
 WITH {QUOTED_SQL}
 SELECT doc_id, NOT ((length(t) - length(replace(t, chr(34), ''))) % 2 = 0 AND regexp_matches(right(t, 20), '"\\s*\\z')) AS truncated FROM q
 """)
 def export_integrity(t: Tables):
-    return _quoted(t).select("doc_id", io.ends_inside(F.col("t")).alias("truncated"))
+    return _quoted(t, _start()).select("doc_id", io.ends_inside(F.col("t")).alias("truncated"))
 
 
 @query("export_complete_records", f"""
 WITH {QUOTED_SQL} SELECT doc_id, md5(regexp_extract(t, '\\A(?:(?:[^"\\n]|"[^"]*")*\\n)*', 0)) AS kept FROM q
 """)
 def export_complete_records(t: Tables):
+    return _quoted(t, _start()).select("doc_id", F.md5(io.complete_records(F.col("t"))).alias("kept"))
+
+
+@query("export_integrity_whole", f"""
+WITH {WHOLE_QUOTED_SQL}
+SELECT doc_id, NOT ((length(t) - length(replace(t, chr(34), ''))) % 2 = 0 AND regexp_matches(right(t, 20), '"\\s*\\z')) AS truncated FROM q
+""")
+def export_integrity_whole(t: Tables):
+    return _quoted(t).select("doc_id", io.ends_inside(F.col("t")).alias("truncated"))
+
+
+@query("export_complete_records_whole", f"""
+WITH {WHOLE_QUOTED_SQL} SELECT doc_id, md5(regexp_extract(t, '\\A(?:(?:[^"\\n]|"[^"]*")*\\n)*', 0)) AS kept FROM q
+""")
+def export_complete_records_whole(t: Tables):
     return _quoted(t).select("doc_id", F.md5(io.complete_records(F.col("t"))).alias("kept"))
 
 
