@@ -14,6 +14,9 @@ from foliograph.llm import exact_dedup, near_dedup, packing, pii, quality
 from foliograph.llm.common import stored
 from foliograph.llm.queries import BYTE_BPE, PII_KEY, table
 
+# The near-dedup stage compares shingles of five words; the four words of op6_near_dedup are for that query only.
+STAGE_SHINGLE = 5
+
 # The stages have no SQL; tests hold them against brute force.
 ORACLE_SQL = None
 
@@ -30,7 +33,7 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
-    return near_dedup.without_near_copies(docs)
+    return near_dedup.without_near_copies(docs, shingle=STAGE_SHINGLE)
 
 
 def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
