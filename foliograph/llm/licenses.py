@@ -3,8 +3,9 @@
 The word sequences of all templates form one suffix automaton. A document streams through it once; after each word the
 automaton holds the longest run of words ending there that stands in some template (the matching statistics). Runs that
 cannot grow and are long enough are matches; matches that follow one another both in the document and in a template, with
-small gaps, chain to a span, and a span that covers enough of its template gives the template's label. Short base phrases
-are looked for at the same time and give their labels wherever their words stand.
+small gaps, chain to a span, and a span that covers enough of its template gives the template's label. A template that has
+one of its licence's marks, the words that tell it from others, needs a mark in the span too; a short one without a mark must
+be covered nearly whole. Short base phrases are looked for at the same time and give their labels wherever their words stand.
 
 Defined results: a null or empty text has no words, no labels and score 0; texts of any length are streamed whole; of equally
 good spans all are kept; repeated rows give a row each; an empty table gives no rows; other columns are not read.
@@ -49,6 +50,20 @@ TEMPLATES = (
     ("proprietary", "All rights reserved. No part of this publication may be reproduced"),
 )
 
+# Words that tell a licence from others with like notices, and words that make another licence if they follow.
+MARKS = {
+    "mit": (("mit license", "mit licence"), ()),
+    "apache": (("apache license", "apache licence"), ()),
+    "gpl": (("gnu general public license", "gnu general public licence"), ()),
+    "lgpl": (("gnu lesser general public license", "gnu lesser general public licence"), ()),
+    "mpl": (("mozilla public license", "mozilla public licence"), ()),
+    "unlicense": (("free and unencumbered",), ()),
+    "cc-by": (("creative commons attribution",), ("sharealike", "share", "sa", "noncommercial", "non", "nc", "noderivs", "noderivatives", "no", "nd")),
+    "cc-by-nc": (("cc by nc",), ("sa", "nd")),
+    "proprietary": (("no part of this",), ()),
+}
+SHORT, SHORT_LEAST = 15, 0.9  # templates under so many words without a mark, and the share of them that must be covered
+
 FOUND = ("doc_id long, n_words long, base array<struct<label:string,start:long>>, "
          "spans array<struct<label:string,first:long,last:long,coverage:double>>")
 
@@ -123,6 +138,19 @@ class Scanner:
         for codes, (_, label) in zip(coded[len(templates):], base, strict=True):
             self.phrases.setdefault(codes[-1], []).append((codes, label))
         self.shortest, self.gap, self.least = shortest, gap, least
+        self.marks = []  # of each template, if it has one: phrases and the words that must not follow
+        for label, text in templates:
+            phrases, others = MARKS.get(label, ((), ()))
+            mark = [words_of(p) for p in phrases], set(map(str.encode, others))
+            words = words_of(text)
+            self.marks.append(mark if self.marked(words, 0, len(words) - 1, mark) else None)
+
+    @staticmethod
+    def marked(words: list[bytes], first: int, last: int, mark: tuple[list[list[bytes]], set[bytes]]) -> bool:
+        """Whether a phrase of the mark begins between two words, without a word after it that makes another licence."""
+        phrases, others = mark
+        return any(words[i : i + len(p)] == p and not others.intersection(words[i + len(p) : i + len(p) + 1])
+                   for i in range(first, last + 1) for p in phrases)
 
     def scan(self, words: list[bytes]) -> tuple[list[tuple[str, int]], list[tuple[str, int, int, float]]]:
         """Base places (label, first word), and spans (label, first word, last word, covered share of the template)."""
@@ -149,16 +177,23 @@ class Scanner:
                 base += [(label, i + 1 - len(p)) for p, label in phrases[code] if run >= len(p) and codes[i + 1 - len(p) : i + 1] == p]
         if run >= shortest:
             matches.append((len(codes) - 1, run, state))
-        return base, self.chain(matches) if matches else []
+        return base, self.chain(matches, words) if matches else []
+
+    def enough(self, t: int, first: int, last: int, covered: int, words: list[bytes]) -> bool:
+        """Whether a span of so many covered words is a notice of the template."""
+        n, mark = len(self.templates[t]), self.marks[t]
+        if mark is None and n < SHORT:
+            return covered >= max(self.least, SHORT_LEAST) * n
+        return covered >= self.least * n and (mark is None or self.marked(words, first, last, mark))
 
-    def chain(self, matches: list[tuple[int, int, int]]) -> list[tuple[str, int, int, float]]:
+    def chain(self, matches: list[tuple[int, int, int]], words: list[bytes]) -> list[tuple[str, int, int, float]]:
         """Chains matches per template in the order of the document; those that break the order or the gap start anew."""
         open_: dict[int, list[int]] = {}  # template: first and last word, last template place, words covered
         spans = []
 
         def close(t: int) -> None:
             first, last, _, covered = open_.pop(t)
-            if covered >= self.least * len(self.templates[t]):
+            if self.enough(t, first, last, covered, words):
                 spans.append((self.labels[t], first, last, covered / len(self.templates[t])))
 
         for end, run, state in matches:

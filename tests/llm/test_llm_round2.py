@@ -1,8 +1,9 @@
-"""Cases of the second review: shingles of the pipeline's stage."""
+"""Cases of the second review: shingles of the pipeline's stage, notices of other licences."""
 
 from llm_cases import documents, near_components, words
 
 import corpus_pipeline
+from foliograph.llm import licenses
 
 
 def test_stage_takes_five_words(spark):
@@ -15,3 +16,38 @@ def test_stage_takes_five_words(spark):
     assert four == {0, 2} and five == {0, 1, 2}
     out = corpus_pipeline.drop_near_copies(spark, documents(spark, [t for _, t in rows]), "")
     assert {r.doc_id for r in out.collect()} == five
+
+
+NOT_THESE = {
+    "Released under the BSD license.": "mit", "It was released under the hood of a car.": "mit", "Kept under the MIT hood": "mit",
+    "Licensed under the Mozilla Public License, Version 2.0": "apache", "Licensed under the Eclipse Public License, Version 2.0": "apache",
+    'Licensed under the Educational Community License, Version 2.0 (the "License"); you may not use this file except in compliance '
+    "with the License. You may obtain a copy of the License at": "apache",
+    "This work is licensed under the Open Software License, version 3": "gpl",
+    "This Source Code Form is subject to the terms of the Eclipse Public License, v. 2.0": "mpl",
+    "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License": "cc-by",
+    "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License": "cc-by",
+    "Licensed under CC BY-SA 4.0.": "cc-by-nc", "Licensed under CC BY 4.0.": "cc-by-nc", "Licensed under CC BY-NC-SA 4.0.": "cc-by-nc",
+    "Part of this publication may be reproduced": "proprietary", "this is free software released into the public domain": "unlicense",
+}
+THESE = {
+    "This work is licensed under a Creative Commons Attribution 3.0 Unported License": "cc-by", "Licensed under CC BY-NC 3.0": "cc-by-nc",
+    "Released under the MIT licence.": "mit", "All rights reserved. No part of this book may be reproduced": "proprietary",
+    "Distributed under the BSD license. Licensed under the Apache License, Version 2.0.": "apache",
+}
+
+
+def test_other_licences_get_no_label(spark):
+    texts = [*NOT_THESE, *THESE, *(t for _, t in licenses.TEMPLATES)]
+    got = {r.doc_id: r for r in licenses.summary(licenses.scan(documents(spark, texts))).collect()}
+    for i, t in enumerate(texts):
+        if t in NOT_THESE:
+            assert got[i].labels == "" and got[i].score == 0, t
+        else:
+            assert (THESE | {t: label for label, t in licenses.TEMPLATES})[t] in got[i].labels.split(","), t
+
+
+def test_short_templates_without_marks():
+    scanner = licenses.Scanner(templates=(("own", "given away under the house rules"),), base=())
+    assert scanner.scan(licenses.words_of("given away under the table rules"))[1] == []
+    assert [s[0] for s in scanner.scan(licenses.words_of("it is given away under the house rules"))[1]] == ["own"]
