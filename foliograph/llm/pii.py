@@ -22,9 +22,25 @@ from pyspark.sql import functions as F
 
 # No digit, letter or joining mark before or after a number.
 START, END = r"(?<![0-9A-Za-z_+])", r"(?![0-9A-Za-z_])"
+# The length of an account number by country, so that a grouped one ends before the next word.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "AO CV GW LY MZ PT ST", 26: "DZ IR IS TR", 27: "BI CF CG CM DJ FR GA GQ GR IT KM MC MG MR SM TD",
+    28: "AL AZ BF BJ BY CI CY DO GT HN HU LB MA ML NE NI PL SN SV TG", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def grouped(length: int, countries: str) -> str:
+    """Account numbers of some countries in groups of four."""
+    rest = f" [A-Z0-9]{{{length % 4}}}" if length % 4 else ""
+    return f"(?:{countries.replace(' ', '|')})[0-9]{{2}}(?: [A-Z0-9]{{4}}){{{length // 4 - 1}}}{rest}"
+
+
 KINDS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63})+",
-    "iban": START + r"[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)" + END,
+    "iban": START + r"(?=[A-Z]{2}[0-9]{2})(?:[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}|" + "|".join(grouped(n, c) for n, c in IBAN_LENGTHS.items())
+            + r"|[A-Z]{2}[0-9]{2}(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)" + END,
     "phone": r"(?<![0-9A-Za-z_+])(?:\+1[ .-]?)?\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}" + END
              + "|" + START + r"(?:\+1[ .-])?[0-9]{3}([.-])[0-9]{3}\1[0-9]{4}" + END,
     "international": r"(?<![0-9A-Za-z_+])\+[0-9]{1,3}(?:[ .-]?\([0-9]{1,4}\))?(?:[ .-]?[0-9]{2,4}){2,5}" + END,

@@ -1,9 +1,9 @@
-"""Cases of the second review: shingles of the pipeline's stage, notices of other licences."""
+"""Cases of the second review: shingles of the pipeline's stage, notices of other licences, account numbers before words."""
 
 from llm_cases import documents, near_components, words
 
 import corpus_pipeline
-from foliograph.llm import licenses
+from foliograph.llm import licenses, pii
 
 
 def test_stage_takes_five_words(spark):
@@ -51,3 +51,17 @@ def test_short_templates_without_marks():
     scanner = licenses.Scanner(templates=(("own", "given away under the house rules"),), base=())
     assert scanner.scan(licenses.words_of("given away under the table rules"))[1] == []
     assert [s[0] for s in scanner.scan(licenses.words_of("it is given away under the house rules"))[1]] == ["own"]
+
+
+def test_grouped_ibans_before_words(spark):
+    ibans = ["ES91 2100 0418 4502 0005 1332", "BE68 5390 0754 7034", "AT61 1904 3002 3457 3201", "LU28 0019 4006 4475 0000",
+             "SE45 5000 0000 0583 9825 7466", "PL61 1090 1014 0000 0712 1981 2874", "NO93 8601 1117 947", "GB82 WEST 1234 5698 7654 32",
+             "MT84 MALT 0110 0001 2345 MTLC AST0 01S"]
+    behind = ["BIC", "USD", "2024", "7", "A", "IBAN BIC"]
+    texts = [*ibans, *(f"pay {i} {b} now" for i in ibans for b in behind), "BE68 5390 0754 7034 4524 1322 6465 2876"]
+    got = [r.text for r in pii.pseudonymise(documents(spark, texts), "test").orderBy("doc_id").collect()]
+    new = got[: len(ibans)]
+    assert all(a != b and a[:2] == b[:2] and len(a) == len(b) for a, b in zip(ibans, new, strict=True))
+    assert got[len(ibans) : -1] == [f"pay {i} {b} now" for i in new for b in behind]
+    # the card behind the account number is one too
+    assert got[-1].startswith(new[1] + " ") and "4524 1322 6465 2876" not in got[-1]
