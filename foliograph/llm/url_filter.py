@@ -7,7 +7,7 @@ removes the false ones. The longest entry that is left decides.
 
 The filter has at most ``max_bytes``, whatever the list's length: a longer list lets more false hits pass, never other
 results. The shapes (labels, prefix length) that go with it are bounded too, as a host has at most 127 labels and a listed
-path at most ``LONGEST_PATH`` characters; a list with longer ones is refused.
+path offers at most its first ``LONGEST_PATH`` characters; the rest of a longer one is compared after the join.
 
 Defined results: a null URL or one without "://" has an empty host and path, fits no rule and gets the default verdict;
 of rules of equal length the one with the longer host decides, then blocking; rules listed twice count once, null ones not
@@ -83,11 +83,11 @@ class BlockedBloom:
 
 
 def listed(rules: DataFrame) -> DataFrame:
-    """(key, rule, verdict, weight, blocks) of each listed entry, once."""
+    """(key, rule, host_length, verdict) of each listed entry, once; longer paths may share a key."""
     host, path = ascii_lower(F.col("host")), F.col("path")
     return (
         rules.where("host IS NOT NULL AND path IS NOT NULL AND verdict IS NOT NULL")
-        .select(F.concat_ws("\n", host, path).alias("key"), F.concat(host, path).alias("rule"), "verdict",
+        .select(F.concat_ws("\n", host, F.left(path, F.lit(LONGEST_PATH))).alias("key"), F.concat(host, path).alias("rule"), "verdict",
                 F.length(host).alias("host_length"))
         .groupBy("key", "rule", "host_length").agg(F.max("verdict").alias("verdict"))
     )
@@ -100,10 +100,8 @@ def build(rules: DataFrame, bits_per_key: int = 16, max_bytes: int = 8 << 20) ->
     entries = listed(rules)
     shape = entries.select(
         F.size(F.split(F.substring_index("key", "\n", 1), r"\.")).alias("labels"),
-        (F.length("rule") - F.col("host_length")).alias("length")).distinct()
-    shapes = sorted((r[0], r[1]) for r in shape.where(F.col("length") <= LONGEST_PATH).collect())
-    if shape.where(F.col("length") > LONGEST_PATH).limit(1).count():
-        raise ValueError(f"a listed path has more than {LONGEST_PATH} characters")
+        F.least(F.length("rule") - F.col("host_length"), F.lit(LONGEST_PATH)).alias("length")).distinct()
+    shapes = sorted((r[0], r[1]) for r in shape.collect())
     blocks = int(max(1, min(max_bytes // (8 * WORDS), entries.count() * bits_per_key // (64 * WORDS) + 1)))
     names = [f"w{i}" for i in range(WORDS)]
 
@@ -140,7 +138,8 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow", id_col: st
     probed = urls.mapInArrow(probe, "row long, page_id long, host string, path string, hits array<string>")
     possible = probed.select("row", "page_id", "host", "path", F.explode_outer("hits").alias("key"))
     weight = F.struct(F.length("rule").alias("length"), "host_length", "verdict", "rule")
-    met = possible.join(listed(rules), "key", "left").withColumn("hit", F.when(F.col("rule").isNotNull(), weight))
+    rest = F.substring("rule", F.col("host_length") + 1, F.length("rule"))
+    met = possible.join(listed(rules), "key", "left").withColumn("hit", F.when(F.startswith("path", rest), weight))
     best = met.groupBy("row", "page_id", "host", "path").agg(F.max("hit").alias("hit"))
     return best.select("page_id", "host", "path", F.col("hit.rule").alias("rule"),
                        F.coalesce("hit.verdict", F.lit(default)).alias("verdict"))

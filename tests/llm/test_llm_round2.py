@@ -1,9 +1,9 @@
-"""Cases of the second review: shingles of the pipeline's stage, notices of other licences, account numbers before words."""
+"""Cases of the second review: shingles of the pipeline's stage, notices of other licences, account numbers before words, long listed paths."""
 
 from llm_cases import documents, near_components, words
 
 import corpus_pipeline
-from foliograph.llm import licenses, pii
+from foliograph.llm import licenses, pii, url_filter
 
 
 def test_stage_takes_five_words(spark):
@@ -65,3 +65,15 @@ def test_grouped_ibans_before_words(spark):
     assert got[len(ibans) : -1] == [f"pay {i} {b} now" for i in new for b in behind]
     # the card behind the account number is one too
     assert got[-1].startswith(new[1] + " ") and "4524 1322 6465 2876" not in got[-1]
+
+
+def test_long_listed_paths(spark):
+    long_ = "/" + "é" * (url_filter.LONGEST_PATH - 1)
+    rules = [("net", long_, "block"), ("net", long_ + "a", "allow"), ("x.net", long_ + "ab", "block"), ("net", long_ + "c" * 900, "block"), ("net", "/", "allow")]
+    cases = [("net", long_[:-1], 4), ("net", long_, 0), ("net", long_ + "a", 1), ("net", long_ + "ab", 1), ("x.net", long_ + "abc", 2),
+             ("net", long_ + "c" * 899, 0), ("y.net", long_ + "c" * 901, 3), ("org", long_ + "ab", None)]
+    pages = spark.createDataFrame([(i, f"http://{h}{p}") for i, (h, p, _) in enumerate(cases)], "page_id long, url string")
+    listed = spark.createDataFrame(rules, "host string, path string, verdict string")
+    for bits in ({}, {"max_bytes": 1}):
+        got = {r.page_id: (r.rule, r.verdict) for r in url_filter.judge(pages, listed, default="none", **bits).collect()}
+        assert got == {i: ("".join(rules[n][:2]), rules[n][2]) if n is not None else (None, "none") for i, (_, _, n) in enumerate(cases)}
