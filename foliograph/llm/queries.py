@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliograph.llm import bpe, exact_dedup, licenses, near_dedup, packing, pii, quality, substrings, topk, url_filter
+from foliograph.llm import bpe, collocations, exact_dedup, licenses, near_dedup, packing, pii, quality, substrings, topk, url_filter
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -114,3 +114,31 @@ def op9_topk(spark: SparkSession, directory: str) -> DataFrame:
 @query("op10_licenses")
 def op10_licenses(spark: SparkSession, directory: str) -> DataFrame:
     return licenses.summary(licenses.scan(table(spark, directory, "documents")))
+
+
+PIECES = f"""
+    WITH docs AS (SELECT coalesce(lang, 'und') AS lang, {LOWERED} AS t FROM documents),
+         pieces AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM docs),
+         words AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces),
+         places AS (SELECT lang, array_to_string(w[i:i + k - 1], ' ') AS phrase, k FROM
+                    (SELECT lang, w, k, unnest(generate_series(1, len(w) - k + 1)) AS i
+                     FROM words, (SELECT unnest([1, 2, 3, 4, 5]) AS k))),
+         f AS (SELECT lang, phrase, k, count(*) AS c FROM places GROUP BY ALL HAVING count(*) >= 100),
+         n AS (SELECT lang, count(*) AS n FROM places WHERE k = 1 GROUP BY lang)"""
+
+
+@query("op11_collocations", PIECES + """,
+         cuts AS (SELECT f.lang, f.phrase, f.c AS a, x.c AS l, y.c AS r, n.n, j,
+                         CAST(1000::HUGEINT * f.c * n.n // (x.c::HUGEINT * y.c) AS BIGINT) AS score
+                  FROM (SELECT *, unnest(generate_series(1, k - 1)) AS j, string_split(phrase, ' ') AS w FROM f WHERE k > 1) f
+                  JOIN f x ON x.lang = f.lang AND x.phrase = array_to_string(w[1:j], ' ')
+                  JOIN f y ON y.lang = f.lang AND y.phrase = array_to_string(w[j + 1:], ' ')
+                  JOIN n ON n.lang = f.lang),
+         best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+         kept AS (SELECT * FROM best b WHERE NOT EXISTS (
+                  SELECT 1 FROM f WHERE f.lang = b.lang AND f.k > len(string_split(b.phrase, ' ')) AND f.c >= b.a
+                                        AND contains(' ' || f.phrase || ' ', ' ' || b.phrase || ' ')))
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+    FROM kept QUALIFY rank <= 2000""")
+def op11_collocations(spark: SparkSession, directory: str) -> DataFrame:
+    return collocations.collocations(table(spark, directory, "documents"))
