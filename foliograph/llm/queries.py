@@ -6,12 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliograph.llm import bpe, collocations, exact_dedup, licenses, near_dedup, packing, pii, quality, substrings, topk, url_filter
+from foliograph.llm import alignment, bpe, collocations, exact_dedup, licenses, near_dedup, packing, pii, quality, substrings, topk, url_filter
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
 
-WORD_BPE, BYTE_BPE = "word_bpe_49k.json", "byte_bpe_50k.json"
+WORD_BPE, BYTE_BPE, PIECE_BPE = "word_bpe_49k.json", "byte_bpe_50k.json", "piece_bpe_32k.model"
 # The key of the registered queries; a real corpus takes a secret one.
 PII_KEY = "foliograph-demonstration-key"
 LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -142,3 +142,8 @@ PIECES = f"""
     FROM kept QUALIFY rank <= 2000""")
 def op11_collocations(spark: SparkSession, directory: str) -> DataFrame:
     return collocations.collocations(table(spark, directory, "documents"))
+
+
+@query("op12_alignment")
+def op12_alignment(spark: SparkSession, directory: str) -> DataFrame:
+    return alignment.align_documents(table(spark, directory, "documents"), public_tokenizers.path(BYTE_BPE), public_tokenizers.path(PIECE_BPE))
