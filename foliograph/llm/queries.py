@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliograph.llm import alignment, bpe, collocations, exact_dedup, licenses, near_dedup, packing, pii, quality, substrings, topk, url_filter
+from foliograph.llm import alignment, bpe, collocations, divergence, exact_dedup, licenses, near_dedup, packing, pii, quality, substrings, topk, url_filter
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -147,3 +147,51 @@ def op11_collocations(spark: SparkSession, directory: str) -> DataFrame:
 @query("op12_alignment")
 def op12_alignment(spark: SparkSession, directory: str) -> DataFrame:
     return alignment.align_documents(table(spark, directory, "documents"), public_tokenizers.path(BYTE_BPE), public_tokenizers.path(PIECE_BPE))
+
+
+# Both engines: bins 1 to 6 are character classes, 1 to 25 words; shares are compared with medians in thousandths.
+DIVERGENCE = """
+    WITH d AS (SELECT row_number() OVER () AS n, doc_id, coalesce(text, '') AS text, lang,
+                      regexp_extract_all(lower(coalesce(text, '')), '\\p{L}+') AS l FROM documents),
+         s AS (SELECT n, list_filter(regexp_split_to_array(text, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM d),
+         windows AS (SELECT n, i, count(*) OVER (PARTITION BY n, w[i], w[i + 1], w[i + 2]) AS k
+                     FROM (SELECT n, w, unnest(generate_series(1, len(w) - 2)) AS i FROM s)),
+         repeats AS (SELECT n, count(DISTINCT p) AS k FROM (SELECT n, unnest([i, i + 1, i + 2]) AS p FROM windows WHERE k > 1) GROUP BY n),
+         base AS (SELECT n, doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+                         length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g')) AS n_symbols,
+                         len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(k, 0) AS n_repeat_words,
+                         length(text) AS size, len(l) AS letters
+                  FROM (SELECT *, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines
+                        FROM d JOIN s USING (n) LEFT JOIN repeats USING (n))),
+         df AS (SELECT lang, word, count(*) AS k FROM (SELECT lang, unnest(list_distinct(l)) AS word FROM d) GROUP BY ALL),
+         large AS (SELECT lang FROM df GROUP BY lang HAVING sum(k) * 1000 >= (SELECT sum(k) FROM df)),
+         g AS (SELECT n, CASE WHEN large.lang IS NULL AND l2 IS NULL THEN 'all' ELSE 'of ' || coalesce(d.lang, '') END AS g
+               FROM d LEFT JOIN (SELECT lang, 1 AS l2 FROM large) large ON large.lang IS NOT DISTINCT FROM d.lang),
+         ranked AS (SELECT 'of ' || coalesce(lang, '') AS g, word, k FROM df WHERE EXISTS (SELECT 1 FROM large WHERE large.lang IS NOT DISTINCT FROM df.lang)
+                    UNION ALL SELECT 'all', word, sum(k) FROM df GROUP BY word),
+         common AS (SELECT g, list(word ORDER BY k DESC, word) AS words
+                    FROM (SELECT * FROM ranked QUALIFY row_number() OVER (PARTITION BY g ORDER BY k DESC, word) <= 24) GROUP BY g),
+         h AS (SELECT n, g, size, letters,
+                      list_resize(list_transform(words, lambda x: len(list_filter(l, lambda y: y = x))), 24, 0) AS h,
+                      list_transform(['\\p{Ll}', '\\p{Lu}', '\\p{Nd}', '\\x20\\x09-\\x0D', '.,;:\'\'\"()-'],
+                                     lambda x: length(regexp_replace(text, '[^' || x || ']+', '', 'g'))) AS c
+               FROM d JOIN g USING (n) JOIN base USING (n) LEFT JOIN common USING (g)),
+         bins AS (SELECT n, g, size, letters, 'c' AS kind, size AS total, unnest(list_append(c, size - list_sum(c))) AS v, generate_subscripts(list_append(c, 0), 1) AS i FROM h
+                  UNION ALL
+                  SELECT n, g, size, letters, 'w', letters, unnest(list_append(h, letters - list_sum(h))), generate_subscripts(list_append(h, 0), 1) FROM h),
+         judged AS (SELECT * FROM bins WHERE size >= 200 AND letters >= 50),
+         m AS (SELECT g, kind, i, quantile_cont(CAST(round(v * 1000 / total) AS INTEGER), 0.5) AS m FROM judged WHERE g <> 'all' GROUP BY ALL
+               UNION ALL SELECT 'all', kind, i, quantile_cont(CAST(round(v * 1000 / total) AS INTEGER), 0.5) FROM judged GROUP BY ALL),
+         q AS (SELECT g, kind, i, m / sum(m) OVER (PARTITION BY g, kind) AS q FROM m),
+         p AS (SELECT n, kind, any_value(size) AS size, any_value(letters) AS letters,
+                      sqrt(greatest(0, sum((CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END) / 2))) AS x
+               FROM (SELECT n, kind, size, letters, v / total AS p, q FROM judged JOIN q USING (g, kind, i)) GROUP BY n, kind),
+         diverging AS (SELECT DISTINCT n FROM p WHERE x > CASE kind WHEN 'c' THEN 0.15 + sqrt(5 / (8 * ln(2)) / size) ELSE 0.3 + sqrt(24 / (8 * ln(2)) / letters) END)
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+           NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND n NOT IN (SELECT n FROM diverging) AS kept
+    FROM base"""
+
+
+@query("op13_quality_rules", DIVERGENCE)
+def op13_quality_rules(spark: SparkSession, directory: str) -> DataFrame:
+    return divergence.judge(table(spark, directory, "documents")).drop("character_distance", "word_distance")
