@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foliograph.llm.common import worker_state
+from foliograph.llm.common import Kept, slices, worker_state
 
 ENCODED = "doc_id long, ids binary"
 
@@ -33,10 +33,10 @@ def byte_alphabet() -> dict[str, int]:
 class ForcedBoundaryEncoder:
     """Encodes texts as the tokenizer file at ``path`` does, fragment by fragment.
 
-    ``remember`` bounds the number of chunks whose ids are kept, and that of fragments; when it is reached they are forgotten.
+    ``remember`` bounds the bytes of the chunks and fragments whose ids are kept.
     """
 
-    def __init__(self, path: str, remember: int = 600_000):
+    def __init__(self, path: str, remember: int = 64 << 20):
         import json
         import os
         import re
@@ -58,7 +58,8 @@ class ForcedBoundaryEncoder:
         self.odd = re.compile("[\x1c-\x1f]")
         self.space = re.compile("[ \\t\\n\\v\\f\\r]+")
         self.joined = self.pairs_within(spec["model"]["vocab"])
-        self.remember, self.chunks, self.ends, self.inners = remember, {"": b""}, {}, {}
+        self.chunks, self.ends = Kept(remember // 2), Kept(remember // 4)
+        self.inners = Kept(remember // 4) if self.suffix else self.ends
 
     def merger(self, model: dict, suffix: str):
         """A tokenizer that merges fragments, given with spaces between them."""
@@ -109,7 +110,8 @@ class ForcedBoundaryEncoder:
             found[-1].append(word)
         return found + [[] for _ in range(len(chunks) - len(found))]
 
-    def merge(self, model, fragments: list[str], known: dict[str, bytes]) -> None:
+    def merge(self, model, known: Kept, wanted: set[str]) -> None:
+        fragments = list(known.missing(wanted))
         if not fragments:
             return
         e = model.encode(" ".join(fragments), add_special_tokens=False)
@@ -119,31 +121,35 @@ class ForcedBoundaryEncoder:
             stop = start
             while stop < n and of[stop] == i:
                 stop += 1
-            known[f] = b"".join([x.to_bytes(4, "little") for x in ids[start:stop]])
+            known.add(f, b"".join([x.to_bytes(4, "little") for x in ids[start:stop]]))
             start = stop
 
     def learn(self, chunks: list[str]) -> None:
         """Encodes chunks that were not met before."""
         cut = [[self.split(w) for w in ws] for ws in self.words(chunks)]
-        if len(self.ends) + len(self.inners) > self.remember:
-            self.ends, self.inners = {}, {}
-        ends, inners = self.ends, self.inners if self.suffix else self.ends
-        self.merge(self.last, list({w[-1] for ws in cut for w in ws}.difference(ends)), ends)
-        self.merge(self.inner, list({f for ws in cut for w in ws if len(w) > 1 for f in w[:-1]}.difference(inners)), inners)
+        last = {w[-1] for ws in cut for w in ws}
+        inner = {f for ws in cut for w in ws if len(w) > 1 for f in w[:-1]}
+        if self.suffix:
+            self.merge(self.last, self.ends, last)
+            self.merge(self.inner, self.inners, inner)
+        else:
+            self.merge(self.last, self.ends, last | inner)
+        ends, inners = self.ends.new, self.inners.new
         for c, ws in zip(chunks, cut, strict=True):
-            self.chunks[c] = b"".join([x for w in ws for x in (*(inners[f] for f in w[:-1]), ends[w[-1]])])
+            self.chunks.add(c, b"".join([x for w in ws for x in (*(inners[f] for f in w[:-1]), ends[w[-1]])]))
 
     def plain(self, texts: list[str]) -> list[bytes]:
         """Texts without special tokens. Tokens never reach over white space, so the chunks between come first."""
         out = []
         for first in range(0, len(texts), 256):
             parts = [self.space.split(t) if self.odd.search(t) else t.split() for t in texts[first : first + 256]]
-            if len(self.chunks) > self.remember:
-                self.chunks = {"": b""}
-            missing = set().union(*parts).difference(self.chunks)
+            missing = self.chunks.missing(set().union(*parts))
+            if "" in missing:
+                self.chunks.add("", b"")
+                missing.remove("")
             if missing:
                 self.learn(list(missing))
-            get = self.chunks.__getitem__
+            get = self.chunks.new.__getitem__
             out += [b"".join(map(get, p)) for p in parts]
         return out
 
@@ -178,32 +184,56 @@ class Decoder:
         return " ".join(map(self.tokens.__getitem__, numbers))
 
 
-def slices(batch: pa.RecordBatch, rows: int = 1024) -> Iterator[pa.RecordBatch]:
-    for at in range(0, batch.num_rows, rows):
-        yield batch.slice(at, rows)
+class Coder:
+    """The encoder and the decoder of one tokenizer file, each made when it is first asked for."""
 
+    def __init__(self, path: str):
+        self.path, self.encoder, self.decoder = path, None, None
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        self.encoder = self.encoder or ForcedBoundaryEncoder(self.path)
+        return self.encoder.encode([t or "" for t in texts])
+
+    def decode(self, ids: list[bytes]) -> list[str]:
+        self.decoder = self.decoder or Decoder(self.path)
+        return [self.decoder.decode(x) for x in ids]
+
+
+def coder(path: str) -> Coder:
+    return worker_state(("bpe", path), lambda: Coder(path))
 
-def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, ids): the ids of every whole text as little-endian unsigned 32-bit integers."""
 
+def coded(docs: DataFrame, path: str, back: bool, id_col: str, text_col: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = worker_state(("encoder", path), lambda: ForcedBoundaryEncoder(path))
+        held = coder(path)
         for whole in batches:
             for b in slices(whole):
-                ids = encoder.encode([t or "" for t in b.column(1).to_pylist()])
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
+                ids = held.encode(b.column(1).to_pylist())
+                decoded = [pa.array(held.decode(ids), pa.string())] if back else []
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.binary()), *decoded], names=["doc_id", "ids", "decoded"][: 2 + back])
+
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    return texts.mapInArrow(run, ENCODED + ", decoded string" * back)
+
+
+def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, ids): the ids of every whole text as little-endian unsigned 32-bit integers."""
+    return coded(docs, path, False, id_col, text_col)
+
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, ENCODED)
+def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, ids, decoded): ``decode`` of ``encode``, in one Python worker a task."""
+    return coded(docs, path, True, id_col, text_col)
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
     """(doc_id, ids, decoded): the text that the ids stand for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decoder = worker_state(("decoder", path), lambda: Decoder(path))
+        held = coder(path)
         for whole in batches:
             for b in slices(whole):
-                texts = [decoder.decode(x) for x in b.column(1).to_pylist()]
+                texts = held.decode(b.column(1).to_pylist())
                 yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], names=["doc_id", "ids", "decoded"])
 
     return encoded.select("doc_id", "ids").mapInArrow(run, f"{ENCODED}, decoded string")

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,14 +32,51 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def worker_state(key, make):
-    """What ``make()`` returned when this Python worker first asked for ``key``.
+    """What ``make()`` returned when this Python worker last asked for ``key``; asking for another key drops it.
 
     Functions travel to workers by value, so module globals last one task; this lasts as long as the worker.
     """
     import sys
     import types
 
-    held = sys.modules.setdefault("_foliograph_worker", types.ModuleType("_foliograph_worker")).__dict__
+    held = sys.modules.setdefault("_foliograph_worker", types.ModuleType("_foliograph_worker")).__dict__.setdefault("held", {})
     if key not in held:
+        held.clear()
         held[key] = make()
     return held[key]
+
+
+class Kept:
+    """Values by their keys, at most about ``most`` bytes with both; when half of that is new, those not asked since go."""
+
+    def __init__(self, most: int):
+        self.most, self.size, self.new, self.old = most, 0, {}, {}
+
+    def add(self, key, value: bytes) -> None:
+        from sys import getsizeof
+
+        self.new[key] = value
+        self.size += getsizeof(key) + getsizeof(value) + 100
+
+    def missing(self, keys: set) -> set:
+        """Those of the keys without a value; all others are in ``new`` from now on."""
+        if 2 * self.size > self.most:
+            self.old, self.new, self.size = self.new, {}, 0
+        absent = keys.difference(self.new)
+        for key in absent.intersection(self.old):
+            self.add(key, self.old[key])
+        return absent.difference(self.new)
+
+
+def slices(batch: pa.RecordBatch, column: int = 1, most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+    """A batch in parts of about ``most`` bytes in one column, each of a row at least."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
+    start = 0
+    while start < batch.num_rows:
+        before = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + most, side="right")))
+        yield batch.slice(start, stop - start)
+        start = stop

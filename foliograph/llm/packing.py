@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foliograph.llm.bpe import byte_alphabet
-from foliograph.llm.common import worker_state
+from foliograph.llm.common import Kept, slices, worker_state
 
 # Fixed value: how byte-level tokenizers cut text before merging.
 PRE_TOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -85,11 +85,11 @@ class ChunkEncoder:
     """Ids of whole texts by a byte-level tokenizer file.
 
     A space between two visible characters starts a new pre-token, so the chunks between such spaces are encoded once and
-    their ids kept, ``remember`` of them. Texts with other white space beside spaces, or with special tokens, go to the
+    their ids kept, at most ``remember`` bytes of them. Texts with other white space beside spaces, or with special tokens, go to the
     tokenizer whole. If ids rise with the merges, as usual, they are ranks too, and a rank encoder does the Latin chunks.
     """
 
-    def __init__(self, path: str, remember: int = 1_500_000):
+    def __init__(self, path: str, remember: int = 64 << 20):
         import json
         import os
 
@@ -98,7 +98,7 @@ class ChunkEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.remember, self.known = remember, {}
+        self.known = Kept(remember)
         with open(path, encoding="utf-8") as f:
             self.ranks = self.rank_encoder(json.load(f))
 
@@ -119,17 +119,17 @@ class ChunkEncoder:
         """Encodes chunks, each but a text's first with the space before it; those with white space at an end stay unknown."""
         from array import array
 
-        known, rest = self.known, []
+        keep, rest = self.known.add, []
         ranked = self.ranks.encode_ordinary if self.ranks else None
         for c in chunks:
             b = c[1:] if c[:1] == " " else c
             if b and b.strip() == b:
                 if ranked and (c.isascii() or max(c) < "\u0100"):
-                    known[c] = array("I", ranked(c)).tobytes()
+                    keep(c, array("I", ranked(c)).tobytes())
                 else:
                     rest.append(c)
         for c, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
-            known[c] = array("I", e.ids).tobytes()
+            keep(c, array("I", e.ids).tobytes())
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
@@ -137,13 +137,11 @@ class ChunkEncoder:
 
         out = []
         for at in range(0, len(texts), 512):
-            if len(self.known) > self.remember:
-                self.known = {}
             part = texts[at : at + 512]
             whole = [any(s in t for s in self.special) or "\0" in t for t in part]
             chunks = [[] if w else t.replace(" ", "\0 ").split("\0") for t, w in zip(part, whole, strict=True)]
-            self.learn(set().union(*chunks).difference(self.known))
-            get = self.known.__getitem__
+            self.learn(self.known.missing(set().union(*chunks)))
+            get = self.known.new.__getitem__
             for t, w, p in zip(part, whole, chunks, strict=True):
                 try:
                     out.append(b"".join(map(get, [t] if w else p)))
@@ -192,8 +190,8 @@ def pack(docs: DataFrame, path: str, capacity: int = 2048, end_id: int = 1, piec
             return out
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                b, out = batch.slice(at, 256), []
+            for b in slices(batch):
+                out = []
                 for doc, ids in zip(b.column(0).to_pylist(), encoder.encode([t or "" for t in b.column(1).to_pylist()]), strict=True):
                     ids += end
                     n = len(ids) // 4

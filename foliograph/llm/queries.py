@@ -33,8 +33,7 @@ def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
 
 @query("op1_bpe")
 def op1_bpe(spark: SparkSession, directory: str) -> DataFrame:
-    path = public_tokenizers.path(WORD_BPE)
-    coded = bpe.decode(bpe.encode(table(spark, directory, "documents"), path), path)
+    coded = bpe.round_trip(table(spark, directory, "documents"), public_tokenizers.path(WORD_BPE))
     return coded.select(
         "doc_id", F.floor(F.length("ids") / 4).alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
