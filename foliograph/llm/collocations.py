@@ -3,15 +3,18 @@
 A phrase is a run of words inside a piece of text; its count is that of all its places. A phrase is never more frequent than
 its parts, so the phrases above a support are closed under taking parts.
 
-1. A sample of the documents is mined at a lowered support. What is frequent there is the proposal.
-2. One pass over all documents counts every word, every proposed phrase and the proposal's negative border: the phrases
-   that are not proposed themselves though both their parts, without the last and without the first word, are.
-3. A border phrase that turns out frequent is a failure: longer phrases around it were not counted. A further pass then counts
-   the phrases whose parts are frequent by now and which no pass has counted, until a pass finds none.
-
-The counts are exact whatever the sample was; it only decides how many passes are needed, at most one for each length.
-Proposals reach the tasks as a blocked Bloom filter of at most ``MOST_BYTES``; a false hit counts a phrase more and changes no
-result. A task combines its counts before they are shuffled, so frequent phrases and languages do not pile up anywhere.
+1. A pass counts the words. Phrases of frequent words only can be frequent.
+2. A sample, one block of ``BLOCK`` bytes in ``share`` from all texts, is mined at a lowered support. What is frequent there is
+   the proposal.
+3. A pass over all documents counts every proposed phrase and the proposal's negative border: the phrases that are not
+   proposed themselves though both their parts, without the last and without the first word, are.
+4. A border phrase that turns out frequent is a failure: longer phrases around it were not counted. A further pass counts what
+   no pass has counted and whose parts are frequent or counted in this pass too. The parts of a frequent phrase that are left
+   are all of that kind, so this pass closes the mining.
+
+The counts are exact whatever the sample was; it only decides how much the last pass has to do. Proposals reach the tasks as a
+blocked Bloom filter of at most ``MOST_BYTES``; a false hit counts a phrase more and changes no result. A task combines its
+counts before they are shuffled, so frequent phrases and languages do not pile up anywhere.
 
 A candidate is cut after each of its words; the part counts give a score to each cut and the lowest decides. Candidates inside a
 longer one that is as frequent are dropped.
@@ -37,7 +40,8 @@ MOST_BYTES = 16 << 20
 STOPS = b".,;:!?\n\x0b\x0c\r"
 BASE = 0x9E3779B97F4A7C15
 COUNTS = "lang string, phrase binary, n long"
-PART = 4 << 20  # bytes of text that are counted together, if a piece is not longer
+PART = 8 << 20  # bytes of text that are counted together, if a piece is not longer
+BLOCK = 512  # bytes of a block of the sample
 
 
 def pieces_of(text: bytes) -> Iterator[bytes]:
@@ -54,6 +58,28 @@ def pieces_of(text: bytes) -> Iterator[bytes]:
     yield text[at:]
 
 
+def blocks_of(text: bytes, seed: int, share: int) -> Iterator[bytes]:
+    """One block in ``share`` of a text, without the words that it cuts."""
+    for i in range(0, len(text), BLOCK):
+        if ((seed * BASE + i // BLOCK) * 0xC4CEB9FE1A85EC53 & (1 << 64) - 1) >> 33 & (1 << 31) - 1 < (1 << 31) // share:
+            block = text[i : i + BLOCK]
+            block = block.partition(b" ")[2] if i else block
+            yield block.rpartition(b" ")[0] if i + BLOCK < len(text) else block
+
+
+def tokens_of(parts: list[bytes]) -> pa.DictionaryArray:
+    """The words of the parts, with a stop between pieces and parts."""
+    import numpy as np
+
+    raw = np.frombuffer(b".".join(parts).replace(b".", b" . ") + b" ", np.uint8)
+    inside = (raw != 32) & (raw != 9)
+    edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+    edges = np.append(0, edges) if inside[0] else edges
+    ends = np.cumsum(edges[1::2] - edges[::2])
+    buffers = [None, pa.py_buffer(np.append(0, ends).astype(np.int32)), pa.py_buffer(raw[inside])]
+    return pa.Array.from_buffers(pa.binary(), len(ends), buffers).dictionary_encode()
+
+
 def word_hash(word: bytes) -> int:
     import xxhash
 
@@ -108,125 +134,137 @@ def filter_of(phrases: DataFrame, bits_per_key: int = 16):
     return words
 
 
-def counted(lang: str, parts: list[bytes], filters: list, longest: int, judged: int, whole: bool) -> Iterator[tuple]:
+def numbered(keys):
+    """The distinct keys, and for each key which of them it is."""
+    held = pa.array(keys).dictionary_encode()
+    return held.dictionary.to_numpy(), held.indices.to_numpy()
+
+
+def counted(lang: str, parts: list[bytes], filters: list, shortest: int, longest: int, judged: int, open_: bool) -> Iterator[tuple]:
     """(phrases, counts) of the parts of one language, a pair of arrays for each length.
 
     A phrase takes part if the last filter holds both its parts; those that an earlier filter let pass were counted before.
-    Parts longer than ``judged`` words only have to take part themselves. ``whole`` also counts the words, and all of them
-    under the empty phrase.
+    Parts longer than ``judged`` words only have to take part themselves, and so do those that are counted now if ``open_``.
+    With words go those of all words together, under the empty phrase.
     """
     import numpy as np
     import pyarrow.compute as pc
 
-    tokens = pa.array(b" . ".join(p.replace(b".", b" . ") for p in parts).split(), pa.binary()).dictionary_encode()
+    tokens = tokens_of(parts)
     names, code = tokens.dictionary, tokens.indices.to_numpy()
     if not len(code):
         return
-    word = np.array([word_hash(x) for x in names.to_pylist()], np.uint64)
     stop = pc.index(names, pa.scalar(b".", pa.binary())).as_py()
     is_word = code != stop
-    seed = np.full(len(word), word_hash(lang.encode()), np.uint64)
-    # by place: the number of the phrase of the present length that starts there, and whether each filter holds it
-    number, hashes = code.astype(np.int64), longer_hash(seed, word)
-    held = [holds(f, hashes)[code] & is_word for f in filters] or [is_word]
-    if whole:
+    if shortest == 1:
         n = np.bincount(code, minlength=len(names))
         kept = np.flatnonzero(np.arange(len(names)) != stop)
         yield names.take(pa.array(kept)), n[kept]
         yield pa.array([b""], pa.binary()), np.array([int(is_word.sum())])
+    if longest == 1:
+        return
+    word = np.array([word_hash(x) for x in names.to_pylist()], np.uint64)
+    # by place: the number of the phrase of the present length that starts there, and whether each filter holds it
+    number, hashes = code.astype(np.int64), longer_hash(np.full(len(word), word_hash(lang.encode()), np.uint64), word)
+    held = [holds(f, hashes)[code] & is_word for f in filters]
     phrases = names
     for length in range(2, longest + 1):
-        if len(held[-1]) < 2:
+        if len(number) < 2:
             return
         both = [h[:-1] & h[1:] for h in held]
         at = np.flatnonzero(both[-1])
         if not len(at):
             return
-        last = code[at + length - 1].astype(np.int64)
-        distinct, first, which, n = np.unique(number[at] * len(names) + last, return_index=True, return_inverse=True, return_counts=True)
+        distinct, which = numbered(number[at] * len(names) + code[at + length - 1])
         part, end = distinct // len(names), distinct % len(names)
         phrases = pc.binary_join_element_wise(phrases.take(pa.array(part)), names.take(pa.array(end)), pa.scalar(b" ", pa.binary()))
         hashes = longer_hash(hashes[part], word[end])
-        new = ~np.logical_or.reduce([b[at[first]] for b in both[:-1]]) if len(both) > 1 else np.ones(len(n), bool)
-        if new.any():
-            yield phrases.filter(pa.array(new)), n[new]
+        new = np.ones(len(distinct), bool)
+        if len(both) > 1:
+            before = np.logical_or.reduce([b[at] for b in both[:-1]])
+            new[which[before]] = False
+        if length >= shortest and new.any():
+            yield phrases.filter(pa.array(new)), np.bincount(which, minlength=len(distinct))[new]
         number = np.zeros(len(number) - 1, np.int64)
         number[at] = which
         held = []
-        for f in filters or [None]:
-            here = np.zeros(len(number), bool)
-            here[at] = True if f is None or length > judged else holds(f, hashes)[which]
-            held.append(here)
+        for i, f in enumerate(filters):
+            here = holds(f, hashes) if length <= judged else np.ones(len(distinct), bool)
+            if open_ and i == len(filters) - 1:
+                here |= new
+            places_ = np.zeros(len(number), bool)
+            places_[at] = here[which] & both[i][at]  # a false hit is none where the parts did not pass
+            held.append(places_)
 
 
-def count(docs: DataFrame, filters: list, longest: int, judged: int = 1 << 30, whole: bool = False) -> DataFrame:
-    """(lang, phrase, n): counts of one pass over (lang, text), with the text as bytes."""
+def count(docs: DataFrame, filters: list, shortest: int, longest: int, judged: int = 1 << 30, open_: bool = False, share: int = 1) -> DataFrame:
+    """(lang, phrase, n): counts of one pass over (lang, text), with the text as bytes, or over a sample of its blocks."""
     shared = docs.sparkSession.sparkContext.broadcast(filters)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        context = TaskContext.get()
+        seed = (context.partitionId() if context else 0) << 32
         waiting: dict[str, list[bytes]] = {}
         size = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
             for lang, parts in waiting.items():
-                for phrases, n in counted(lang, parts, shared.value, longest, judged, whole):
+                for phrases, n in counted(lang, parts, shared.value, shortest, longest, judged, open_):
                     yield pa.RecordBatch.from_arrays([pa.repeat(pa.scalar(lang), len(n)), phrases, pa.array(n, pa.int64())], names=["lang", "phrase", "n"])
             waiting.clear()
 
         for b in batches:
             for lang, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                for part in pieces_of(text.as_py()):
-                    waiting.setdefault(lang, []).append(part)
-                    size += len(part)
-                    if size > PART:
-                        yield from flush()
-                        size = 0
+                seed += 1
+                for block in blocks_of(text.as_py(), seed, share) if share > 1 else (text.as_py(),):
+                    for part in pieces_of(block):
+                        waiting.setdefault(lang, []).append(part)
+                        size += len(part) + 1
+                        if size > PART:
+                            yield from flush()
+                            size = 0
         yield from flush()
 
     return docs.select("lang", "text").mapInArrow(run, COUNTS).groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
 
 
 def length_of(phrase: str = "phrase"):
-    """Words of a phrase; the empty phrase stands for all words and has none."""
-    text = F.col(phrase).cast("string")
-    return F.when(text == "", 0).otherwise(F.size(F.split(text, " ")))
+    """Words of a phrase."""
+    return F.size(F.split(F.col(phrase).cast("string"), " "))
 
 
 def lowered(support: int, share: int) -> int:
-    """The support in a sample of one in ``share`` documents: its mean less two and a half standard deviations."""
+    """The support in a sample of one in ``share``: its mean less two and a half standard deviations."""
     mean = support / share
     return max(2, int(mean - 2.5 * (mean * (1 - 1 / share)) ** 0.5))
 
 
 def frequent_phrases(docs: DataFrame, support: int = SUPPORT, longest: int = LONGEST, share: int = SHARE, text_col: str = "text",
-                     lang_col: str = "lang", id_col: str = "doc_id") -> DataFrame:
-    """(lang, phrase, n) of every word and phrase with at least ``support`` places, and of the empty phrase, for all words.
-
-    One in ``share`` documents by a hash of id and text is the sample; it proposes and decides nothing.
-    """
+                     lang_col: str = "lang") -> DataFrame:
+    """(lang, phrase, n) of every word and phrase with at least ``support`` places, and of the empty phrase, for all words."""
     texts = docs.where(F.col(text_col).isNotNull()).select(
-        F.coalesce(F.col(lang_col), F.lit("und")).alias("lang"), F.col(text_col).cast("binary").alias("text"), F.col(id_col).alias("id"))
-    sample = texts.where(F.pmod(F.xxhash64("id", "text"), F.lit(share)) == 0)
+        F.coalesce(F.col(lang_col), F.lit("und")).alias("lang"), F.col(text_col).cast("binary").alias("text"))
     low = lowered(support, share)
-    short = stored(count(sample, [], min(2, longest), whole=True).where(F.col("n") >= low), "sample-short")
-    held = filter_of(short.where("phrase <> X''"))
-    proposed = short.where("phrase <> X''")
+    enough = F.col("n") >= support
+    found = stored(count(texts, [], 1, 1).where(enough | (F.col("phrase") == F.lit(b""))), "words")
+    words = found.where("phrase <> X''")
+    if longest == 1:
+        return found
+    pairs = stored(count(texts, [filter_of(words)], 2, 2, share=share).where(F.col("n") >= low), "sample-pairs")
+    proposed = pairs
     if longest > 2:
-        rest = count(sample, [held], longest, judged=2).where((F.col("n") >= low) & (length_of() > 2))
-        proposed = proposed.unionByName(stored(rest, "sample-long"))
-    filters, found = [filter_of(proposed)], None
-    while True:
-        passed = count(texts, filters, longest, whole=found is None)
-        new = stored(passed.where((F.col("n") >= support) | (F.col("phrase") == F.lit(b""))), f"counts-{len(filters)}")
-        found = new if found is None else found.unionByName(new)
-        if len(filters) == 1:
-            # failures of the proposal: frequent, not proposed, and short enough to be part of something longer
-            failed = new.where(length_of().between(1, longest - 1)).join(proposed.select("lang", "phrase"), ["lang", "phrase"], "left_anti")
-        else:
-            failed = new.where(length_of().between(1, longest - 1))
-        if failed.isEmpty():
-            return found
-        filters = [*filters, filter_of(found.where("phrase <> X''"))]
+        long_ = count(texts, [filter_of(words.unionByName(pairs))], 3, longest, judged=2, share=share).where(F.col("n") >= low)
+        proposed = pairs.unionByName(stored(long_, "sample-phrases"))
+    first = filter_of(words.unionByName(proposed))
+    passed = stored(count(texts, [first], 2, longest).where(enough), "phrases")
+    found = found.unionByName(passed)
+    failed = passed.where(length_of() < longest).join(proposed.select("lang", "phrase"), ["lang", "phrase"], "left_anti")
+    if failed.isEmpty():
+        return found
+    filters = [first, filter_of(found.where("phrase <> X''"))]
+    return found.unionByName(stored(count(texts, filters, 2, longest, open_=True).where(enough), "phrases-left"))
 
 
 def collocations(docs: DataFrame, support: int = SUPPORT, longest: int = LONGEST, share: int = SHARE, most: int = 2000,
