@@ -2,15 +2,12 @@
 
 Both tokenizers encode every whole text. Where a token of each ends at the same byte and the next token of each starts with a
 space, the document can be cut: such verified shared ends are anchors, and the tokens between two anchors are a window, a pair
-of id tuples. Equal windows align alike, so a worker keeps the alignments of the windows it met, by their ids.
+of id tuples. Equal windows align alike, so a worker keeps the groups and links of the windows it met, by their ids, and aligns
+the new windows of a batch together.
 
-Counts of linked id pairs over the corpus come from windows too: a task adds up how often each window occurs, every distinct
-window is aligned once more and its links count as often as the window does. The pair counts give each window a sum and a number
-of best links, and documents add those of their windows.
-
-Documents keep their windows in a stored table: those that a sample proposes as frequent, at most ``CODES``, by a number, the
-others by a 96-bit digest. The figures of the numbered ones are broadcast, the others are joined, so frequent windows never
-meet in one place. The sample decides how much travels and never what comes out.
+A document's row keeps its distinct links with their number; a task adds the links of its documents up to counts of id pairs.
+The counts of the most frequent pairs, at most ``PAIRS``, are broadcast and summed over the links of each document where it is;
+links of other pairs, if there are any, are joined with their counts. So frequent pairs never meet in one place.
 
 Defined results: texts that are null or empty, or whose tokens do not spell a space and the text, have no tokens and zeros; texts
 of any length are aligned whole; names of special tokens in a text are plain text; repeated rows and null ids give a row each and
@@ -19,7 +16,6 @@ all count; an empty table gives no rows; other columns are not read.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -27,18 +23,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foliograph.llm.bpe import byte_alphabet
-from foliograph.llm.common import stored, worker_state
+from foliograph.llm.common import Kept, slices, stored, worker_state
 from foliograph.llm.packing import ChunkEncoder
 
-CODES, SHARE = 1 << 18, 16
+PAIRS = 1 << 20  # pair counts that are broadcast at most, 17 bytes each
 OF_B = 0x80000000  # marks the second tokenizer's ids in a window's key
-KEPT_BYTES = 64 << 20  # alignments that a worker keeps
-TALLY = 150_000  # windows that a task adds up before it passes them on
+KEPT_BYTES = 96 << 20  # alignments that a worker keeps
+TALLY = 1 << 18  # pairs that a task adds up before it passes them on
+
+ROWS = ("row long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, links binary, times binary, "
+        "pair long, n long")
+FIELDS = [(f.split()[0], {"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}[f.split()[1]]) for f in ROWS.split(", ")]
+
 
-ROWS = ("row long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, coded binary, rest binary, "
-        "hi long, lo int, key binary, n long")
-FIELDS = [(f.split()[0], {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "binary": pa.binary()}[f.split()[1]])
-          for f in ROWS.split(", ")]
+def starts_of(sizes):
+    """Where runs of these sizes start when they stand one behind the other, and where the last ends."""
+    import numpy as np
+
+    return np.append(0, np.cumsum(sizes))
 
 
 class Aligner:
@@ -53,267 +55,237 @@ class Aligner:
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         alphabet = byte_alphabet()
         vocab = self.a.tokenizer.get_vocab()
-        self.bytes_a = [b""] * (max(vocab.values()) + 1)
+        bytes_a = [b""] * (max(vocab.values()) + 1)
         for token, i in vocab.items():
-            known = all(c in alphabet for c in token)
-            self.bytes_a[i] = bytes(alphabet[c] for c in token) if known else token.encode()
-        self.bytes_b = [
+            bytes_a[i] = bytes(alphabet[c] for c in token) if all(c in alphabet for c in token) else token.encode()
+        bytes_b = [
             bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
             for i, p in ((i, self.b.id_to_piece(i)) for i in range(self.b.get_piece_size()))]
-        self.length_a, self.length_b = (np.array([len(x) for x in t], np.int64) for t in (self.bytes_a, self.bytes_b))
-        self.space_a, self.space_b = (np.array([x[:1] == b" " for x in t]) for t in (self.bytes_a, self.bytes_b))
-        self.kept: dict[bytes, bytes] = {}
-        self.size = 0
+        self.tokens = [pa.array(t, pa.binary()) for t in (bytes_a, bytes_b)]
+        self.lengths = [np.array([len(x) for x in t], np.int64) for t in (bytes_a, bytes_b)]
+        self.spaced = [np.array([x[:1] == b" " for x in t]) for t in (bytes_a, bytes_b)]
+        # an id as text with what stands behind it: "," inside a group, "|" or ";" at the end of its half
+        self.texts = [f"{i}{c}".encode() for t, end in ((bytes_a, "|"), (bytes_b, ";")) for i in range(len(t)) for c in (",", end)]
+        self.first_b = 2 * len(bytes_a)
+        self.kept = Kept(KEPT_BYTES)
 
     def ids_a(self, text: str) -> list[int]:
         if self.a.ranks and (text.isascii() or max(text) < "Ā"):
             return self.a.ranks.encode_ordinary(text)
         return self.a.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def align(self, key: bytes) -> tuple[bytes, list[tuple[int, int]]]:
-        """The groups of a window as text, and its linked id pairs."""
-        ids = memoryview(key).cast("I").tolist()
-        a, b = [i for i in ids if i < OF_B], [i - OF_B for i in ids if i >= OF_B]
-        groups, links, i, j, first_i, first_j = [], [], 0, 0, 0, 0
-        end_a, end_b = len(self.bytes_a[a[0]]), len(self.bytes_b[b[0]])
-        while True:
-            links.append((a[i], b[j]))
-            next_a, next_b = end_a <= end_b, end_b <= end_a
-            i, j = i + next_a, j + next_b
-            if next_a and next_b:
-                groups.append(f"{','.join(map(str, a[first_i:i]))}|{','.join(map(str, b[first_j:j]))}")
-                first_i, first_j = i, j
-                if i == len(a):
-                    return ";".join(groups).encode(), links
-            end_a += len(self.bytes_a[a[i]]) if next_a else 0
-            end_b += len(self.bytes_b[b[j]]) if next_b else 0
-
-    def learn(self, keys: set[bytes]) -> None:
-        for key in keys:
-            groups = self.kept[key] = self.align(key)[0]
-            self.size += len(key) + len(groups) + 200
-
-    def windows(self, texts: list[str]) -> list[tuple | None]:
-        """(n_a, n_b, window keys) of each text, or None for one without tokens."""
+    def spell(self, side: int, ids, sizes: list[int]) -> list[memoryview]:
+        """The bytes of each run of ids."""
+        import numpy as np
+
+        made = self.tokens[side].take(pa.array(ids))
+        data = memoryview(made.buffers()[2]).cast("B") if len(ids) and made.buffers()[2] else memoryview(b"")
+        ends = starts_of(self.lengths[side][ids])[starts_of(sizes).astype(np.int64)].tolist()
+        return [data[i:j] for i, j in zip(ends, ends[1:], strict=False)]
+
+    def encode(self, texts: list[str]) -> list[tuple[list[int], list[int]] | None]:
+        """Ids of both for each text, None where a text has no tokens."""
         from itertools import chain
 
         import numpy as np
 
-        tokens: list[tuple | None] = []
-        for t, b in zip(texts, self.b.encode(texts, num_threads=1), strict=True):
-            raw = (" " + t).encode()
-            a = self.ids_a(" " + t) if t else []
-            spelt = t and b"".join(map(self.bytes_a.__getitem__, a)) == raw and b"".join(map(self.bytes_b.__getitem__, b)) == raw
-            tokens.append((a, b) if spelt else None)
-        held = [x for x in tokens if x]
-        if not held:
-            return tokens
-        a, b = (np.fromiter(chain.from_iterable(x[n] for x in held), np.uint32) for n in (0, 1))
-        start_a, start_b = (np.cumsum(length[x]) - length[x] for length, x in ((self.length_a, a), (self.length_b, b)))
+        ids = [[self.ids_a(" " + t) if t else [] for t in texts], self.b.encode(texts, num_threads=1)]
+        spelt = [self.spell(n, np.fromiter(chain.from_iterable(x), np.int64), [len(y) for y in x]) for n, x in enumerate(ids)]
+        raw = [(" " + t).encode() if t else None for t in texts]
+        return [(a, b) if r and x == r and y == r else None for a, b, r, x, y in zip(*ids, raw, *spelt, strict=True)]
+
+    def align(self, a, b, sizes_a, sizes_b) -> list[tuple[bytes, bytes]]:
+        """Groups as text and links as 64-bit pairs of each of many windows, whose ids stand one behind the other."""
+        import numpy as np
+
+        end_a, end_b = np.cumsum(self.lengths[0][a]), np.cumsum(self.lengths[1][b])
+        # each place where some token ends closes one link, of the tokens that reach it
+        ends = np.union1d(end_a, end_b)
+        links = (a[np.searchsorted(end_a, ends)] << 32) | b[np.searchsorted(end_b, ends)]
+        # tokens in the order of their text: by group, first a's then b's; a token belongs to the first shared end from its own
+        shared = np.intersect1d(end_a, end_b, assume_unique=True)
+        group_a, group_b = np.searchsorted(shared, end_a), np.searchsorted(shared, end_b)
+        last_a, last_b = np.append(group_a[1:] != group_a[:-1], True), np.append(group_b[1:] != group_b[:-1], True)
+        codes = np.empty(len(a) + len(b), np.int64)
+        codes[np.arange(len(a)) + np.searchsorted(group_b, group_a)] = 2 * a + last_a
+        codes[np.arange(len(b)) + np.searchsorted(group_a, group_b, side="right")] = self.first_b + 2 * b + last_b
+        window_ends = end_a[starts_of(sizes_a)[1:] - 1]
+        of_links = (8 * np.append(0, np.searchsorted(ends, window_ends) + 1)).tolist()
+        of_codes = starts_of(sizes_a + sizes_b).tolist()
+        texts, packed = list(map(self.texts.__getitem__, codes.tolist())), links.tobytes()
+        return [(b"".join(texts[i:j])[:-1], packed[k:m])
+                for i, j, k, m in zip(of_codes, of_codes[1:], of_links, of_links[1:], strict=False)]
+
+    def learn(self, keys: list[bytes]) -> None:
+        """Aligns windows that are not kept."""
+        import numpy as np
+
+        ids = np.frombuffer(b"".join(keys), np.uint32).astype(np.int64)
+        of_b = ids >= OF_B
+        bounds = starts_of([len(k) // 4 for k in keys])
+        sizes_b = np.diff(starts_of(of_b)[bounds])
+        for key, found in zip(keys, self.align(ids[~of_b], ids[of_b] - OF_B, np.diff(bounds) - sizes_b, sizes_b), strict=True):
+            self.kept.add(key, found)
+
+    def windows(self, tokens: list[tuple[list[int], list[int]]]) -> list[list[bytes]]:
+        """The windows of each document, by their ids."""
+        from itertools import chain
+
+        import numpy as np
+
+        ids = [np.fromiter(chain.from_iterable(x[n] for x in tokens), np.int64) for n in (0, 1)]
+        start_a, start_b = (starts_of(length[x])[:-1] for length, x in zip(self.lengths, ids, strict=True))
         # places where both have a token that starts with a space: the tokens before end there together
-        at_a, at_b = np.flatnonzero(self.space_a[a]), np.flatnonzero(self.space_b[b])
+        at_a, at_b = (np.flatnonzero(spaced[x]) for spaced, x in zip(self.spaced, ids, strict=True))
         found = np.searchsorted(start_b[at_b], start_a[at_a])
         same = np.append(start_b[at_b], -1)[found] == start_a[at_a]
         cut_a, cut_b = at_a[same], at_b[found[same]]
-        bytes_a, bytes_b = a.tobytes(), (b | np.uint32(OF_B)).tobytes()
+        bytes_a, bytes_b = ids[0].astype(np.uint32).tobytes(), (ids[1] | OF_B).astype(np.uint32).tobytes()
         p, q = (4 * cut_a).tolist(), (4 * cut_b).tolist()
         keys = [bytes_a[i:j] + bytes_b[k:m] for i, j, k, m in zip(p, [*p[1:], len(bytes_a)], q, [*q[1:], len(bytes_b)], strict=True)]
-        first = np.searchsorted(cut_a, np.cumsum([0, *(len(x[0]) for x in held)])).tolist()
-        each = iter([(len(x[0]), len(x[1]), keys[i:j]) for x, i, j in zip(held, first, first[1:], strict=False)])
-        return [x and next(each) for x in tokens]
+        first = np.searchsorted(cut_a, starts_of([len(x[0]) for x in tokens])).tolist()
+        return [keys[i:j] for i, j in zip(first, first[1:], strict=False)]
 
-    def groups(self, keys: list[bytes]) -> bytes:
-        """The alignment of the windows, as text."""
-        if self.size > KEPT_BYTES:
-            self.kept, self.size = {}, 0
-        missing = set(keys).difference(self.kept)
+    def documents(self, texts: list[str]) -> list[tuple[int, int, bytes, bytes] | None]:
+        """(n_a, n_b, groups, links) of each text, None where it has no tokens."""
+        tokens = self.encode(texts)
+        held = [x for x in tokens if x]
+        windows = self.windows(held) if held else []
+        missing = self.kept.missing(set().union(*windows))
         if missing:
-            self.learn(missing)
-        return b";".join(map(self.kept.__getitem__, keys))
+            self.learn(list(missing))
+        get, out = self.kept.new.__getitem__, []
+        for (a, b), keys in zip(held, windows, strict=True):
+            found = list(map(get, keys))
+            out.append((len(a), len(b), b";".join([x[0] for x in found]), b"".join([x[1] for x in found])))
+        each = iter(out)
+        return [x and next(each) for x in tokens]
 
 
 def aligner(path_a: str, path_b: str) -> Aligner:
     return worker_state(("aligner", path_a, path_b), lambda: Aligner(path_a, path_b))
 
 
-def digest(key: bytes) -> bytes:
-    import xxhash
-
-    return xxhash.xxh3_128_digest(key)[:12]
-
-
-def digests(keys: list[bytes]):
-    """hi and lo of the digests of keys, as arrays."""
-    import numpy as np
-
-    held = np.frombuffer(b"".join(map(digest, keys)), [("hi", "<i8"), ("lo", "<i4")])
-    return held["hi"].copy(), held["lo"].copy()
-
-
-def parts_of(texts: list, most: int = 1 << 20) -> Iterator[list[int]]:
-    """Numbers of the texts in parts of about ``most`` characters."""
-    part, size = [], 0
-    for i, t in enumerate(texts):
-        part.append(i)
-        size += len(t or "")
-        if size > most:
-            yield part
-            part, size = [], 0
-    if part:
-        yield part
-
-
 def rows_of(columns: dict) -> pa.RecordBatch:
     n = len(next(iter(columns.values())))
     return pa.RecordBatch.from_arrays([pa.array(columns[f], t) if f in columns else pa.nulls(n, t) for f, t in FIELDS], names=[f for f, _ in FIELDS])
 
 
-def aligned(docs: DataFrame, path_a: str, path_b: str, codes: dict[bytes, int] | None) -> DataFrame:
-    """A row for each document, and rows (hi, lo, key, n) that say how often windows occur in a task.
-
-    ``codes`` numbers the windows that documents hold by number; without it there are only rows for windows.
-    """
+def aligned(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
+    """A row for each document with its distinct links, and rows (pair, n) that add up the links of a task's documents."""
     import numpy as np
 
-    shared = docs.sparkSession.sparkContext.broadcast(codes)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from hashlib import sha256
 
         from pyspark import TaskContext
 
-        held, known = aligner(path_a, path_b), shared.value
+        held = aligner(path_a, path_b)
         context = TaskContext.get()
         number = (context.partitionId() if context else 0) << 36
-        tally: Counter = Counter()
-
-        def flush() -> pa.RecordBatch:
-            keys = list(tally)
-            hi, lo = digests(keys)
-            out = rows_of({"hi": hi, "lo": lo, "key": keys, "n": list(tally.values())})
-            tally.clear()
-            return out
+        tally: dict[int, int] = {}
 
         for whole in batches:
-            ids, texts = whole.column(0).to_pylist(), whole.column(1).to_pylist()
-            for part in parts_of(texts):
+            for part in slices(whole, most=1 << 20):
                 out: dict[str, list] = {f: [] for f, _ in FIELDS[:9]}
-                for i, found in zip(part, held.windows([texts[i] or "" for i in part]), strict=True):
-                    n_a, n_b, keys = found or (0, 0, [])
-                    tally.update(keys)
-                    if known is None:
-                        continue
-                    groups = held.groups(keys) if keys else b""
-                    n_groups = groups.count(b";") + 1 if keys else 0
-                    coded, rest = [], []
-                    for key, times in Counter(keys).items():
-                        code = known.get(key)
-                        if code is None:
-                            rest.append(digest(key) + times.to_bytes(4, "little"))
-                        else:
-                            coded += (code, times)
-                    row = (number, ids[i], n_a, n_b, n_groups, n_a + n_b - n_groups, sha256(groups).hexdigest() if keys else "",
-                           np.array(coded, "<i4").tobytes(), b"".join(rest))
+                pairs, counts = [], []
+                for doc_id, found in zip(part.column(0).to_pylist(), held.documents([t or "" for t in part.column(1).to_pylist()]), strict=True):
+                    n_a, n_b, groups, links = found or (0, 0, b"", b"")
+                    pair, times = np.unique(np.frombuffer(links, np.int64), return_counts=True)
+                    pairs.append(pair)
+                    counts.append(times)
+                    row = (number, doc_id, n_a, n_b, groups.count(b";") + 1 if groups else 0, len(links) // 8,
+                           sha256(groups).hexdigest() if groups else "", pair.tobytes(), times.astype(np.int32).tobytes())
                     for x, v in zip(out.values(), row, strict=True):
                         x.append(v)
                     number += 1
-                if out["row"]:
-                    yield rows_of(out)
+                yield rows_of(out)
+                distinct, of = np.unique(np.concatenate(pairs), return_inverse=True)
+                sums = np.zeros(len(distinct), np.int64)
+                np.add.at(sums, of, np.concatenate(counts))
+                for pair, n in zip(distinct.tolist(), sums.tolist(), strict=True):
+                    tally[pair] = tally.get(pair, 0) + n
                 if len(tally) > TALLY:
-                    yield flush()
+                    yield rows_of({"pair": list(tally), "n": list(tally.values())})
+                    tally = {}
         if tally:
-            yield flush()
+            yield rows_of({"pair": list(tally), "n": list(tally.values())})
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, ROWS)
 
 
-def links(windows: DataFrame, path_a: str, path_b: str) -> DataFrame:
-    """(hi, lo, a, b, times, n): the linked id pairs of each window, with their number in it and in the corpus."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = aligner(path_a, path_b)
-        names = ("hi", "lo", "a", "b", "times", "n")
-        kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64())
-        for whole in batches:
-            for at in range(0, whole.num_rows, 4096):
-                rows = [(hi, lo, a, b, times, times * n)
-                        for hi, lo, key, n in zip(*(c.to_pylist() for c in whole.slice(at, 4096).columns), strict=True)
-                        for (a, b), times in Counter(held.align(key)[1]).items()]
-                yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
-
-    return windows.select("hi", "lo", "key", "n").mapInArrow(run, "hi long, lo int, a int, b int, times long, n long")
-
-
-def added(rows: DataFrame) -> DataFrame:
-    """(hi, lo, key, n) of every distinct window."""
-    return rows.where("key IS NOT NULL").groupBy("hi", "lo").agg(F.first("key").alias("key"), F.sum("n").alias("n"))
+DOCUMENT = ["row", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256"]
 
 
-def summed(docs: DataFrame, best, total) -> DataFrame:
-    """Document rows with the sums over their numbered windows; ``best`` and ``total`` are by number."""
-    shared = docs.sparkSession.sparkContext.broadcast((best, total))
+def summed(docs: DataFrame, pairs, counts, best) -> DataFrame:
+    """Documents with the sums over their links of the given pairs, which are in order."""
+    shared = docs.sparkSession.sparkContext.broadcast((pairs, counts, best))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
-        for b in batches:
-            pairs = [np.frombuffer(x, "<i4").reshape(-1, 2).astype(np.int64) for x in b.column("coded").to_pylist()]
-            sums = [pa.array([int((of[p[:, 0]] * p[:, 1]).sum()) for p in pairs], pa.int64()) for of in shared.value]
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], *sums], names=[*b.schema.names[:-1], "n_best", "count_sum"])
+        known, count, top = shared.value
+        for whole in batches:
+            for b in slices(whole, whole.schema.get_field_index("links"), 8 << 20):
+                links, times = (b.column(c).to_pylist() for c in ("links", "times"))
+                ends = starts_of([len(x) // 8 for x in links])
+                pair, n = np.frombuffer(b"".join(links), np.int64), np.frombuffer(b"".join(times), np.int32).astype(np.int64)
+                at = np.minimum(np.searchsorted(known, pair), max(len(known) - 1, 0))
+                n = np.where(known[at] == pair, n, 0) if len(known) else np.zeros(len(n), np.int64)
+                sums = [starts_of(n * of[at]) if len(known) else np.zeros(len(n) + 1, np.int64) for of in (top, count)]
+                yield pa.RecordBatch.from_arrays(
+                    [*(b.column(c) for c in DOCUMENT), *(pa.array(s[ends[1:]] - s[ends[:-1]]) for s in sums)],
+                    names=[*DOCUMENT, "n_best", "count_sum"])
 
-    fields = ["row", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256"]
-    return docs.select(*fields, "coded").mapInArrow(
-        run, ", ".join(f"{f} {'string' if 'sha' in f else 'long'}" for f in fields) + ", n_best long, count_sum long")
+    return docs.select(*DOCUMENT, "links", "times").mapInArrow(
+        run, ", ".join(f"{f} {'string' if 'sha' in f else 'long'}" for f in DOCUMENT) + ", n_best long, count_sum long")
 
 
-def others(docs: DataFrame) -> DataFrame:
-    """(row, hi, lo, times) of the windows that documents hold by digest."""
+def links_of(docs: DataFrame) -> DataFrame:
+    """(row, pair, times): the distinct links of each document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
-        for b in batches:
-            blobs = b.column(1).to_pylist()
-            held = np.frombuffer(b"".join(blobs), [("hi", "<i8"), ("lo", "<i4"), ("times", "<i4")])
-            rows = np.repeat(b.column(0).to_numpy(), [len(x) // 16 for x in blobs])
-            columns = [pa.array(x) for x in (rows, held["hi"].copy(), held["lo"].copy(), held["times"].copy())]
-            for at in range(0, len(rows), 1 << 16):
-                yield pa.RecordBatch.from_arrays([c.slice(at, 1 << 16) for c in columns], names=["row", "hi", "lo", "times"])
-
-    return docs.select("row", "rest").mapInArrow(run, "row long, hi long, lo int, times int")
-
-
-def align_documents(docs: DataFrame, path_a: str, path_b: str, codes: int = CODES, share: int = SHARE, id_col: str = "doc_id",
-                    text_col: str = "text") -> DataFrame:
-    """(doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256) of every document.
-
-    One in ``share`` documents, by a hash, proposes the windows that are numbered, at most ``codes``.
-    """
+        for whole in batches:
+            for b in slices(whole, 1, 1 << 20):
+                links, times = (b.column(c).to_pylist() for c in (1, 2))
+                rows = np.repeat(b.column(0).to_numpy(), [len(x) // 8 for x in links])
+                columns = (rows, np.frombuffer(b"".join(links), np.int64), np.frombuffer(b"".join(times), np.int32))
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["row", "pair", "times"])
+
+    return docs.select("row", "links", "times").mapInArrow(run, "row long, pair long, times int")
+
+
+def split(counts: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
+    """The pairs above a power of two that at most ``most`` pairs reach, and the others."""
+    level = F.floor(F.log2(F.col("count"))).cast("int")
+    sizes = sorted((r for r in counts.groupBy(level.alias("level")).count().collect()), reverse=True)  # at most 63 rows
+    least, held = 63, 0
+    for at, n in sizes:
+        held += n
+        if held > most:
+            break
+        least = at
+    return counts.where(level >= least), counts.where(level < least)
+
+
+def align_documents(docs: DataFrame, path_a: str, path_b: str, pairs: int = PAIRS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256) of every document."""
     import numpy as np
 
-    spark = docs.sparkSession
-    base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    sample = base.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(share)) == 0)
-    proposed = added(aligned(sample, path_a, path_b, None)).where("n > 1").orderBy(F.desc("n"), "hi", "lo").limit(codes)
-    numbers = [(r.hi, r.lo, bytes(r.key)) for r in proposed.collect()]  # at most ``codes``
-    rows = stored(aligned(base, path_a, path_b, {k: i for i, (_, _, k) in enumerate(numbers)}), "aligned")
-    windows = stored(added(rows), "windows")
-    linked = links(windows, path_a, path_b)
-    counts = stored(linked.groupBy("a", "b").agg(F.sum("n").alias("count")), "pair-counts")
+    rows = stored(aligned(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), path_a, path_b), "aligned")
+    documents = rows.where("pair IS NULL")
+    counts = rows.where("pair IS NOT NULL").groupBy("pair").agg(F.sum("n").alias("count"))
+    counts = counts.withColumn("b", F.col("pair").bitwiseAND(F.lit(0xFFFFFFFF)))
     top = counts.groupBy("b").agg(F.max("count").alias("top"))
-    judged = counts.join(top, "b").select("a", "b", "count", (F.col("count") == F.col("top")).cast("long").alias("best"))
-    figures = stored(
-        linked.join(judged, ["a", "b"]).groupBy("hi", "lo")
-        .agg(F.sum(F.col("times") * F.col("best")).alias("best"), F.sum(F.col("times") * F.col("count")).alias("total")), "window-figures")
-    listed = spark.createDataFrame([(h, x, i) for i, (h, x, _) in enumerate(numbers)], "hi long, lo int, code int")
-    best, total = np.zeros(len(numbers), np.int64), np.zeros(len(numbers), np.int64)
-    for r in figures.join(listed, ["hi", "lo"]).select("code", "best", "total").collect():  # at most ``codes``
-        best[r[0]], total[r[0]] = r[1], r[2]
-    documents = rows.where("key IS NULL")
-    tail = (
-        others(documents).join(figures, ["hi", "lo"]).groupBy("row")
-        .agg(F.sum(F.col("times") * F.col("best")).alias("best"), F.sum(F.col("times") * F.col("total")).alias("total"))
-    )
-    with_tail = summed(documents, best, total).join(tail, "row", "left")
-    more = lambda c, t: (F.col(c) + F.coalesce(F.col(t), F.lit(0))).alias(c)
-    return with_tail.select("doc_id", "n_a", "n_b", "n_groups", "n_links", more("n_best", "best"), more("count_sum", "total"), "groups_sha256")
+    counts = stored(counts.join(top, "b").select("pair", "count", (F.col("count") == F.col("top")).cast("long").alias("best")), "pair-counts")
+    frequent, others = split(counts, pairs)
+    held = frequent.toPandas().sort_values("pair")  # at most ``pairs``
+    out = summed(documents, *(held[c].to_numpy(np.int64) for c in ("pair", "count", "best")))
+    if not others.isEmpty():
+        rest = links_of(documents).join(others, "pair").groupBy("row").agg(
+            F.sum(F.col("times") * F.col("best")).alias("best"), F.sum(F.col("times") * F.col("count")).alias("total"))
+        more = lambda c, t: (F.col(c) + F.coalesce(F.col(t), F.lit(0))).alias(c)
+        out = out.join(rest, "row", "left").select(*DOCUMENT, more("n_best", "best"), more("count_sum", "total"))
+    return out.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")

@@ -52,11 +52,13 @@ class Kept:
     def __init__(self, most: int):
         self.most, self.size, self.new, self.old = most, 0, {}, {}
 
-    def add(self, key, value: bytes) -> None:
+    def add(self, key, value) -> None:
         from sys import getsizeof
 
         self.new[key] = value
         self.size += getsizeof(key) + getsizeof(value) + 100
+        if isinstance(value, tuple):
+            self.size += sum(map(getsizeof, value))
 
     def missing(self, keys: set) -> set:
         """Those of the keys without a value; all others are in ``new`` from now on."""
