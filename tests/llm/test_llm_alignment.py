@@ -80,7 +80,7 @@ ODD = ["▁ marks", "two  spaces   three\n\n lines \n end ", " lead", "<s> </s>
        "日本語 テキスト", "a" * 3000, "  wide", "I'll we're 12 345,678"]
 
 
-@pytest.mark.parametrize("sizes", [{}, {"codes": 3, "share": 1}, {"share": 1}, {"codes": 0}])
+@pytest.mark.parametrize("sizes", [{}, {"pairs": 20}, {"pairs": 0}])
 def test_plain_walk(spark, sizes):
     texts = [*hard_texts(), *ODD, *(" ".join(words(40, s, 0, 60)) for s in range(30))]
     ids = [None, *range(1, len(texts) - 1), 1]  # a null and a repeated id
@@ -89,21 +89,29 @@ def test_plain_walk(spark, sizes):
 
 
 def test_long_window():
-    """A text without spaces is one window; both walks agree on its ends."""
+    """A text without spaces is one window."""
     held = alignment.Aligner(*PATHS)
-    (n_a, n_b, keys), = held.windows(["ab" * 200_000])
-    groups, links = held.align(keys[0])
-    assert len(keys) == 1 and len(links) == n_a + n_b - groups.count(b";") - 1
+    (n_a, n_b, groups, links), = held.documents(["ab" * 200_000])
+    assert len(links) // 8 == n_a + n_b - groups.count(b";") - 1
+    assert len(held.kept.new) == 1
 
 
 def test_forgetting(monkeypatch):
-    """Kept alignments are forgotten when they exceed their bound."""
-    held = alignment.Aligner(*PATHS)
+    """Kept alignments are forgotten when they exceed their bound, and made again."""
     texts = [" ".join(words(60, s, 0, 40)) for s in range(6)]
-    monkeypatch.setattr(alignment, "KEPT_BYTES", 500)
-    for _, _, keys in held.windows(texts):
-        assert held.groups(keys).count(b";") >= len(keys) - 1
-        assert held.size < 30_000
+    want = alignment.Aligner(*PATHS).documents(texts)
+    monkeypatch.setattr(alignment, "KEPT_BYTES", 5000)
+    held = alignment.Aligner(*PATHS)
+    for _ in range(2):
+        assert [held.documents([t])[0] for t in texts] == want
+        assert len(held.kept.new) + len(held.kept.old) < 100
+
+
+def test_tallies(spark, monkeypatch):
+    """Counts that a task passes on in parts add up."""
+    monkeypatch.setattr(alignment, "TALLY", 10)
+    texts = [" ".join(words(30, s, 0, 50)) for s in range(9)]
+    assert got(alignment.align_documents(documents(spark, texts).coalesce(1), *PATHS)) == plain(list(enumerate(texts)))
 
 
 def test_empty(spark):
