@@ -52,24 +52,29 @@ def matching(text: Column, pattern: str) -> Column:
     return F.length(F.regexp_replace(text, f"[^{pattern.strip('[]')}]+", ""))
 
 
-def repeated_words(words: Column) -> Column:
-    """Words that lie in three-word windows which occur twice or more."""
+def sorted_windows(words: Column) -> Column:
+    """The three-word windows with their places, equal ones side by side; null for fewer than two."""
     n = F.size(words) - 2
     run = lambda i: F.slice(words, i, n)
     windows = F.arrays_zip(run(1).alias("x"), run(2).alias("y"), run(3).alias("z"), F.sequence(F.lit(0), n - 1).alias("at"))
+    return F.when(n > 1, F.sort_array(windows))
 
-    def places(s: Column) -> Column:
-        equal = F.zip_with(F.slice(s, 1, F.size(s) - 1), F.slice(s, 2, F.size(s) - 1),
-                           lambda a, b: (a["x"] == b["x"]) & (a["y"] == b["y"]) & (a["z"] == b["z"]))
-        none = F.array(F.lit(False))
-        either = let(equal, lambda e: F.zip_with(F.concat(none, e), F.concat(e, none), lambda a, b: a | b))
-        return F.sort_array(F.array_compact(F.zip_with(s, either, lambda x, f: F.when(f, x["at"]))))
 
-    def covered(at: Column) -> Column:
-        steps = F.zip_with(F.slice(at, 1, F.size(at) - 1), F.slice(at, 2, F.size(at) - 1), lambda a, b: F.least(F.lit(3), b - a))
-        return F.when(F.size(at) > 0, F.aggregate(steps, F.lit(3), lambda total, x: total + x)).otherwise(0)
+def equal_neighbours(windows: str) -> Column:
+    """Windows that equal the one behind them, with that one."""
+    both = F.arrays_zip(F.slice(windows, F.lit(1), F.size(windows) - 1).alias("one"), F.slice(windows, F.lit(2), F.size(windows) - 1).alias("next"))
+    return F.filter(both, lambda b: (b["one"]["x"] == b["next"]["x"]) & (b["one"]["y"] == b["next"]["y"]) & (b["one"]["z"] == b["next"]["z"]))
 
-    return F.when(n > 1, let(let(F.sort_array(windows), places), covered)).otherwise(0)
+
+def covered_words(equal: str) -> Column:
+    """Words that lie in windows which occur twice or more."""
+    at = F.sort_array(F.array_distinct(F.concat(F.col(equal)["one"]["at"], F.col(equal)["next"]["at"])))
+
+    def total(x: Column) -> Column:
+        steps = F.zip_with(F.slice(x, 1, F.size(x) - 1), F.slice(x, 2, F.size(x) - 1), lambda a, b: F.least(F.lit(3), b - a))
+        return F.aggregate(steps, F.lit(3), lambda n, step: n + step)
+
+    return F.when(F.size(equal) > 0, let(at, total)).otherwise(0)
 
 
 def repeated_lines(text: Column) -> Column:
@@ -79,15 +84,13 @@ def repeated_lines(text: Column) -> Column:
 
 
 def letter_words(text: Column) -> Column:
-    """Lower-cased runs of letters, each with a space of its own on both sides."""
-    return F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}]+", "  ")), F.lit(" "))
+    """Lower-cased runs of letters."""
+    return F.array_remove(F.split(F.regexp_replace(F.lower(text), r"[^\p{L}]+", " "), " "), "")
 
 
-def times_in(spaced: Column, word: Column) -> Column:
-    """How often a word is among letter words; 0 for a null word."""
-    own = F.concat(F.lit(" "), word, F.lit(" "))
-    left = F.octet_length(F.replace(spaced, own, F.lit("")))
-    return F.coalesce(((F.octet_length(spaced) - left) / F.octet_length(own)).cast("int"), F.lit(0))
+def times_in(words: Column, word: Column) -> Column:
+    """How often a word occurs; 0 for a null word."""
+    return F.coalesce(F.size(words) - F.size(F.array_remove(words, word)), F.lit(0))
 
 
 def with_rest(counts: Column, total: Column) -> Column:
@@ -116,8 +119,8 @@ def chance(bins: int, n: Column) -> Column:
 
 def common_words(texts: DataFrame, common: int, rare: int) -> DataFrame:
     """(lang, words): the words of most documents, for languages with one in ``rare`` of all and, as whole, for the corpus."""
-    words = texts.select("lang", F.explode(F.array_distinct(F.split(F.trim(letter_words(F.col("text"))), "  "))).alias("word"))
-    counts = stored(words.where("word <> ''").groupBy("lang", "word").agg(F.count("*").alias("n")), "word-counts")
+    words = texts.select("lang", F.explode(F.array_distinct(letter_words(F.col("text")))).alias("word"))
+    counts = stored(words.groupBy("lang", "word").agg(F.count("*").alias("n")), "word-counts")
     totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
     large = totals.where(F.col("total") * rare >= counts.agg(F.sum("n").alias("n")).scalar()).select(F.col("lang").alias("of"))
     own = counts.join(large, F.expr("lang <=> of"), "left_semi").withColumn("whole", F.lit(False))
@@ -137,17 +140,18 @@ def counted(texts: DataFrame, known: DataFrame, common: int) -> DataFrame:
     # at most ``rare`` rows of ``common`` words
     met = texts.join(F.broadcast(own), F.expr("lang <=> of"), "left").select(
         "doc_id", "of", F.coalesce("has_own", F.lit(False)).alias("has_own"), "text", F.coalesce("own", words).alias("common"),
-        words_of(F.col("text")).alias("w"), letter_words(F.col("text")).alias("spaced"))
+        words_of(F.col("text")).alias("w"), letter_words(F.col("text")).alias("l"))
+    # each step works out what the next one uses more than once
     plain = met.select(
-        "doc_id", "of", "has_own", "w", "text", F.length("text").alias("length"), F.length(F.array_join("w", "")).alias("word_chars"),
-        matching(F.col("text"), SYMBOLS).alias("n_symbols"), F.array(*(matching(F.col("text"), p) for p in CLASSES.values())).alias("c"),
-        F.array(*(times_in(F.col("spaced"), F.get("common", F.lit(i))) for i in range(common))).alias("h"),
-        F.when(F.trim("spaced") == "", 0).otherwise(
-            F.octet_length("spaced") - F.octet_length(F.replace("spaced", F.lit("  "), F.lit(" "))) + 1).alias("letters"))
-    return plain.select(
-        "doc_id", "of", "has_own", "length", "letters", F.size("w").alias("n_words"), "word_chars", "n_symbols",
-        repeated_lines(F.col("text")).alias("n_dup_lines"), repeated_words(F.col("w")).alias("n_repeat_words"),
-        with_rest(F.col("c"), F.col("length")).alias("classes"), with_rest(F.col("h"), F.col("letters")).alias("words"))
+        "doc_id", "of", "has_own", F.size("w").alias("n_words"), F.length("text").alias("length"), F.size("l").alias("letters"),
+        F.length(F.array_join("w", "")).alias("word_chars"), matching(F.col("text"), SYMBOLS).alias("n_symbols"),
+        repeated_lines(F.col("text")).alias("n_dup_lines"), F.array(*(matching(F.col("text"), p) for p in CLASSES.values())).alias("c"),
+        F.array(*(times_in(F.col("l"), F.get("common", F.lit(i))) for i in range(common))).alias("h"), sorted_windows(F.col("w")).alias("windows"))
+    compared = plain.select("*", equal_neighbours("windows").alias("equal")).drop("windows")
+    return compared.select(
+        "doc_id", "of", "has_own", "length", "letters", "n_words", "word_chars", "n_symbols", "n_dup_lines",
+        covered_words("equal").alias("n_repeat_words"), with_rest(F.col("c"), F.col("length")).alias("classes"),
+        with_rest(F.col("h"), F.col("letters")).alias("words"))
 
 
 def medians(histogram: str, total: str, bins: int) -> Column:
