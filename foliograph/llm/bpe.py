@@ -36,7 +36,7 @@ class ForcedBoundaryEncoder:
     ``remember`` bounds the bytes of the chunks and fragments whose ids are kept.
     """
 
-    def __init__(self, path: str, remember: int = 64 << 20):
+    def __init__(self, path: str, remember: int = 192 << 20):
         import json
         import os
         import re
