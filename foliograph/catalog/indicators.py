@@ -104,16 +104,14 @@ def record_work(t: Tables):
 
 @query("unit_and_keyword_lift", f"""
 WITH {BASE} m AS (SELECT o_orderkey AS doc_uid, o_orderkey // 3 + 10000000 AS work FROM orders WHERE o_orderstatus <> 'P')
-SELECT 'unit' AS what, count(*) AS n, count(DISTINCT doc_uid) AS n_docs FROM (SELECT DISTINCT coalesce(work, doc_uid) AS doc_uid, unit_id, role FROM du LEFT JOIN m USING (doc_uid))
-UNION ALL SELECT 'keyword', count(*), count(DISTINCT doc_uid) FROM (SELECT DISTINCT coalesce(work, doc_uid) AS doc_uid, keyword FROM kw LEFT JOIN m USING (doc_uid))
+SELECT DISTINCT 'unit' AS what, coalesce(work, doc_uid) AS doc_uid, unit_id || ' ' || role AS value FROM du LEFT JOIN m USING (doc_uid)
+UNION ALL SELECT DISTINCT 'keyword', coalesce(work, doc_uid), keyword FROM kw LEFT JOIN m USING (doc_uid)
 """)
 def unit_and_keyword_lift(t: Tables):
     b, m = Base(t), record_work(t)
-
-    def sized(df, what):
-        return df.agg(F.count("*").alias("n"), F.countDistinct("doc_uid").alias("n_docs")).select(F.lit(what).alias("what"), "*")
-
-    return sized(ind.unit_mart(b.doc_units, m), "unit").unionByName(sized(ind.keyword_mart(b.keywords, m), "keyword"))
+    rows = lambda df, what, value: df.select(F.lit(what).alias("what"), "doc_uid", value.alias("value"))
+    return rows(ind.unit_mart(b.doc_units, m), "unit", F.concat_ws(" ", F.col("unit_id").cast("string"), "role")).unionByName(
+        rows(ind.keyword_mart(b.keywords, m), "keyword", F.col("keyword")))
 
 
 # --- totals and series -----------------------------------------------------------------------------------------------
@@ -162,12 +160,11 @@ def corpus_span(t: Tables):
 
 @query("units_with_counts", f"""
 WITH {BASE} z AS (SELECT 1)
-SELECT n.n_nationkey AS unit_id, n_name, count(DISTINCT doc_uid) AS n_docs FROM nation n LEFT JOIN du ON du.unit_id = n_nationkey AND role = 'depositante' AND n_nationkey % 2 = 0 GROUP BY ALL
+SELECT n.n_nationkey AS unit_id, n_name, count(DISTINCT doc_uid) AS n_docs FROM nation n LEFT JOIN du ON du.unit_id = n_nationkey GROUP BY ALL
 """)
 def units_with_counts(t: Tables):
     units = t.nation.select(F.col("n_nationkey").alias("unit_id"), "n_name")
-    some = Base(t).doc_units.where((F.col("role") == "depositante") & (F.col("unit_id") % 2 == 0))
-    return ind.units_with_counts(units, some)
+    return ind.units_with_counts(units, Base(t).doc_units)
 
 
 @query("roles_in_document", f"WITH {BASE} z AS (SELECT 1) SELECT doc_uid, unit_id, string_agg(role, ', ' ORDER BY role) AS roles FROM du GROUP BY ALL")
@@ -402,13 +399,13 @@ def programme_matrix(t: Tables):
 
 @query("programme_structure", f"""
 WITH {REFS} a AS (SELECT objective, portfolio, count(DISTINCT reference) AS n_references FROM refs GROUP BY ALL),
-d AS (SELECT objective, portfolio, count(DISTINCT doc_uid) AS n_docs FROM dr JOIN refs USING (reference) JOIN docs USING (doc_uid) WHERE kind = 'projeto' AND year = 1995 GROUP BY ALL)
+d AS (SELECT objective, portfolio, count(DISTINCT doc_uid) AS n_docs FROM dr JOIN refs USING (reference) JOIN docs USING (doc_uid) WHERE kind = 'projeto' GROUP BY ALL)
 SELECT objective, portfolio, n_references, coalesce(n_docs, 0) AS n_docs FROM a LEFT JOIN d USING (objective, portfolio)
 """)
 def programme_structure(t: Tables):
     b = Base(t)
     refs, ref = references(t, b)
-    some = ref.join(b.docs.where((F.col("year") == 1995) & (F.col("kind") == "projeto")).select("doc_uid"), "doc_uid", "left_semi")
+    some = ref.join(b.docs.where(F.col("kind") == "projeto").select("doc_uid"), "doc_uid", "left_semi")
     return ind.programme_structure(refs, some, ["objective", "portfolio"])
 
 

@@ -121,32 +121,26 @@ def indirect_layer(t: Tables):
 
 
 @query("person_layer", """
-WITH first_lines AS (SELECT DISTINCT l_orderkey AS doc_uid, l_suppkey AS node FROM lineitem WHERE l_linenumber <= 4),
+WITH authors AS (SELECT DISTINCT l_orderkey AS doc_uid, l_suppkey AS node FROM lineitem),
 k AS (SELECT l_orderkey AS doc_uid, count(*) AS k FROM lineitem GROUP BY 1)
 SELECT a.doc_uid, a.node AS node1, b.node AS node2, round(1.0::DOUBLE / greatest(k.k - 1, 1), 6) AS weight_frac,
        CAST(year(o_orderdate) AS INTEGER) AS year
-FROM first_lines a JOIN first_lines b ON a.doc_uid = b.doc_uid AND a.node < b.node JOIN k ON k.doc_uid = a.doc_uid
+FROM authors a JOIN authors b ON a.doc_uid = b.doc_uid AND a.node < b.node JOIN k ON k.doc_uid = a.doc_uid
 JOIN orders ON o_orderkey = a.doc_uid
 """)
 def person_layer(t: Tables):
-    lines = t.lineitem.select(F.col("l_orderkey").alias("doc_uid"), F.col("l_suppkey").alias("person_id"),
-                              "l_linenumber")
-    total = lines.groupBy("doc_uid").agg(F.count("*").alias("k"))
-    identified = lines.where(F.col("l_linenumber") <= 4)
-    return g.person_layer(identified, total).join(years(t).drop("layer"), "doc_uid").select(
+    lines = t.lineitem.select(F.col("l_orderkey").alias("doc_uid"), F.col("l_suppkey").alias("person_id"))
+    return g.person_layer(lines, lines.groupBy("doc_uid").agg(F.count("*").alias("k"))).join(years(t).drop("layer"), "doc_uid").select(
         "doc_uid", "node1", "node2", F.round("weight_frac", 6).alias("weight_frac"), "year")
 
 
 @query("person_technology", """
 SELECT DISTINCT l2.l_suppkey AS person_id, l1.l_partkey AS technology, l1.l_orderkey AS work, 'declarado' AS link
 FROM lineitem l1 JOIN lineitem l2 ON l1.l_orderkey = l2.l_orderkey
-WHERE l1.l_linenumber = 1 AND l2.l_linenumber <= 3
 """)
 def person_technology(t: Tables):
-    cited = t.lineitem.where(F.col("l_linenumber") == 1).select(
-        F.col("l_partkey").alias("origin"), F.col("l_orderkey").alias("work"))
-    people = t.lineitem.where(F.col("l_linenumber") <= 3).select(
-        F.col("l_orderkey").alias("work"), F.col("l_suppkey").alias("person_id"))
+    cited = t.lineitem.select(F.col("l_partkey").alias("origin"), F.col("l_orderkey").alias("work"))
+    people = t.lineitem.select(F.col("l_orderkey").alias("work"), F.col("l_suppkey").alias("person_id"))
     return g.person_technology(cited, people)
 
 

@@ -34,35 +34,25 @@ def co_pairs(t: Tables):
     return sh.co_pairs(rows, "o_custkey", "item", "other").groupBy("item", "other").agg(F.count("*").alias("n"))
 
 
-@query("hot_key_join", """
-SELECT l_returnflag, n_name, count(*) AS n, round(sum(l_quantity), 2) AS quantity
-FROM lineitem JOIN supplier ON s_suppkey = l_suppkey JOIN nation ON n_nationkey = s_nationkey GROUP BY ALL
-""")
-def hot_key_join(t: Tables):
-    """J-4 with keys that each hold a large share of the rows: 25 nations, every one salted."""
-    placed = t.lineitem.join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey")).select(
-        F.col("s_nationkey").alias("n_nationkey"), "l_returnflag", "l_quantity")
-    joined = sh.expand(placed, t.nation.select("n_nationkey", "n_name"), ["n_nationkey"])
-    return joined.groupBy("l_returnflag", "n_name").agg(
-        F.count("*").alias("n"), F.round(F.sum("l_quantity"), 2).alias("quantity"))
-
-
 @query("semi_and_anti", """
-SELECT 'with' AS side, count(*) AS n FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P')
+SELECT 'with' AS side, c_custkey AS key FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P')
+UNION ALL
+SELECT 'without', c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P')
 UNION ALL
-SELECT 'without', count(*) FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P')
+SELECT 'listed', o_orderkey FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')
 UNION ALL
-SELECT 'listed', count(*) FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')
+SELECT 'in long list', o_orderkey FROM orders WHERE o_custkey % 3 = 0
 """)
 def semi_and_anti(t: Tables):
-    """J-2, J-3, J-14, PF-4."""
+    """J-2, J-3, J-14, PF-4: rows of each side; the long list goes through a join."""
     known = t.orders.where(F.col("o_orderstatus") == "P").select(F.col("o_custkey").alias("c_custkey"))
-    count = F.count("*").alias("n")
+    rows = lambda df, side, key: df.select(F.lit(side).alias("side"), F.col(key).alias("key"))
+    third = t.customer.where(F.col("c_custkey") % 3 == 0)
     return sh.union_by_name(
-        sh.keep_matching(t.customer, known, "c_custkey").agg(count).select(F.lit("with").alias("side"), "n"),
-        sh.drop_matching(t.customer, known, "c_custkey").agg(count).select(F.lit("without").alias("side"), "n"),
-        t.orders.where(F.col("o_orderpriority").isin(["1-URGENT", "2-HIGH"])).agg(count)
-        .select(F.lit("listed").alias("side"), "n"))
+        rows(sh.keep_matching(t.customer, known, "c_custkey"), "with", "c_custkey"),
+        rows(sh.drop_matching(t.customer, known, "c_custkey"), "without", "c_custkey"),
+        rows(sh.keep_listed(t.orders, "o_orderpriority", ["1-URGENT", "2-HIGH"]), "listed", "o_orderkey"),
+        rows(sh.keep_listed(t.orders, "o_custkey", third.select("c_custkey")), "in long list", "o_orderkey"))
 
 
 @query("share_of_total", f"""

@@ -41,17 +41,6 @@ def project_source_projects(t: Tables):
     return out.select("doc_uid", "id", "title", "abstract", "year", "month", "year_end", "state", "unit_id")
 
 
-@query("project_source_publications", """
-SELECT 'B:' || doc_id AS doc_uid, CAST(doc_id AS INTEGER) AS id,
-       CASE WHEN length(a) >= 30 THEN md5(a) END AS abstract, coalesce(length(a) < 30, true) AS short_text, lang AS type,
-       CASE lang WHEN 'en' THEN 'livro' WHEN 'fr' THEN 'artigo' ELSE 'nao_classificado' END AS kind_group,
-       CASE WHEN doc_id % 3 < 2 THEN doc_id % 25 END AS unit_id
-FROM (SELECT *, trim(substr(regexp_replace(text, '[ \\n]+', ' ', 'g'), 1, 20 + CAST(doc_id % 20 AS INTEGER))) AS a FROM documents)
-""")
-def project_source_publications(t: Tables):
-    return _publications(t, F.substring(F.regexp_replace("text", "[ \n]+", " "), F.lit(1), (20 + F.col("doc_id") % 20).cast("int")))
-
-
 @query("project_source_publications_whole", """
 SELECT 'B:' || doc_id AS doc_uid, CAST(doc_id AS INTEGER) AS id,
        CASE WHEN length(a) >= 30 THEN md5(a) END AS abstract, coalesce(length(a) < 30, true) AS short_text, lang AS type,
@@ -108,41 +97,16 @@ def project_source_people(t: Tables):
 
 # --- the value rules of exports and dictionaries ---
 
-QUOTED_SQL = """q AS (SELECT doc_id, chr(34) || replace(replace(substr(text, 1, 40 + CAST(doc_id % 300 AS INTEGER)), ', ', '", "'), '. ', chr(34) || chr(10) || chr(34))
-      || CASE WHEN doc_id % 3 = 0 THEN '' ELSE chr(34) || chr(10) END AS t FROM documents)"""
-
-
 WHOLE_QUOTED_SQL = """q AS (SELECT doc_id, chr(34) || replace(replace(text, ', ', '", "'), '. ', chr(34) || chr(10) || chr(34))
       || CASE WHEN doc_id % 3 = 0 THEN '' ELSE chr(34) || chr(10) END AS t FROM documents)"""
 
 
-def _quoted(t: Tables, text=None):
-    """Texts, or the given part of them, as quoted records, some of them without the last quote."""
-    text = F.col("text") if text is None else text
-    cells = F.replace(F.replace(text, F.lit(", "), F.lit('", "')), F.lit(". "), F.lit('"\n"'))
+def _quoted(t: Tables):
+    """Texts as quoted records, some of them without the last quote."""
+    cells = F.replace(F.replace(F.col("text"), F.lit(", "), F.lit('", "')), F.lit(". "), F.lit('"\n"'))
     return t.documents.select("doc_id", F.concat(F.lit('"'), cells, F.when(F.col("doc_id") % 3 == 0, "").otherwise('"\n')).alias("t"))
 
 
-def _start():
-    """The first 40 to 339 characters of a text, as the SQL of the two queries of short exports has them."""
-    return F.substring("text", F.lit(1), (40 + F.col("doc_id") % 300).cast("int"))
-
-
-@query("export_integrity", f"""
-WITH {QUOTED_SQL}
-SELECT doc_id, NOT ((length(t) - length(replace(t, chr(34), ''))) % 2 = 0 AND regexp_matches(right(t, 20), '"\\s*\\z')) AS truncated FROM q
-""")
-def export_integrity(t: Tables):
-    return _quoted(t, _start()).select("doc_id", io.ends_inside(F.col("t")).alias("truncated"))
-
-
-@query("export_complete_records", f"""
-WITH {QUOTED_SQL} SELECT doc_id, md5(regexp_extract(t, '\\A(?:(?:[^"\\n]|"[^"]*")*\\n)*', 0)) AS kept FROM q
-""")
-def export_complete_records(t: Tables):
-    return _quoted(t, _start()).select("doc_id", F.md5(io.complete_records(F.col("t"))).alias("kept"))
-
-
 @query("export_integrity_whole", f"""
 WITH {WHOLE_QUOTED_SQL}
 SELECT doc_id, NOT ((length(t) - length(replace(t, chr(34), ''))) % 2 = 0 AND regexp_matches(right(t, 20), '"\\s*\\z')) AS truncated FROM q
@@ -188,17 +152,18 @@ def gazetteer_places(t: Tables):
     return io.gazetteer_rows(t.customer.select(F.from_json(F.concat(name, path), io.GAZETTEER_SCHEMA).alias("j")).select("j.*"))
 
 
-@query("ring_centroids", f"""
-WITH r AS (SELECT vec_id // 20 AS place_id, vec_id % 20 AS extra, embedding AS e FROM embeddings),
-b AS (SELECT place_id, arg_max(e, extra) AS e, max(extra) + 3 AS n FROM r GROUP BY place_id)
-SELECT place_id, round(list_sum(list_transform(e[2:n + 1], lambda x: CAST(x AS DOUBLE))) / n + 1e-9, 6) AS lat,
-       round(list_sum(list_transform(e[1:n], lambda x: CAST(x AS DOUBLE))) / n + 1e-9, 6) AS lon FROM b
+@query("ring_centroids", """
+WITH r AS (SELECT vec_id // 20 AS place_id, vec_id % 20 AS extra, list_concat(embedding[:], embedding[1:vec_id % 20]) AS e FROM embeddings),
+b AS (SELECT place_id, arg_max(e, extra) AS e FROM r GROUP BY place_id)
+SELECT place_id, round(list_avg(list_transform(e[2:], lambda x: CAST(x AS DOUBLE))) + 1e-9, 6) AS lat,
+       round(list_avg(list_transform(e[:len(e) - 1], lambda x: CAST(x AS DOUBLE))) + 1e-9, 6) AS lon FROM b
 """)
 def ring_centroids(t: Tables):
-    n = (3 + F.col("vec_id") % 20).cast("int")
-    points = F.transform(F.sequence(F.lit(1), n), lambda i: F.array(
-        F.element_at("embedding", i).cast("double"), F.element_at("embedding", i + 1).cast("double")))
-    rings = t.embeddings.select(F.floor(F.col("vec_id") / 20).alias("place_id"), points.alias("ring"))
+    """Rings over all components of a vector, some of which are run through again."""
+    whole = F.concat("embedding", F.slice("embedding", F.lit(1), (F.col("vec_id") % 20).cast("int")))
+    ring = F.zip_with(F.slice("e", F.lit(1), F.size("e") - 1), F.slice("e", F.lit(2), F.size("e") - 1),
+                      lambda x, y: F.array(x.cast("double"), y.cast("double")))
+    rings = t.embeddings.select(F.floor(F.col("vec_id") / 20).alias("place_id"), whole.alias("e")).select("place_id", ring.alias("ring"))
     out = io.ring_centroid(rings)
     return out.select("place_id", *[F.round(F.col(c) + 1e-9, 6).alias(c) for c in ("lat", "lon")])
 

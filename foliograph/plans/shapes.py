@@ -96,6 +96,21 @@ def keep_matching(df: DataFrame, other: DataFrame, on: Sequence[str]) -> DataFra
     return df.join(other, as_list(on), "left_semi")
 
 
+def keep_listed(df: DataFrame, column: str, values, most: int = 200) -> DataFrame:
+    """PF-4: rows whose column has one of the values, which are a list or a one-column table.
+
+    A list of more than ``most`` values becomes a table, and a table is met by a semi join, so the plan stays short whatever the
+    number of values. Null matches nothing.
+    """
+    if not isinstance(values, DataFrame):
+        values = [v for v in dict.fromkeys(values) if v is not None]
+        if len(values) <= most:
+            return df.where(F.col(column).isin(values))
+        values = df.sparkSession.createDataFrame([(v,) for v in values], [column])
+    listed = values.select(F.col(values.columns[0]).alias("_listed")).where("_listed IS NOT NULL")
+    return df.join(listed, F.col(column) == F.col("_listed"), "left_semi")
+
+
 def drop_matching(df: DataFrame, other: DataFrame, on: Sequence[str]) -> DataFrame:
     """J-3, SO-3: anti join."""
     return df.join(other, as_list(on), "left_anti")
