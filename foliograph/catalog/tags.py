@@ -267,9 +267,14 @@ ORG_NAMES = ["and therhean", "thedre forrendsten", "inin"]
 OLD_STYLE = r"enststung ench(?: [a-z]+){1,2}"
 
 
+def _folded(term: str) -> str:
+    """Lower case without the marks of the terms above."""
+    return term.lower().translate(str.maketrans("ü", "u"))
+
+
 def doubled_pattern(terms) -> str:
     """Whole-word pattern over a text whose separators are doubled (no look-around there)."""
-    folded = sorted({tg._fold_term(x) for x in terms}, key=lambda x: (-len(x), x))
+    folded = sorted({_folded(x) for x in terms}, key=lambda x: (-len(x), x))
     alts = "|".join((x[:-1] + "[a-z]*" if x.endswith("*") else x).replace(" ", "  ") for x in folded)
     return f"(^|[^\\p{{L}}\\p{{N}}_-])(?:{alts})($|[^\\p{{L}}\\p{{N}}_-])"
 
