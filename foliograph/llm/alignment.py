@@ -28,7 +28,7 @@ from foliograph.llm.packing import ChunkEncoder
 
 PAIRS = 1 << 20  # pair counts that are broadcast at most, 17 bytes each
 OF_B = 0x80000000  # marks the second tokenizer's ids in a window's key
-KEPT_BYTES = 96 << 20  # alignments that a worker keeps
+KEPT_BYTES = 192 << 20  # alignments that a worker keeps
 TALLY = 1 << 18  # pairs that a task adds up before it passes them on
 
 ROWS = ("row long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, links binary, times binary, "
