@@ -7,14 +7,15 @@ its parts, so the phrases above a support are closed under taking parts.
 2. A sample, one block of ``BLOCK`` bytes in ``share`` from all texts, is mined at a lowered support. What is frequent there is
    the proposal.
 3. A pass over all documents counts every proposed phrase and the proposal's negative border: the phrases that are not
-   proposed themselves though both their parts, without the last and without the first word, are.
-4. A border phrase that turns out frequent is a failure: longer phrases around it were not counted. A further pass counts what
-   no pass has counted and whose parts are frequent or counted in this pass too. The parts of a frequent phrase that are left
-   are all of that kind, so this pass closes the mining.
+   proposed themselves though both their parts, without the last and without the first word, are. The border is long and nearly
+   all of it rare, so this pass counts by 64-bit hashes; a hash never counts less than a phrase of it.
+4. A last pass counts, by their words, the phrases whose hash reached the support. A border phrase that is frequent is a failure:
+   longer phrases around it were not counted. So this pass also counts what the pass before did not and whose parts are frequent
+   or counted now. The parts of a frequent phrase that are left are all of that kind, so it closes the mining.
 
-The counts are exact whatever the sample was; it only decides how much the last pass has to do. Proposals reach the tasks as a
-blocked Bloom filter of at most ``MOST_BYTES``; a false hit counts a phrase more and changes no result. A task combines its
-counts before they are shuffled, so frequent phrases and languages do not pile up anywhere.
+The counts are exact whatever the sample was; it only decides how much the last pass has to do. What a pass needs to know of the
+others reaches its tasks as blocked Bloom filters of at most ``MOST_BYTES``; a false hit counts a phrase more and changes no
+result. A task combines its counts before they are shuffled, so frequent phrases and languages do not pile up anywhere.
 
 A candidate is cut after each of its words; the part counts give a score to each cut and the lowest decides. Candidates inside a
 longer one that is as frequent are dropped.
@@ -39,7 +40,6 @@ MOST_BYTES = 16 << 20
 # A piece ends at each of these bytes.
 STOPS = b".,;:!?\n\x0b\x0c\r"
 BASE = 0x9E3779B97F4A7C15
-COUNTS = "lang string, phrase binary, n long"
 PART = 8 << 20  # bytes of text that are counted together, if a piece is not longer
 BLOCK = 512  # bytes of a block of the sample
 
@@ -95,39 +95,29 @@ def longer_hash(hashes, words):
         return x ^ (x >> np.uint64(32))
 
 
-def phrase_hash(lang: str, phrase: bytes) -> int:
-    import numpy as np
-
-    out = np.array([word_hash(lang.encode())], np.uint64)
-    for w in phrase.split(b" "):
-        out = longer_hash(out, np.array([word_hash(w)], np.uint64))
-    return int(out[0])
-
-
 def holds(words, hashes):
     """Which hashes the filter may hold."""
     block, bits = places(hashes, len(words))
     return ((words[block] & bits) == bits).all(axis=1)
 
 
-def filter_of(phrases: DataFrame, bits_per_key: int = 16):
-    """A blocked Bloom filter of (lang, phrase) as an array of at most MOST_BYTES: tasks fill blocks, equal blocks are or-ed."""
+def filter_of(hashes: DataFrame, bits_per_key: int = 16):
+    """A blocked Bloom filter of the column ``hash`` as an array of at most MOST_BYTES: tasks fill blocks, equal blocks are or-ed."""
     import numpy as np
 
-    blocks = int(max(1, min(MOST_BYTES // (8 * WORDS), phrases.count() * bits_per_key // (64 * WORDS) + 1)))
+    blocks = int(max(1, min(MOST_BYTES // (8 * WORDS), hashes.count() * bits_per_key // (64 * WORDS) + 1)))
     names = [f"w{i}" for i in range(WORDS)]
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = np.zeros((blocks, WORDS), np.uint64)
         for b in batches:
-            hashes = [phrase_hash(x, p) for x, p in zip(*(c.to_pylist() for c in b.columns), strict=True)]
-            block, bits = places(np.array(hashes, np.uint64), blocks)
+            block, bits = places(b.column(0).to_numpy().view(np.uint64), blocks)
             np.bitwise_or.at(own, block, bits)
         used = np.flatnonzero(own.any(axis=1))
         words = own[used].view(np.int64)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), *(pa.array(words[:, i].copy()) for i in range(WORDS))], names=["block", *names])
 
-    made = phrases.select("lang", "phrase").mapInArrow(fill, "block long, " + ", ".join(f"{n} long" for n in names))
+    made = hashes.select("hash").mapInArrow(fill, "block long, " + ", ".join(f"{n} long" for n in names))
     words = np.zeros((blocks, len(SALTS)), np.uint64)
     for r in made.groupBy("block").agg(*(F.bit_or(n).alias(n) for n in names)).toLocalIterator():  # at most MOST_BYTES
         words[r[0]] = np.array(r[1:], np.int64).view(np.uint64)
@@ -140,12 +130,13 @@ def numbered(keys):
     return held.dictionary.to_numpy(), held.indices.to_numpy()
 
 
-def counted(lang: str, parts: list[bytes], filters: list, shortest: int, longest: int, judged: int, open_: bool) -> Iterator[tuple]:
-    """(phrases, counts) of the parts of one language, a pair of arrays for each length.
+def counted(lang: str, parts: list[bytes], filters: list, shortest: int, longest: int, judged: int, last: bool) -> Iterator[tuple]:
+    """(phrases, hashes, counts) of the parts of one language, three arrays for each length.
 
-    A phrase takes part if the last filter holds both its parts; those that an earlier filter let pass were counted before.
-    Parts longer than ``judged`` words only have to take part themselves, and so do those that are counted now if ``open_``.
-    With words go those of all words together, under the empty phrase.
+    A phrase takes part if the last filter holds both its parts. Parts longer than ``judged`` words only have to take part
+    themselves. In the ``last`` pass the first filter is that of the pass before: what that let pass is counted if the last filter
+    holds it, the rest in any case, and both are parts from then on. With words go those of all words together, under the empty
+    phrase.
     """
     import numpy as np
     import pyarrow.compute as pc
@@ -156,16 +147,16 @@ def counted(lang: str, parts: list[bytes], filters: list, shortest: int, longest
         return
     stop = pc.index(names, pa.scalar(b".", pa.binary())).as_py()
     is_word = code != stop
+    word = np.array([word_hash(x) for x in names.to_pylist()], np.uint64)
+    # by place: the number of the phrase of the present length that starts there, and whether each filter holds it
+    number, hashes = code.astype(np.int64), longer_hash(np.full(len(word), word_hash(lang.encode()), np.uint64), word)
     if shortest == 1:
         n = np.bincount(code, minlength=len(names))
         kept = np.flatnonzero(np.arange(len(names)) != stop)
-        yield names.take(pa.array(kept)), n[kept]
-        yield pa.array([b""], pa.binary()), np.array([int(is_word.sum())])
+        yield names.take(pa.array(kept)), hashes[kept], n[kept]
+        yield pa.array([b""], pa.binary()), np.zeros(1, np.uint64), np.array([int(is_word.sum())])
     if longest == 1:
         return
-    word = np.array([word_hash(x) for x in names.to_pylist()], np.uint64)
-    # by place: the number of the phrase of the present length that starts there, and whether each filter holds it
-    number, hashes = code.astype(np.int64), longer_hash(np.full(len(word), word_hash(lang.encode()), np.uint64), word)
     held = [holds(f, hashes)[code] & is_word for f in filters]
     phrases = names
     for length in range(2, longest + 1):
@@ -179,29 +170,31 @@ def counted(lang: str, parts: list[bytes], filters: list, shortest: int, longest
         part, end = distinct // len(names), distinct % len(names)
         phrases = pc.binary_join_element_wise(phrases.take(pa.array(part)), names.take(pa.array(end)), pa.scalar(b" ", pa.binary()))
         hashes = longer_hash(hashes[part], word[end])
-        new = np.ones(len(distinct), bool)
-        if len(both) > 1:
-            before = np.logical_or.reduce([b[at] for b in both[:-1]])
-            new[which[before]] = False
-        if length >= shortest and new.any():
-            yield phrases.filter(pa.array(new)), np.bincount(which, minlength=len(distinct))[new]
+        found = [holds(f, hashes) if length <= judged else np.ones(len(distinct), bool) for f in filters]
+        out = np.ones(len(distinct), bool)
+        if last:
+            out[which[both[0][at]]] = False
+            found[-1] = out = out | found[-1]
+        if length >= shortest and out.any():
+            yield phrases.filter(pa.array(out)), hashes[out], np.bincount(which, minlength=len(distinct))[out]
         number = np.zeros(len(number) - 1, np.int64)
         number[at] = which
         held = []
-        for i, f in enumerate(filters):
-            here = holds(f, hashes) if length <= judged else np.ones(len(distinct), bool)
-            if open_ and i == len(filters) - 1:
-                here |= new
+        for here, of in zip(found, both, strict=True):
             places_ = np.zeros(len(number), bool)
-            places_[at] = here[which] & both[i][at]  # a false hit is none where the parts did not pass
+            places_[at] = here[which] & of[at]  # a false hit is none where the parts did not pass
             held.append(places_)
 
 
-def count(docs: DataFrame, filters: list, shortest: int, longest: int, judged: int = 1 << 30, open_: bool = False, share: int = 1) -> DataFrame:
-    """(lang, phrase, n): counts of one pass over (lang, text), with the text as bytes, or over a sample of its blocks."""
+def count(docs: DataFrame, filters: list, shortest: int, longest: int, judged: int = 1 << 30, last: bool = False, share: int = 1,
+          by: str = "hash") -> DataFrame:
+    """(hash, n), or (lang, phrase, hash, n) by ``phrase``: counts of a pass over (lang, text) or over a sample of its blocks."""
     shared = docs.sparkSession.sparkContext.broadcast(filters)
+    kinds = {"lang": "string", "phrase": "binary", "hash": "long", "n": "long"}
+    columns = ["hash", "n"] if by == "hash" else list(kinds)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import numpy as np
         from pyspark import TaskContext
 
         context = TaskContext.get()
@@ -211,8 +204,11 @@ def count(docs: DataFrame, filters: list, shortest: int, longest: int, judged: i
 
         def flush() -> Iterator[pa.RecordBatch]:
             for lang, parts in waiting.items():
-                for phrases, n in counted(lang, parts, shared.value, shortest, longest, judged, open_):
-                    yield pa.RecordBatch.from_arrays([pa.repeat(pa.scalar(lang), len(n)), phrases, pa.array(n, pa.int64())], names=["lang", "phrase", "n"])
+                for phrases, hashes, n in counted(lang, parts, shared.value, shortest, longest, judged, last):
+                    made = {"hash": pa.array(hashes.view(np.int64)), "n": pa.array(n, pa.int64())}
+                    if by == "phrase":
+                        made |= {"lang": pa.repeat(pa.scalar(lang), len(n)), "phrase": phrases}
+                    yield pa.RecordBatch.from_arrays([made[c] for c in columns], names=columns)
             waiting.clear()
 
         for b in batches:
@@ -227,12 +223,8 @@ def count(docs: DataFrame, filters: list, shortest: int, longest: int, judged: i
                             size = 0
         yield from flush()
 
-    return docs.select("lang", "text").mapInArrow(run, COUNTS).groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
-
-
-def length_of(phrase: str = "phrase"):
-    """Words of a phrase."""
-    return F.size(F.split(F.col(phrase).cast("string"), " "))
+    rows = docs.select("lang", "text").mapInArrow(run, ", ".join(f"{c} {kinds[c]}" for c in columns))
+    return rows.groupBy(*columns[:-1]).agg(F.sum("n").alias("n"))
 
 
 def lowered(support: int, share: int) -> int:
@@ -246,25 +238,20 @@ def frequent_phrases(docs: DataFrame, support: int = SUPPORT, longest: int = LON
     """(lang, phrase, n) of every word and phrase with at least ``support`` places, and of the empty phrase, for all words."""
     texts = docs.where(F.col(text_col).isNotNull()).select(
         F.coalesce(F.col(lang_col), F.lit("und")).alias("lang"), F.col(text_col).cast("binary").alias("text"))
-    low = lowered(support, share)
-    enough = F.col("n") >= support
-    found = stored(count(texts, [], 1, 1).where(enough | (F.col("phrase") == F.lit(b""))), "words")
-    words = found.where("phrase <> X''")
+    low, enough = F.col("n") >= lowered(support, share), F.col("n") >= support
+    found = stored(count(texts, [], 1, 1, by="phrase").where(enough | (F.col("phrase") == F.lit(b""))), "words")
     if longest == 1:
-        return found
-    pairs = stored(count(texts, [filter_of(words)], 2, 2, share=share).where(F.col("n") >= low), "sample-pairs")
-    proposed = pairs
+        return found.select("lang", "phrase", "n")
+    words = found.where("phrase <> X''").select("hash")
+    proposed = stored(count(texts, [filter_of(words)], 2, 2, share=share).where(low).select("hash"), "sample-pairs")
     if longest > 2:
-        long_ = count(texts, [filter_of(words.unionByName(pairs))], 3, longest, judged=2, share=share).where(F.col("n") >= low)
-        proposed = pairs.unionByName(stored(long_, "sample-phrases"))
+        more = count(texts, [filter_of(words.unionByName(proposed))], 3, longest, judged=2, share=share).where(low).select("hash")
+        proposed = proposed.unionByName(stored(more, "sample-phrases"))
     first = filter_of(words.unionByName(proposed))
-    passed = stored(count(texts, [first], 2, longest).where(enough), "phrases")
-    found = found.unionByName(passed)
-    failed = passed.where(length_of() < longest).join(proposed.select("lang", "phrase"), ["lang", "phrase"], "left_anti")
-    if failed.isEmpty():
-        return found
-    filters = [first, filter_of(found.where("phrase <> X''"))]
-    return found.unionByName(stored(count(texts, filters, 2, longest, open_=True).where(enough), "phrases-left"))
+    reached = stored(count(texts, [first], 2, longest).where(enough).select("hash"), "hashes")
+    filters = [first, filter_of(words.unionByName(reached))]
+    phrases = stored(count(texts, filters, 2, longest, last=True, by="phrase").where(enough), "phrases")
+    return found.unionByName(phrases).select("lang", "phrase", "n")
 
 
 def collocations(docs: DataFrame, support: int = SUPPORT, longest: int = LONGEST, share: int = SHARE, most: int = 2000,
