@@ -206,7 +206,7 @@ class Scanner:
                     if new > 0 and end - new - here[1] <= self.gap and place - new - here[2] <= self.gap:
                         here[1], here[2], here[3] = end, place, here[3] + new
                         continue
-                    if end - run - here[1] <= 0 and run <= here[3]:
+                    if end - run - here[1] < 0 and run <= here[3]:
                         continue  # another place of the same words, no better than the open span
                     close(t)
                 open_[t] = [end + 1 - run, end, place, run]

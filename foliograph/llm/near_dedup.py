@@ -151,11 +151,11 @@ def common_shingles(docs: DataFrame, shingle: int = SHINGLE, cells: int = 1 << 1
     return counts > times * max(1.0, counts.mean())
 
 
-SIGNED = "doc_id long, n long, digest binary, registers binary, keys array<long>"
+SIGNED = "doc_id long, sig long, n long, digest binary, registers binary, keys array<long>"
 
 
 def signatures(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, n, digest, registers, keys): set size, set digest, registers and candidate keys of each row of (doc_id, text)."""
+    """(doc_id, sig, n, digest, registers, keys): set size, set digest, registers and candidate keys of each row of (doc_id, text, sig)."""
     common = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, shingle))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,9 +181,9 @@ def signatures(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT)
                     registers.append(r.tobytes())
                     keys.append(np.unique(np.concatenate(own)).view(np.int64) if own else [])
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(at, len(texts)), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()),
+                    [b.column(0).slice(at, len(texts)), b.column(2).slice(at, len(texts)), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()),
                      pa.array(registers, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
-                    names=["doc_id", "n", "digest", "registers", "keys"])
+                    names=["doc_id", "sig", "n", "digest", "registers", "keys"])
 
     return docs.mapInArrow(run, SIGNED)
 
@@ -436,18 +436,33 @@ def links_of_large(groups: DataFrame, pairs: DataFrame, shingle: int, percent: i
     return sure.union(links_in_groups(rows, ["grp", "x", "y"], shingle, percent))
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, tile: int = TILE, cell: int = CELL, id_col: str = "doc_id",
-                    text_col: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every row."""
-    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+def classes_of(usable: DataFrame) -> DataFrame:
+    """(digest, rep, sig, node): the classes of equal sets, the smallest row of each, and a number that no other class has.
+
+    The number is the smallest id of the class. Where rows repeat an id with other words several classes may have the same one;
+    all but the first get numbers below all ids.
+    """
+    first = F.min(F.struct("doc_id", "sig"))
+    made = stored(usable.groupBy("digest").agg(first.alias("f")).select("digest", F.col("f.doc_id").alias("rep"), F.col("f.sig").alias("sig")), "sets")
+    shared = made.groupBy("rep").agg(F.min("digest").alias("keep"), F.count("*").alias("held")).where("held > 1")
+    low = made.agg(F.least(F.min("rep"), F.lit(0)).alias("low")).scalar()
+    moved = made.join(shared, "rep").where("digest <> keep").select("digest", F.monotonically_increasing_id().alias("at"))
+    moved = stored(moved, "moved-sets")
+    return stored(made.join(moved, "digest", "left").select("digest", "rep", "sig", F.coalesce(low - 1 - F.col("at"), "rep").alias("node")), "classes")
+
+
+def judged(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, tile: int = TILE, cell: int = CELL, id_col: str = "doc_id",
+           text_col: str = "text") -> DataFrame:
+    """(doc_id, sig, n_shingles, component_id, kept) of every row; ``sig`` tells rows apart that repeat an id with other words."""
+    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("sig"))
     signed = stored(signatures(base, shingle, percent), "signatures")
     usable = signed.where("doc_id IS NOT NULL AND n > 0")
-    classes = stored(usable.groupBy("digest").agg(F.min("doc_id").alias("rep")), "classes")
-    members = signed.select("doc_id", "n", "digest").join(classes, "digest", "left").select("doc_id", "n", "rep")
+    classes = classes_of(usable)
+    members = signed.join(classes.select("digest", "node"), "digest", "left").select("doc_id", "sig", "n", "node")
     members = stored(members, "members")
 
-    stand = usable.join(classes.select(F.col("rep").alias("doc_id"), "digest"), ["doc_id", "digest"]).dropDuplicates(["doc_id", "digest"])
-    stand = stored(stand.select("doc_id", "n", "registers", "keys"), "representatives")
+    stand = usable.join(classes.select(F.col("rep").alias("doc_id"), "sig", "digest", "node"), ["doc_id", "sig", "digest"]).dropDuplicates(["node"])
+    stand = stored(stand.select(F.col("node").alias("doc_id"), "n", "registers", "keys"), "representatives")
     keyed = stand.select("doc_id", F.explode("keys").alias("key"))
     common = stored(keyed.groupBy("key").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high"), "common-keys")
     met = keyed.join(common, "key").select(F.explode(F.array(F.struct(F.col("low").alias("a"), F.col("doc_id").alias("b")),
@@ -460,19 +475,29 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     grouped = roots(pairs).select("id", F.col("root").alias("grp"))
     sizes = stored(grouped.groupBy("grp").agg(F.count("*").alias("size")), "group-sizes")
     grouped = stored(grouped.join(sizes, "grp"), "groups")
-    texts = stored(grouped.join(base.select(F.col("doc_id").alias("id"), "text"), "id").where("text IS NOT NULL"), "group-texts")
+    named = grouped.join(classes.select(F.col("node").alias("id"), F.col("rep").alias("doc_id"), "sig"), "id")
+    texts = stored(named.join(base, ["doc_id", "sig"]).where("text IS NOT NULL").select("id", "grp", "size", "text"), "group-texts")
     small = links_in_groups(texts.where(F.col("size") <= tile), ["grp"], shingle, percent)
     large = texts.where(F.col("size") > tile)
     inside = pairs.join(grouped.where(F.col("size") > tile).select(F.col("id").alias("a")), "a", "left_semi")
     links = small.union(links_of_large(large, inside, shingle, percent, tile))
     component = roots(links)
-    own = F.coalesce("root", "rep", "doc_id")
-    out = members.join(component.select(F.col("id").alias("rep"), "root"), "rep", "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"), F.coalesce(F.col("doc_id") == own, F.lit(True)).alias("kept"))
+    ends = classes.join(component.select(F.col("id").alias("node"), "root"), "node", "left").select("node", "rep", F.coalesce("root", "node").alias("root"))
+    ends = stored(ends, "class-roots")
+    least = ends.groupBy("root").agg(F.min("rep").alias("component"))
+    out = members.join(ends.select("node", "root").join(least, "root").select("node", "component"), "node", "left")
+    own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
+    return out.select("doc_id", "sig", F.col("n").alias("n_shingles"), own.alias("component_id"), F.coalesce(F.col("doc_id") == own, F.lit(True)).alias("kept"))
+
+
+def near_duplicates(docs: DataFrame, **settings) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) of every row; settings as for :func:`judged`."""
+    return judged(docs, **settings).drop("sig")
 
 
-def without_near_copies(docs: DataFrame, id_col: str = "doc_id", **settings) -> DataFrame:
+def without_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
     """One row of each component of ``docs``, that of the smallest id, with its columns; rows with a null id stay."""
-    gone = near_duplicates(docs, id_col=id_col, **settings).where("NOT kept").select(F.col("doc_id").alias("gone_id"))
-    mine = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("id"))
-    return mine.join(gone, F.col("id") == F.col("gone_id"), "left_anti").select("row.*")
+    gone = judged(docs, id_col=id_col, text_col=text_col, **settings).where("NOT kept").select(
+        F.col("doc_id").alias("gone_id"), F.col("sig").alias("gone_sig")).distinct()
+    mine = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("sig"))
+    return mine.join(gone, (F.col("id") == F.col("gone_id")) & (F.col("sig") == F.col("gone_sig")), "left_anti").select("row.*")
