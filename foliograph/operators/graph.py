@@ -137,7 +137,7 @@ def node_ranking(agg: DataFrame, digits: int = 9) -> DataFrame:
 
 
 def components(edges: DataFrame, vertices: DataFrame, a: str = "a", b: str = "b", vertex: str = "id",
-               out: str = "component", max_rounds: int = 60) -> DataFrame:
+               out: str = "component") -> DataFrame:
     """ER-4: connected components; every vertex gets the smallest vertex id of its component.
 
     Alternates two steps until the edges form stars around minima: larger neighbours of a vertex move to its smallest
@@ -150,7 +150,7 @@ def components(edges: DataFrame, vertices: DataFrame, a: str = "a", b: str = "b"
         .select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct()
     )
     mark = None
-    for _ in range(max_rounds):
+    while True:
         state = current.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if tuple(state) == mark or state[0] == 0:
             break
@@ -163,33 +163,37 @@ def components(edges: DataFrame, vertices: DataFrame, a: str = "a", b: str = "b"
         inward = large.join(floor, "u")
         small = inward.where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
         current = cut_lineage(small.union(floor.select("u", F.col("m").alias("v"))).distinct())
-    else:
-        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     roots = current.select(F.col("u").alias(vertex), F.col("v").alias(out))
     return vertices.select(vertex).distinct().join(roots, vertex, "left").withColumn(out, F.coalesce(out, vertex))
 
 
-def communities(agg: DataFrame, max_rounds: int = 100, digits: int = 6) -> DataFrame:
+def communities(agg: DataFrame, digits: int = 6) -> DataFrame:
     """NW-11: communities by weighted label propagation, numbered from 0 by size.
 
     Every round a node takes the label with most weight among its neighbours and itself (its own label weighs as much
     as its strongest edge, which stops two-node swaps); the smallest label wins a tie. Rounds go on until no label
-    changes; labels that still change after ``max_rounds`` raise.
+    changes. On some networks labels swing for ever: when a state of all labels comes back, nodes take smaller labels only from
+    then on, so that labels fall until they rest.
     """
     both = cut_lineage(symmetrise(agg.select(A, B, F.round("weight", digits).alias("weight")), A, B))
     own = both.groupBy(F.col(A).alias("node")).agg(F.max("weight").alias("weight"))
     labels = own.select("node", F.col("node").alias("label"))
-    for _ in range(max_rounds):
+    seen, falling = set(), False
+    while True:
         before = labels.select("node", F.col("label").alias("_before"))
-        votes = both.join(labels.withColumnsRenamed({"node": B}), B).select(F.col(A).alias("node"), "label", "weight")
-        votes = votes.unionByName(own.join(labels, "node").select("node", "label", "weight"))
+        votes = both.join(labels.select(F.col("node").alias(B), "label"), B).select(F.col(A).alias("node"), "label", "weight")
+        votes = votes.unionByName(own.join(labels.select("node", "label"), "node").select("node", "label", "weight"))
         sums = votes.groupBy("node", "label").agg(F.round(F.sum("weight"), digits).alias("weight"))
-        ranked = top_n(sums, ["node"], [F.col("weight").desc(), "label"], 1).select("node", "label")
-        labels = cut_lineage(ranked.join(before, "node"))
-        if labels.where("label <> _before").isEmpty():
+        ranked = top_n(sums, ["node"], [F.col("weight").desc(), "label"], 1).select("node", "label").join(before, "node")
+        if falling:
+            ranked = ranked.withColumn("label", F.least("label", "_before"))
+        labels = cut_lineage(ranked)
+        changed, state = labels.agg(
+            F.count_if(F.col("label") != F.col("_before")), F.sum(F.xxhash64("node", "label").cast("decimal(38,0)"))).first()
+        if not changed:
             break
-    else:
-        raise RuntimeError(f"labels did not settle in {max_rounds} rounds")
+        falling = falling or state in seen
+        seen.add(state)
     sizes = labels.groupBy("label").agg(F.count("*").alias("size"))
     ids = global_numbered(sizes, [F.col("size").desc(), F.col("label").asc()], "_pos")
     return labels.join(ids, "label").select("node", (F.col("_pos") - 1).alias("community"), "size")
