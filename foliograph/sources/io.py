@@ -1,26 +1,29 @@
 """IO: delimited exports with integrity checks, dictionaries, gazetteers, and the published set.
 
-Files are read and written by Spark. An export file is quoted CSV whose records may hold line breaks, which Spark parses
-one file per task; large exports are therefore expected as several files, and every check below works per file.
+Files are read and written by Spark. An export file is quoted CSV whose records may hold line breaks; its lines are read in splits
+and put together to records by the parity of the quotes before them, so files of any size and number are read alike.
 """
 
 from __future__ import annotations
 
+import csv
 import re
 import unicodedata
-import uuid
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from foliograph.plans.session import ensure_checkpoint_dir
+from foliograph.plans.session import cut_lineage
 from foliograph.plans.shapes import keep_first
 
 NULL_TOKENS = ("", "NA")
+# Signs that a column name spells out.
+SIGNS = {"%": "percent", "#": "number"}
 TAIL = 20  # characters at the end of a file in which the closing quote must be
 
 
@@ -29,20 +32,27 @@ class TruncatedFile(ValueError):
 
 
 def clean_name(name: str) -> str:
-    """IO-3: snake case without accents."""
+    """IO-3: snake case without accents; signs that mean a word become it, and a name starts with a letter."""
     plain = "".join(c for c in unicodedata.normalize("NFD", name) if unicodedata.category(c) != "Mn")
-    return re.sub(r"[^a-z0-9]+", "_", plain.strip().lower()).strip("_")
+    for sign, word in SIGNS.items():
+        plain = plain.replace(sign, f" {word} ")
+    base = re.sub(r"[^a-z0-9]+", "_", plain.strip().lower()).strip("_")
+    return f"x{base}" if base[:1].isdigit() else base
 
 
-def clean_names(df: DataFrame) -> DataFrame:
-    """IO-3 on a table; repeated names get a number."""
+def clean_all(names: Sequence[str]) -> list[str]:
+    """IO-3 on the names of a table; repeated ones get a number."""
     seen: dict[str, int] = {}
-    names = []
-    for c in df.columns:
+    out = []
+    for c in names:
         base = clean_name(c) or "x"
         seen[base] = seen.get(base, 0) + 1
-        names.append(base if seen[base] == 1 else f"{base}_{seen[base]}")
-    return df.toDF(*names)
+        out.append(base if seen[base] == 1 else f"{base}_{seen[base]}")
+    return out
+
+
+def clean_names(df: DataFrame) -> DataFrame:
+    return df.toDF(*clean_all(df.columns))
 
 
 def null_tokens(df: DataFrame, tokens: Sequence[str] = NULL_TOKENS) -> DataFrame:
@@ -57,13 +67,48 @@ def ends_inside(text: Column) -> Column:
     return ~(closed & (quotes % 2 == 0))
 
 
+def _lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(path, size, block, at, line, quotes): the lines of files, with their place, read in splits."""
+    read = spark.read.option("lineSep", "\n").text(path)
+    return read.select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("size"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("at"), F.col("value").alias("line"),
+        (F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))).alias("quotes"))
+
+
+def _records(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(path, first, text) of the records of exports, and (path, truncated, ended) of the files.
+
+    A line break inside quotes belongs to its record, so a record starts at a line before which the number of quotes is even. The
+    quotes of a split are added up in the split; what a split takes over from those before it, whether a quote is open and where
+    the last record began, is one row a split. No task holds a file, and only records are put together.
+    """
+    place = F.struct("block", "at")
+    inside = W.partitionBy("path", "block").orderBy("at")
+    upto = inside.rowsBetween(W.unboundedPreceding, W.currentRow)
+    earlier = W.partitionBy("path").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
+    splits = lines.groupBy("path", "block").agg(F.sum("quotes").alias("n")).withColumn(
+        "open", F.coalesce(F.sum("n").over(earlier), F.lit(0)) % 2).select("path", "block", "open")
+    counted = lines.join(splits, ["path", "block"]).withColumn("before", F.sum("quotes").over(upto) - F.col("quotes") + F.col("open"))
+    # a table, as what follows reads it three times
+    marked = cut_lineage(counted.withColumn("start", F.when(F.col("before") % 2 == 0, place)))
+    last = marked.groupBy("path", "block").agg(F.max("start").alias("l")).withColumn("taken", F.max("l").over(earlier)).drop("l")
+    owned = marked.withColumn("own", F.max("start").over(upto)).join(last, ["path", "block"]).withColumn("first", F.coalesce("own", "taken"))
+    pieces = F.sort_array(F.collect_list(F.struct(place.alias("p"), "line")))
+    records = owned.groupBy("path", "first").agg(F.array_join(F.transform(pieces, lambda x: x["line"]), "\n").alias("text"), F.sum("quotes").alias("quotes"))
+    end = F.max(F.struct(place.alias("p"), F.col("line").alias("line"))).alias("end")
+    shown = F.max(F.when(F.trim(F.regexp_replace("line", r"\s+", " ")) != "", F.struct(place.alias("p"), F.col("line").alias("line")))).alias("shown")
+    behind = F.sum(F.octet_length("line").cast("long") + 1).alias("bytes")
+    files = marked.groupBy("path").agg(F.sum("quotes").alias("quotes"), behind, F.first("size").alias("size"), end, shown)
+    # the quote that closes the file stands within its last characters
+    closed = F.coalesce(F.right(F.col("shown.line"), F.lit(TAIL)).rlike(r'"\s*\z'), F.lit(False))
+    states = files.select("path", (~(closed & (F.col("quotes") % 2 == 0))).alias("truncated"), (F.col("size") == F.col("bytes")).alias("ended"))
+    return records, states
+
+
 def file_state(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """IO-2: one row per file with ``truncated``."""
-    return spark.read.text(path, wholetext=True).select(
-        F.input_file_name().alias("path"),
-        F.element_at(F.split(F.input_file_name(), "/"), -1).alias("file"),
-        ends_inside(F.col("value")).alias("truncated"),
-    )
+    """IO-2: one row per file with ``truncated``, from lines read in splits: a quote is open, or none closes the last line."""
+    return _records(_lines(spark, path))[1].select("path", F.element_at(F.split("path", "/"), -1).alias("file"), "truncated")
 
 
 def check_integrity(spark: SparkSession, path: str, allow_truncated: bool = False) -> list[str]:
@@ -91,23 +136,29 @@ def complete_records(text: Column) -> Column:
     return cut(text)
 
 
-def read_export(spark: SparkSession, path: str, allow_truncated: bool = False) -> DataFrame:
+def read_export(spark: SparkSession, path: str | list[str], allow_truncated: bool = False) -> DataFrame:
     """IO-1, IO-2: all-string read with clean names; an allowed truncated file loses its last, incomplete record.
 
-    Intact files are read where they lie. Each truncated one is cut after its last complete record and written to the
-    shared folder, so that both are parsed alike.
+    Files are read in splits of any number and their records put together (:func:`_records`), so an export may be larger than a
+    task. Every file starts with the header; columns go by their position in the first file's, records with fewer fields end
+    in nulls. Blank lines between records are none.
     """
-    options = dict(header=True, multiLine=True, quote='"', escape='"', inferSchema=False)
-    state = file_state(spark, path).select("path", "file", "truncated").orderBy("file").collect()
-    bad = [r for r in state if r["truncated"]]
+    records, states = _records(_lines(spark, path))
+    records, states = cut_lineage(records.where(F.trim(F.regexp_replace("text", r"\s+", " ")) != "")), cut_lineage(states)
+    bad = [r["path"].rsplit("/", 1)[-1] for r in states.where("truncated").select("path").orderBy("path").collect()]
     if bad and not allow_truncated:
-        raise TruncatedFile(f"truncated export: {', '.join(r['file'] for r in bad)}")
-    paths = [r["path"] for r in state if not r["truncated"]]
-    for r in bad:
-        copy = f"{ensure_checkpoint_dir(spark)}/export-{uuid.uuid4().hex}"
-        spark.read.text(r["path"], wholetext=True).select(complete_records(F.col("value"))).coalesce(1).write.text(copy)
-        paths.append(copy)
-    return null_tokens(clean_names(spark.read.csv(paths or path, **options)))
+        raise TruncatedFile(f"truncated export: {', '.join(bad)}")
+    places = records.groupBy("path").agg(F.min("first").alias("head"), F.max("first").alias("tail"))
+    headers = records.join(places, "path").where("first = head").orderBy("path").limit(1).select("text").collect()
+    if not headers:
+        return spark.createDataFrame([], "x string")
+    names = next(csv.reader([headers[0]["text"].rstrip("\r")]))
+    schema = ", ".join(f"c{i} string" for i in range(len(names)))
+    # a truncated file whose last record ends with a line break outside quotes has it whole
+    kept = records.join(places, "path").join(states, "path").where(
+        (F.col("first") != F.col("head")) & ~(F.col("truncated") & (F.col("first") == F.col("tail")) & ~(F.col("ended") & (F.col("quotes") % 2 == 0))))
+    fields = F.from_csv(F.regexp_replace("text", r"\r\z", ""), schema, {"quote": '"', "escape": '"', "maxCharsPerColumn": "-1"})
+    return null_tokens(kept.select(fields.alias("r")).select("r.*").toDF(*clean_all(names)))
 
 
 def require_columns(df: DataFrame, cols: Iterable[str], name: str = "table") -> DataFrame:

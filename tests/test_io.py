@@ -49,6 +49,58 @@ def test_no_closing_quote(spark, tmp_path):
         io.check_integrity(spark, path)
 
 
+def plain_records(raw):
+    """Records of a file by a walk over its characters; the last one without a line break behind it is apart."""
+    out, at, quoted = [], 0, False
+    for i, c in enumerate(raw):
+        quoted ^= c == '"'
+        if c == "\n" and not quoted:
+            out.append(raw[at:i])
+            at = i + 1
+    return out, raw[at:]
+
+
+def test_export_of_many_splits(spark, tmp_path):
+    """Line breaks inside quotes on the borders of splits, and a record longer than several splits."""
+    import csv
+    import random
+
+    rng = random.Random(5)
+    want = [["id", "text", "more"]]
+    for i in range(400):
+        words = [rng.choice(['a "b" c', "x,y", "line\nbreak", "", "NA?", "é" * rng.randint(0, 9)]) for _ in range(rng.randint(0, 30))]
+        want.append([str(i), " ".join(words) or None, "\n".join(["z"] * (3000 if i == 200 else 1))])
+    path = tmp_path / "large.csv"
+    with path.open("w", newline="", encoding="utf-8") as f:
+        csv.writer(f, quoting=csv.QUOTE_ALL, lineterminator="\n").writerows([x or "" for x in r] for r in want)
+    raw = path.read_text(encoding="utf-8")
+    (tmp_path / "cut.csv").write_text(raw[: len(raw) // 2], encoding="utf-8")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "997")
+    spark.conf.set("spark.sql.files.openCostInBytes", "10")
+    try:
+        assert spark.read.text(str(path)).rdd.getNumPartitions() > 20
+        df = io.read_export(spark, str(path))
+        assert sorted(map(tuple, df.collect())) == sorted(map(tuple, want[1:]))
+        whole, rest = plain_records(raw[: len(raw) // 2])
+        assert rest
+        cut = io.read_export(spark, str(tmp_path / "cut.csv"), allow_truncated=True)
+        assert cut.count() == len(whole) - 1
+        assert io.check_integrity(spark, str(tmp_path), allow_truncated=True) == ["cut.csv"]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_windows_line_ends(spark, tmp_path):
+    path = tmp_path / "w.csv"
+    path.write_bytes(b'"Id","T"\r\n"1","a\r\nb"\r\n\r\n"2","c"\r\n')
+    assert sorted(tuple(r) for r in io.read_export(spark, str(path)).collect()) == [("1", "a\r\nb"), ("2", "c")]
+
+
+def test_names_that_start_with_signs():
+    assert [io.clean_name(x) for x in ("2020", "% total", "#", "Ação 1")] == ["x2020", "percent_total", "number", "acao_1"]
+
+
 def test_columns(spark):
     df = spark.createDataFrame([(1, 2)], "a int, b int")
     with pytest.raises(ValueError, match="c"):
