@@ -46,6 +46,15 @@ def worker_state(key, make):
     return held[key]
 
 
+def forget_worker_state() -> None:
+    """Drops what this worker keeps for another operator, before work that needs memory of its own."""
+    import sys
+
+    module = sys.modules.get("_foliograph_worker")
+    if module is not None:
+        module.__dict__.get("held", {}).clear()
+
+
 class Kept:
     """Values by their keys, at most about ``most`` bytes with both; when half of that is new, those not asked since go."""
 

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foliograph.llm.common import stored
+from foliograph.llm.common import forget_worker_state, stored
 from foliograph.llm.substrings import batched, gram_hashes, mixed, word_hashes
 
 SHINGLE, PERCENT = 4, 80
@@ -137,6 +137,7 @@ def common_shingles(docs: DataFrame, shingle: int = SHINGLE, cells: int = 1 << 1
     import numpy as np
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_worker_state()
         counts = np.zeros(cells, np.int64)
         for b in batches:
             for _, texts in batched(b, 1):
@@ -163,6 +164,7 @@ def signatures(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT)
 
         import numpy as np
 
+        forget_worker_state()
         banding, late = Banding(), common.value
         mask = np.uint64(len(late) - 1)
         for b in batches:
@@ -368,6 +370,8 @@ def links_in_groups(rows: DataFrame, keys: list[str], shingle: int, percent: int
     """(a, b): links that connect what is linked among the texts of each group of ``rows``, which has keys, id and text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_worker_state()
+
         def links(held: dict[int, bytes]) -> list[tuple[int, int]]:
             if len(held) < 2:
                 return []

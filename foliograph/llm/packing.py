@@ -89,7 +89,7 @@ class ChunkEncoder:
     tokenizer whole. If ids rise with the merges, as usual, they are ranks too, and a rank encoder does the Latin chunks.
     """
 
-    def __init__(self, path: str, remember: int = 160 << 20):
+    def __init__(self, path: str, remember: int = 128 << 20):
         import json
         import os
 

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foliograph.llm.common import stored
+from foliograph.llm.common import forget_worker_state, stored
 
 STATISTICS = ("words", "word_length", "long_words", "upper", "digits", "punctuation", "symbols", "bars", "doubled",
               "doubled_count", "repeated_next", "repeated_next_count", "distinct", "top_word", "top_word_count", "upper_words",
@@ -74,6 +74,7 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", kee
     schema = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in base.schema.fields[:-1]] + [f"s_{s} double" for s in STATISTICS])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_worker_state()
         for b in batches:
             rows = [statistics(t.as_py()) for t in b.column(len(names))]
             found = list(zip(*rows, strict=True)) if rows else [[]] * len(STATISTICS)
