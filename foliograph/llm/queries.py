@@ -50,7 +50,15 @@ def op3_pii(spark: SparkSession, directory: str) -> DataFrame:
     return out.select("doc_id", "n_replaced", "text")
 
 
-@query("op4_substrings")
+@query("op4_substrings", """
+    WITH d AS (SELECT row_number() OVER () AS n, doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
+         windows AS (SELECT n, doc_id, i, array_to_string(w[i:i + 49], ' ') AS s FROM (SELECT *, unnest(generate_series(1, len(w) - 49)) AS i FROM d)),
+         firsts AS (SELECT s, min(doc_id) AS f FROM windows GROUP BY s),
+         covered AS (SELECT DISTINCT n, unnest(generate_series(i, i + 49)) AS p FROM windows JOIN firsts USING (s) WHERE f < doc_id),
+         gone AS (SELECT n, list(p) AS gone FROM covered GROUP BY n),
+         kept AS (SELECT d.*, coalesce(gone, []) AS gone FROM d LEFT JOIN gone USING (n))
+    SELECT doc_id, len(w) AS n_words, len(gone) AS n_removed,
+           sha256(array_to_string(list_filter(w, lambda x, i: NOT list_contains(gone, i)), ' ')) AS kept_sha256 FROM kept""")
 def op4_substrings(spark: SparkSession, directory: str) -> DataFrame:
     out = substrings.remove_repeats(table(spark, directory, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
@@ -66,7 +74,16 @@ def op5_exact_dedup(spark: SparkSession, directory: str) -> DataFrame:
     return out.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
-@query("op6_near_dedup")
+@query("op6_near_dedup", f"""
+    WITH RECURSIVE d AS (SELECT doc_id, list_filter(regexp_split_to_array({LOWERED}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
+         sets AS (SELECT doc_id, unnest(CASE WHEN len(w) >= 4 THEN list_distinct(list_transform(generate_series(1, len(w) - 3), lambda i: array_to_string(w[i:i + 3], ' ')))
+                                             WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM d),
+         sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+         links AS (SELECT a.doc_id AS a, b.doc_id AS b FROM sets a JOIN sets b ON a.s = b.s AND a.doc_id <> b.doc_id JOIN sizes x ON x.doc_id = a.doc_id
+                   JOIN sizes y ON y.doc_id = b.doc_id GROUP BY a.doc_id, b.doc_id, x.n, y.n HAVING 100 * count(*) >= 80 * (x.n + y.n - count(*))),
+         reach(id, c) AS (SELECT doc_id, doc_id FROM d UNION SELECT b, c FROM reach JOIN links ON a = id)
+    SELECT id AS doc_id, coalesce(any_value(n), 0) AS n_shingles, min(c) AS component_id, id = min(c) AS kept
+    FROM reach LEFT JOIN sizes ON doc_id = id GROUP BY id""")
 def op6_near_dedup(spark: SparkSession, directory: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, directory, "documents"))
 
