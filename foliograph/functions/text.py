@@ -27,7 +27,7 @@ EXACT, COMPATIBLE, INCOMPATIBLE = "exata", "compativel", "incompativel"
 # Letters without a decomposition, in the Latin-to-ASCII transliteration.
 LATIN_LETTERS = {
     "ß": "ss", "æ": "ae", "Æ": "AE", "œ": "oe", "Œ": "OE", "ø": "o", "Ø": "O", "đ": "d", "Đ": "D", "ð": "d", "Ð": "D",
-    "þ": "th", "Þ": "TH", "ł": "l", "Ł": "L", "ı": "i",
+    "þ": "th", "Þ": "TH", "ł": "l", "Ł": "L", "ı": "i", "ª": "a", "º": "o", "№": "No",
 }
 # --------------------------------------------------------------------------------------------------------------------
 
