@@ -136,10 +136,12 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow", id_col: st
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(hits, pa.list_(pa.string()))], names=[*b.schema.names, "hits"])
 
     probed = urls.mapInArrow(probe, "row long, page_id long, host string, path string, hits array<string>")
-    possible = probed.select("row", "page_id", "host", "path", F.explode_outer("hits").alias("key"))
+    # only possible hits are joined; the other URLs have no key that could pile up
+    possible = probed.where(F.size("hits") > 0).select("row", "page_id", "host", "path", F.explode("hits").alias("key"))
+    free = probed.where(F.size("hits") == 0).select("page_id", "host", "path", F.lit(None).cast("string").alias("rule"), F.lit(default).alias("verdict"))
     weight = F.struct(F.length("rule").alias("length"), "host_length", "verdict", "rule")
     rest = F.substring("rule", F.col("host_length") + 1, F.length("rule"))
     met = possible.join(listed(rules), "key", "left").withColumn("hit", F.when(F.startswith("path", rest), weight))
     best = met.groupBy("row", "page_id", "host", "path").agg(F.max("hit").alias("hit"))
-    return best.select("page_id", "host", "path", F.col("hit.rule").alias("rule"),
-                       F.coalesce("hit.verdict", F.lit(default)).alias("verdict"))
+    hits = best.select("page_id", "host", "path", F.col("hit.rule").alias("rule"), F.coalesce("hit.verdict", F.lit(default)).alias("verdict"))
+    return hits.unionByName(free)
