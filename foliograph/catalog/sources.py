@@ -171,3 +171,47 @@ def ring_centroids(t: Tables):
 @query("registration_rows", "SELECT o_orderkey AS registro, o_custkey AS obra_id FROM orders")
 def registration_rows(t: Tables):
     return io.registration_map(t.orders, "o_orderkey", "o_custkey").withColumnRenamed("o_custkey", "obra_id")
+
+
+# one load from raw tables to the published mart: documents as publications, orders as projects, parts as technologies
+FLOW_SQL = """
+raw AS (SELECT doc_id AS id, 'A title of ' || lang || ' that came from ' || source AS title, 2000 + doc_id % 3 AS year, trim(regexp_replace(text, '[ \\n\\t]+', ' ', 'g')) AS a,
+               list_distinct([chr(CAST(65 + doc_id % 5 AS INTEGER)) || 'MAR', chr(CAST(75 + doc_id % 7 AS INTEGER)) || 'NUN']) AS w, lang,
+               CASE WHEN doc_id % 3 < 2 THEN doc_id % 25 END AS unit_id FROM documents),
+p AS (SELECT a.id AS a, b.id AS b FROM raw a JOIN raw b ON a.title = b.title AND a.year = b.year AND a.id <> b.id AND len(list_intersect(a.w, b.w)) >= 1),
+reach(id, c) AS (SELECT id, id FROM raw UNION SELECT p.b, reach.c FROM reach JOIN p ON p.a = reach.id),
+g AS (SELECT id, min(c) AS work FROM reach GROUP BY id),
+k AS (SELECT raw.*, work, CASE WHEN length(a) >= 30 THEN a END AS abstract, CASE lang WHEN 'en' THEN 'livro' WHEN 'fr' THEN 'artigo' ELSE 'nao_classificado' END AS kind_group FROM raw JOIN g USING (id)),
+best AS (SELECT *, count(*) OVER (PARTITION BY work) AS n FROM k QUALIFY row_number() OVER (PARTITION BY work ORDER BY coalesce(length(abstract), 0) DESC, id) = 1)
+"""
+
+
+@query("load_flow", f"""
+WITH RECURSIVE {FLOW_SQL}
+SELECT 'B:' || work AS doc_uid, 'publicacao' AS kind, title, md5(abstract) AS abstract, year, kind_group AS category, unit_id, 'B:' || id AS representative, n AS n_records FROM best
+UNION ALL SELECT 'P:' || o_orderkey, 'projeto', 'Projeto ' || o_orderkey, md5('Resumo ' || o_orderpriority), year(o_orderdate), o_orderstatus, CASE WHEN o_orderkey % 3 < 2 THEN o_orderkey % 25 END, NULL, NULL FROM orders
+UNION ALL SELECT 'T:' || p_partkey, 'tecnologia', p_name, NULL, 1990 + p_size, p_brand, CASE WHEN p_partkey % 3 < 2 THEN p_partkey % 25 END, NULL, NULL FROM part
+""")
+def load_flow(t: Tables):
+    """Raw exports to typed sources, records to works, works to the document mart, and its published columns."""
+    from foliograph.plans import flow
+
+    o, d, p = F.col("o_orderkey"), F.col("doc_id"), F.col("p_partkey")
+    projects = t.orders.select(
+        o.cast("string").alias("id"), F.concat(F.lit("Projeto  "), o.cast("string")).alias("titulo"), F.concat(F.lit(" Resumo "), "o_orderpriority").alias("resumo"),
+        F.date_format("o_orderdate", "MM/yyyy").alias("mes_ano_de_inicio"), F.lit(None).cast("string").alias("mes_ano_de_finalizacao"),
+        _unit_name(o).alias("unidade_lider"), F.lit("A B").alias("lider_do_projeto"), F.lit("a").alias("palavras_chave"), F.col("o_orderstatus").alias("situacao"))
+    signature = F.concat(F.char((65 + d % 5).cast("bigint")), F.lit("MAR, M.; "), F.char((75 + d % 7).cast("bigint")), F.lit("NUN, N. B."))
+    publications = t.documents.select(
+        d.cast("string").alias("id"), F.concat(F.lit("A title of "), "lang", F.lit("  that came from "), "source").alias("titulo"), F.col("text").alias("resumo"),
+        (2000 + d % 3).cast("string").alias("ano_de_publicacao"), F.col("lang").alias("tipo_de_publicacao"), _unit_name(d).alias("unidade"),
+        signature.alias("autores"), F.lit("x").alias("palavras_chave"))
+    technologies = t.part.select(
+        p.cast("string").alias("id"), F.col("p_name").alias("nome"), F.lit(None).cast("string").alias("descricao"), F.col("p_brand").alias("tipo"),
+        F.col("p_type").alias("subtipo"), (1990 + F.col("p_size")).cast("string").alias("ano_de_lancamento"), F.lit("Cerrado").alias("bioma"),
+        _unit_name(p).alias("unidade_responsavel"), F.lit("").alias("onde_encontrar"), F.lit("").alias("palavras_chave"))
+    kinds = t.spark.createDataFrame([("en", "livro"), ("fr", "artigo")], "type string, kind_group string")
+    tables = flow.load(projects, publications, technologies, _units(t).select("key", "unit_id"), kinds)
+    shown = ("doc_uid", "kind", "title", "abstract", "year", "category", "unit_id", "representative", "n_records")
+    out = flow.publish_load(tables, {"documents": io.Published(columns=shown)})["documents"]
+    return out.withColumn("abstract", F.md5("abstract"))
