@@ -119,17 +119,20 @@ class ChunkEncoder:
         """Encodes chunks, each but a text's first with the space before it; those with white space at an end stay unknown."""
         from array import array
 
-        keep, rest = self.known.add, []
+        new, rest, size = self.known.new, [], 0
         ranked = self.ranks.encode_ordinary if self.ranks else None
         for c in chunks:
             b = c[1:] if c[:1] == " " else c
             if b and b.strip() == b:
                 if ranked and (c.isascii() or max(c) < "\u0100"):
-                    keep(c, array("I", ranked(c)).tobytes())
+                    ids = new[c] = array("I", ranked(c)).tobytes()
+                    size += len(c) + len(ids)
                 else:
                     rest.append(c)
         for c, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
-            keep(c, array("I", e.ids).tobytes())
+            ids = new[c] = array("I", e.ids).tobytes()
+            size += 4 * len(c) + len(ids)
+        self.known.size += size + 180 * len(chunks)  # and what the objects take
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
