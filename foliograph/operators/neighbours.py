@@ -7,11 +7,13 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from foliograph.operators.vectors import BLOCK, DIGITS, NULL_PAIRS, _met, _packed, _scores, hash_order, null_pairs, top_k
+from foliograph.operators.vectors import (
+    BLOCK, DIGITS, NULL_PAIRS, STRIP, WIDE, _by_id, _met, _packed, _scores, _strongest, hash_order, null_pairs, top_k,
+)
 from foliograph.plans.session import cut_lineage
 from foliograph.plans.shapes import top_n
 
@@ -35,7 +37,7 @@ def celled(df: DataFrame, key: str = "id", vec: str = "vec", size: int = BLOCK,
     rows = cut_lineage(df.select(F.col(key).alias("id"), F.col(vec).cast("array<double>").alias("vec")).where("id IS NOT NULL AND vec IS NOT NULL"))
     n = rows.count()
     pivots = rows.orderBy(hash_order("id", seed), "id").limit(max(1, -(-n // size)))
-    cells = top_k(rows, pivots, 1, block=size).select(F.col("source").alias("id"), F.col("target").alias("cell"))
+    cells = top_k(rows, pivots, 1).select(F.col("source").alias("id"), F.col("target").alias("cell"))
     placed = cut_lineage(rows.join(cells, "id"))
     parts = placed.groupBy("cell").agg(F.ceil(F.count("*") / size).cast("int").alias("parts"))
     dealt = placed.join(parts, "cell").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")))
@@ -73,39 +75,65 @@ def blocks_that_may_meet(x: DataFrame, y: DataFrame, floor: float) -> DataFrame:
                 at, to = np.nonzero(np.cos(np.clip(closest, 0.0, np.pi)) >= floor - 10.0 ** -DIGITS)
                 yield pd.DataFrame({"bx": np.asarray(row.ids_x)[at], "by": np.asarray(row.ids_y)[to]})
 
-    met = _met(_packed(x, "block", "centre", "x", ["radius"]), _packed(y, "block", "centre", "y", ["radius"]), y)
+    met = _met(_packed(x, "block", "centre", "x", ["radius"]), _packed(y, "block", "centre", "y", ["radius"]), x, y)
     return met.drop("x", "y").mapInPandas(run, "bx long, by long")
 
 
+def _gathered(df: DataFrame, side: str) -> tuple[DataFrame, Column]:
+    """Blocks gathered into groups of about ``WIDE`` rows, and the group of a block's number."""
+    groups = F.greatest(F.ceil(df.agg(F.sum(F.size("ids"))).scalar() / WIDE), F.lit(1))
+    group = lambda block: F.pmod(F.xxhash64(block), groups)
+    rows = df.groupBy(group("block").alias("g" + side)).agg(F.collect_list(F.struct("block", "ids", "flat")).alias("all"))
+    packed = rows.select(
+        "g" + side, F.col("all")["block"].alias("blocks_" + side), F.transform(F.col("all")["ids"], F.size).alias("sizes_" + side),
+        F.flatten(F.col("all")["ids"]).alias("ids_" + side), F.flatten(F.col("all")["flat"]).alias("flat_" + side))
+    return packed, group("b" + side)
+
+
 def _above(floor: float, k: int, exclude_self: bool):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for row in batch.itertuples(index=False):
-                s, x, y = _scores(row), np.asarray(row.ids_x), np.asarray(row.ids_y)
-                if exclude_self:
-                    s[x[:, None] == y[None, :]] = -np.inf
-                if s.shape[1] > k:
-                    least = np.maximum(-np.partition(-s, k - 1, axis=1)[:, k - 1], floor)
-                else:
-                    least = np.full(len(x), floor)
-                at, to = np.nonzero(s >= least[:, None])
-                found = pd.DataFrame({"source": x[at], "target": y[to], "score": s[at, to]})
-                yield found.sort_values(["source", "score", "target"], ascending=[True, False, True]).groupby("source", sort=False).head(k)
+                ids_x, ids_y = np.asarray(row.ids_x), np.asarray(row.ids_y)
+                x = np.asarray(row.flat_x, dtype=np.float64).reshape(len(ids_x), -1)
+                order = _by_id(ids_y)
+                of_y = np.repeat(np.arange(len(row.sizes_y)), row.sizes_y)[order]
+                ids_y, y = ids_y[order], np.asarray(row.flat_y, dtype=np.float64).reshape(len(ids_y), -1)[order]
+                own = int(pd.Series(ids_y).value_counts().max()) if exclude_self else 0
+                meets = np.zeros((len(row.blocks_x), len(row.blocks_y)), dtype=bool)
+                meets[pd.Index(row.blocks_x).get_indexer(row.of_x), pd.Index(row.blocks_y).get_indexer(row.of_y)] = True
+                ends = np.cumsum(row.sizes_x)
+                for block in range(len(ends)):
+                    if not meets[block].any():
+                        continue
+                    part = slice(None) if meets[block].all() else np.flatnonzero(meets[block][of_y])
+                    ids, near = ids_y[part], y[part]
+                    for i in range(ends[block] - row.sizes_x[block], ends[block], STRIP):
+                        last = min(i + STRIP, ends[block])
+                        at, to, score = _strongest(x[i:last] @ near.T, k + own, floor)
+                        found = pd.DataFrame({"source": ids_x[i + at], "target": ids[to], "score": score})
+                        if exclude_self:
+                            found = found[found["source"] != found["target"]].groupby("source", sort=False).head(k)
+                        yield found
     return run
 
 
 def similar_above(x: DataFrame, y: DataFrame, floor: float, k: int = 30, exclude_self: bool = False, digits: int = 4) -> DataFrame:
     """``(source, target, cos, rank)``: for each row of ``x`` the ``k`` best rows of ``y`` with a score of at least ``floor``.
 
-    ``x`` and ``y`` come from :func:`celled`. Exact: a pair of blocks is left out only if none of its scores can reach the floor. A row
-    without a partner above the floor has no row; ties go to the smaller target.
+    ``x`` and ``y`` come from :func:`celled`. Exact: a pair of blocks is left out only if none of its scores can reach the floor. Blocks
+    travel in groups, two groups only if some of their blocks may meet, so a vector is copied once per group and not once per
+    block. A row without a partner above the floor has no row; ties go to the smaller target.
     """
-    pairs = blocks_that_may_meet(x, y, floor)
-    side = lambda df, s: df.select(F.col("block").alias("b" + s), F.col("ids").alias("ids_" + s), F.col("flat").alias("flat_" + s))
-    met = pairs.join(side(x, "x"), "bx").join(side(y, "y"), "by")
+    wide_x, of_x = _gathered(x, "x")
+    wide_y, of_y = _gathered(y, "y")
+    pairs = blocks_that_may_meet(x, y, floor).groupBy(of_x.alias("gx"), of_y.alias("gy")).agg(
+        F.collect_list(F.struct("bx", "by")).alias("pairs"))
+    pairs = pairs.select("gx", "gy", F.col("pairs")["bx"].alias("of_x"), F.col("pairs")["by"].alias("of_y"))
+    met = pairs.join(wide_x, "gx").join(wide_y, "gy").drop("gx", "gy")
     schema = T.StructType([T.StructField("source", x.schema["ids"].dataType.elementType), T.StructField("target", y.schema["ids"].dataType.elementType),
                            T.StructField("score", T.DoubleType())])
-    found = met.select("ids_x", "flat_x", "ids_y", "flat_y").mapInPandas(_above(floor, k, exclude_self), schema)
+    found = met.mapInPandas(_above(floor, k, exclude_self), schema)
     best = top_n(found, ["source"], [F.col("score").desc(), F.col("target")], k, out="rank")
     return best.select("source", "target", F.round("score", digits).alias("cos"), "rank")
 
