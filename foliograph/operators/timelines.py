@@ -9,11 +9,12 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from foliograph.functions.text import bind
-from foliograph.plans.session import cut_lineage
+from foliograph.plans.session import cut_lineage, written
 from foliograph.plans.shapes import as_list, keep_first, many_to_many, union_by_name
 
 OPEN = 1 << 61  # stands for an end that is open; values lie inside it
 OPEN_LEVEL = 62
+PLAIN = 256  # pairs that a key compares for each of its rows, before bins cost less
 
 
 # --- interval join ---------------------------------------------------------------------------------------------------
@@ -36,15 +37,29 @@ def interval_join(left: DataFrame, right: DataFrame, on: Sequence[str], left_bou
     Bounds are whole numbers (years, days) or null for an open end; a point has the same column twice. An interval that ends
     before it starts meets nothing, nor does a null key. Other columns of the two sides must differ in name.
 
-    An interval lies in at most two bins of a width that is a power of two and not below its length. A pair meets at the wider one's
+    Where a key has few intervals on a side, all its pairs are compared: at most ``PLAIN`` for each of its rows. In the others, an
+    interval lies in at most two bins of a width that is a power of two and not below its length. A pair meets at the wider one's
     width: each side is copied to its own width and to the wider ones that the other side has, which are few, and the bin
     where the overlap starts lets the pair through. Long and open intervals therefore cost no more copies than short ones,
     and groups of any size are cut into cells.
     """
     on = as_list(on)
     x, y = _placed(left, *left_bounds, on), _placed(right, *right_bounds, on)
-    x = cut_lineage(x.withColumnsRenamed({"_lo": "_lx", "_hi": "_hx", "_level": "_vx"}))
-    y = cut_lineage(y.withColumnsRenamed({"_lo": "_ly", "_hi": "_hy", "_level": "_vy"}))
+    x = written(x.withColumnsRenamed({"_lo": "_lx", "_hi": "_hx", "_level": "_vx"}))
+    y = written(y.withColumnsRenamed({"_lo": "_ly", "_hi": "_hy", "_level": "_vy"}))
+    columns = [*left.columns, *[c for c in right.columns if c not in on]]
+    count = lambda df, name: df.groupBy(*on).agg(F.count("*").alias(name))
+    many = F.col("_nx") * F.col("_ny") > F.lit(PLAIN) * (F.col("_nx") + F.col("_ny"))
+    wide = written(count(x, "_nx").join(count(y, "_ny"), on).where(many).select(*on))
+    overlap = (F.col("_lx") <= F.col("_hy")) & (F.col("_ly") <= F.col("_hx"))
+    if wide.isEmpty():
+        return x.join(y, on).where(overlap).select(*columns)
+    plain = x.join(wide, on, "left_anti").join(y, on).where(overlap).select(*columns)
+    return plain.unionByName(_met_in_bins(x.join(wide, on, "left_semi"), y.join(wide, on, "left_semi"), on).select(*columns))
+
+
+def _met_in_bins(x: DataFrame, y: DataFrame, on: Sequence[str]) -> DataFrame:
+    x, y = written(x), written(y)
     levels = lambda df, c: sorted(r[0] for r in df.select(c).distinct().collect())  # noqa: E731  at most 63
 
     def copies(df: DataFrame, lo: str, hi: str, own: str, others: list[int]) -> DataFrame:
@@ -56,10 +71,9 @@ def interval_join(left: DataFrame, right: DataFrame, on: Sequence[str], left_bou
     spread_x, spread_y = copies(x, "_lx", "_hx", "_vx", levels(y, "_vy")), copies(y, "_ly", "_hy", "_vy", levels(x, "_vx"))
     met = many_to_many(spread_x, spread_y, [*on, "_at", "_bin"])
     first = F.greatest("_lx", "_ly")
-    kept = met.withColumn("_first", first).where(
+    return met.withColumn("_first", first).where(
         (F.col("_lx") <= F.col("_hy")) & (F.col("_ly") <= F.col("_hx")) & (F.greatest("_vx", "_vy") == F.col("_at"))
         & (F.expr("shiftright(_first, _at)") == F.col("_bin")))
-    return kept.select(*left.columns, *[c for c in right.columns if c not in on])
 
 
 # --- as-of join ------------------------------------------------------------------------------------------------------
@@ -142,7 +156,7 @@ def unit_periods(evidence: DataFrame, registered: DataFrame, person: str = "pers
     seen = evidence.where(F.col(year).isNotNull() & F.col(unit).isNotNull() & F.col(person).isNotNull()).select(
         F.col(person).alias("person_id"), F.col(unit).alias("unit_id"), F.col(year).cast("int").alias("year"), "doc_uid").distinct()
     yearly = seen.groupBy("person_id", "unit_id", "year").agg(F.count("*").alias("n"))
-    yearly = cut_lineage(yearly)
+    yearly = written(yearly)
     reach = yearly.select("person_id", "unit_id", "n", F.col("year").alias("_seen"), F.explode(F.sequence(F.col("year") - half, F.col("year") + half)).alias("year"))
     sums = reach.groupBy("person_id", "year", "unit_id").agg(F.sum("n").alias("n"), F.max("_seen").alias("_seen"))
     best = keep_first(sums, ["person_id", "year"], [F.col("n").desc(), F.col("_seen").desc(), F.col("unit_id")])
