@@ -372,19 +372,23 @@ def role_weights(links: DataFrame, docs: DataFrame, years: int = RECENT_YEARS, r
 
 def who_works(weights: DataFrame, doc_axis: DataFrame, min_docs: int = 3, min_recent: int = 1, n_evidence: int = 5,
               ) -> DataFrame:
-    """IN-18: people on each axis value with focus and ranked evidence. ``weights`` from :func:`role_weights`."""
+    """IN-18: people on each axis value with focus and ranked evidence. ``weights`` from :func:`role_weights`.
+
+    Every row has its total and its evidence, so they are joined from the left: where they are not read, Spark leaves them out.
+    """
     rows = weights.join(doc_axis.select("doc_uid", "axis").distinct(), "doc_uid")
     keys = ["person_id", "axis"]
     counts = rows.groupBy(*keys).agg(
         F.count("*").alias("n_docs"), F.count_if("recent").alias("n_recent"), F.count_if("led").alias("n_led"),
         F.count_if("technology").alias("n_technologies"), F.sum("weight").alias("weight"))
-    kept = counts.where((F.col("n_docs") >= min_docs) & (F.col("n_recent") >= min_recent))
+    named = F.col("person_id").isNotNull() & F.col("axis").isNotNull()
+    kept = counts.where(named & (F.col("n_docs") >= min_docs) & (F.col("n_recent") >= min_recent))
     size = weights.groupBy("person_id").agg(F.count("*").alias("_all"))
     order = [F.col("recent").desc(), F.col("weight").desc(), F.col("year").desc(), F.col("doc_uid").asc()]
     best = top_n(rows.join(kept.select(*keys), keys, "left_semi"), keys, order, n_evidence, out="_rk")
     listed = F.array_sort(F.collect_list(F.struct("_rk", "doc_uid")))
     evidence = best.groupBy(*keys).agg(F.array_join(F.transform(listed, lambda x: x["doc_uid"]), ";").alias("evidence"))
-    return kept.join(size, "person_id").join(evidence, keys).select(
+    return kept.join(size, "person_id", "left").join(evidence, keys, "left").select(
         *keys, "n_docs", "n_recent", "n_led", "n_technologies", F.round(F.col("weight"), 2).alias("weight"),
         F.round(F.col("n_docs") / F.col("_all") + 1e-9, 3).alias("focus"), "evidence")
 
